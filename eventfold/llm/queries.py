@@ -17,6 +17,24 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mtree
+
+    return mtree.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vptree
+
+    return vptree.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    return mixing.mix_table(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
@@ -31,6 +49,9 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_mtree": op2_mtree,
+        "op8_vptree": op8_vptree,
+        "op6_mixing": op6_mixing,
         "op9_warc": op9_warc,
         "op10_token_file": op10_token_file,
     }
