@@ -23,6 +23,12 @@ def op2_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    return toxicity.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import vptree
 
@@ -50,6 +56,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mtree": op2_mtree,
+        "op3_toxicity": op3_toxicity,
         "op8_vptree": op8_vptree,
         "op6_mixing": op6_mixing,
         "op9_warc": op9_warc,
