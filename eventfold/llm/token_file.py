@@ -16,6 +16,7 @@ documents of their own, in the order of their texts (and share a file); an empty
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -200,18 +201,50 @@ _ENCODERS: dict[str, words.Flat] = {}
 
 
 def word_encoder(path: str) -> words.Flat:
-    """Ids of white-space-free words by a tokenizer of the tokenizers library whose pre-tokens hold no ASCII white space."""
+    """Ids of white-space-free words by a tokenizer of the tokenizers library whose pre-tokens hold no ASCII white space.
+
+    Words go to the tokenizer many at a time, with a special token between them; a word that may itself hold one goes alone.
+    """
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _ENCODERS[path] = words.Flat(lambda new: [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)])
+        special = min((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special)
+
+        def many(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            joined = [special[1].join(new[a : a + 200]) for a in range(0, len(new), 200)]
+            lists = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.concatenate([np.append(np.asarray(e.ids, np.int32), special[0]) for e in lists])
+            ends = np.flatnonzero(ids == special[0])
+            return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
+        def encode(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            odd = [b"<" in w and len(w) > 1 for w in new]
+            if not any(odd):
+                return many([w.decode() for w in new])
+            plain = iter(many([w.decode() for w, o in zip(new, odd, strict=True) if not o] or ["a"])[::-1])
+            n, flat = next(plain), next(plain)
+            parts = iter(np.split(flat, np.cumsum(n)[:-1]))
+            return words.flat_lists([tokenizer.encode(w.decode(), add_special_tokens=False).ids if o else next(parts) for w, o in zip(new, odd, strict=True)])
+
+        _ENCODERS[path] = words.Flat(encode)
     return _ENCODERS[path]
 
 
+#: A run of punctuation after a letter or digit is a pre-token of its own, so the space put before it changes no id.
+PUNCTUATION = re.compile(rb"(?<=[a-z0-9])(?=[.,;:!?]+(?:[ \n]|$))")
+
+
+def split_words(text: bytes) -> list[bytes]:
+    """Words whose ids make up those of the text, for a tokenizer that puts all in lower case; ASCII letters are put so here."""
+    if b"<|" in text:  # perhaps a special token, which is told by its case
+        return text.split()
+    return PUNCTUATION.sub(b" ", text.lower()).split()
+
+
 def encode_texts(texts: list[bytes], encoder: words.Flat, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts end to end, each with end_id after it, and the number of each."""
-    split = [t.split() for t in texts]
+    split = list(map(split_words, texts))
     n_words = np.fromiter(map(len, split), np.int64, len(split))
     ids, n = encoder.expand(encoder.look_up([w for ws in split for w in ws]))
     sums = np.concatenate([[0], np.cumsum(n)])

@@ -115,7 +115,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.cache = words.Flat(lambda new: [self._numbers(w.decode()) for w in new], 600_000)
+        self.cache = words.Flat(lambda new: words.flat_lists([self._numbers(w.decode()) for w in new]), 600_000)
         self.values: list[float] = []
         self.places: dict[float, int] = {}
 

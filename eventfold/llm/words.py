@@ -6,46 +6,58 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 800_000
+
+
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
 
 
 class Flat:
     """Integer lists of words, laid end to end, with a number for each word seen."""
 
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[Sequence[int]]], entries: int = CACHE_ENTRIES):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], entries: int = CACHE_ENTRIES):
+        """encode: the lists of some words end to end, and the length of each."""
         self.encode, self.entries = encode, entries
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = _Numbers()
         self.values = np.zeros(1 << 16, np.int32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int32)
         self.used = 0
 
-    def _learn(self, words: list[bytes]) -> None:
-        lists = self.encode(words)
-        n = np.fromiter(map(len, lists), np.int32, len(lists))
-        flat = np.fromiter((x for ids in lists for x in ids), np.int32, int(n.sum()))
-        at = len(self.numbers)
-        while at + len(words) > len(self.starts):
+    def _learn(self) -> None:
+        new, self.numbers.new = self.numbers.new, []
+        at = len(self.numbers) - len(new)
+        flat, n = self.encode(new)
+        while len(self.numbers) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
         while self.used + len(flat) > len(self.values):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
         self.values[self.used : self.used + len(flat)] = flat
-        self.starts[at : at + len(words)] = self.used + np.cumsum(n) - n
-        self.lengths[at : at + len(words)] = n
+        self.starts[at : at + len(new)] = self.used + np.cumsum(n) - n
+        self.lengths[at : at + len(new)] = n
         self.used += len(flat)
-        self.numbers.update(zip(words, range(at, at + len(words)), strict=True))
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
         """The number of each word."""
         if len(self.numbers) > self.entries:
             self.clear()
-        new = list({w: None for w in words if w not in self.numbers})
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        out = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        if self.numbers.new:
+            self._learn()
+        return out
 
     def expand(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All lists end to end, and the length of each."""
@@ -56,6 +68,11 @@ class Flat:
         return self.values[at], n
 
 
+def flat_lists(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((x for ids in lists for x in ids), np.int32, int(n.sum())), n
+
+
 def pieces(sizes: Sequence[int], most: int) -> list[tuple[int, int]]:
     """Ranges of rows that together hold at most so many bytes, one row at least."""
     out, at, held = [], 0, 0
