@@ -35,6 +35,19 @@ def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import sentencepieces
+
+    return sentencepieces.encode(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_ids=False)
+
+
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import edit_counts
+
+    docs = edit_counts.three_edits(_table(spark, sf_dir, "documents"))
+    return edit_counts.recount(docs, vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing
 
@@ -58,7 +71,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mtree": op2_mtree,
         "op3_toxicity": op3_toxicity,
         "op8_vptree": op8_vptree,
+        "op4_sentencepiece": op4_sentencepiece,
         "op6_mixing": op6_mixing,
+        "op7_edit_counts": op7_edit_counts,
         "op9_warc": op9_warc,
         "op10_token_file": op10_token_file,
     }

@@ -35,28 +35,44 @@ class Flat:
         self.values = np.zeros(1 << 16, np.int32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int32)
+        self.hits = np.zeros(1 << 14, np.int32)
         self.used = 0
 
+    def _shrink(self) -> None:
+        """Keep the half of the words that was asked for most."""
+        n = len(self.numbers)
+        kept = np.sort(np.argpartition(-self.hits[:n], n // 2)[: n // 2])
+        names = list(self.numbers)
+        flat, lengths = self.expand(kept)
+        hits = self.hits[kept] // 2
+        self.clear()
+        self.numbers.update(zip([names[i] for i in kept.tolist()], range(len(kept)), strict=True))
+        self._put(0, flat, lengths)
+        self.hits[: len(kept)] = hits
+
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
-        at = len(self.numbers) - len(new)
-        flat, n = self.encode(new)
+        self._put(len(self.numbers) - len(new), *self.encode(new))
+
+    def _put(self, at: int, flat: np.ndarray, n: np.ndarray) -> None:
         while len(self.numbers) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            self.starts, self.lengths, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.hits))
         while self.used + len(flat) > len(self.values):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
         self.values[self.used : self.used + len(flat)] = flat
-        self.starts[at : at + len(new)] = self.used + np.cumsum(n) - n
-        self.lengths[at : at + len(new)] = n
+        self.starts[at : at + len(n)] = self.used + np.cumsum(n) - n
+        self.lengths[at : at + len(n)] = n
         self.used += len(flat)
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word."""
+        """The number of each word; numbers hold until the next call."""
         if len(self.numbers) > self.entries:
-            self.clear()
+            self._shrink()
         out = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         if self.numbers.new:
             self._learn()
+        n = len(self.numbers)
+        self.hits[:n] += np.bincount(out, minlength=n).astype(np.int32)
         return out
 
     def expand(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
