@@ -17,6 +17,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mtree
 
@@ -68,6 +74,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_mtree": op2_mtree,
         "op3_toxicity": op3_toxicity,
         "op8_vptree": op8_vptree,
