@@ -16,7 +16,6 @@ documents of their own, in the order of their texts (and share a file); an empty
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -231,24 +230,38 @@ def word_encoder(path: str) -> words.Flat:
     return _ENCODERS[path]
 
 
-#: A run of punctuation after a letter or digit is a pre-token of its own, so the space put before it changes no id.
-PUNCTUATION = re.compile(rb"(?<=[a-z0-9])(?=[.,;:!?]+(?:[ \n]|$))")
+_SPACE, _ALNUM, _POINT = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", b"abcdefghijklmnopqrstuvwxyz0123456789", b".,;:!?"))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
-def split_words(text: bytes) -> list[bytes]:
-    """Words whose ids make up those of the text, for a tokenizer that puts all in lower case; ASCII letters are put so here."""
-    if b"<|" in text:  # perhaps a special token, which is told by its case
-        return text.split()
-    return PUNCTUATION.sub(b" ", text.lower()).split()
+def word_ranges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of lower-case text begin and end. Words lie between ASCII white space; a run of punctuation that follows a letter or digit
+    and ends a word is a word of its own, as it is a pre-token of its own."""
+    text = ~_SPACE[data]
+    edge = np.flatnonzero(np.diff(text, prepend=False, append=False))
+    starts, ends = edge[::2], edge[1::2]
+    run = np.flatnonzero(np.diff(_POINT[data], prepend=False, append=False))
+    first, last = run[::2], run[1::2]
+    inner = (first > 0) & _ALNUM[data[first - 1]] & ~np.append(text, False)[last]
+    cut = first[inner]
+    return np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
 
 
 def encode_texts(texts: list[bytes], encoder: words.Flat, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts end to end, each with end_id after it, and the number of each."""
-    split = list(map(split_words, texts))
-    n_words = np.fromiter(map(len, split), np.int64, len(split))
-    ids, n = encoder.expand(encoder.look_up([w for ws in split for w in ws]))
-    sums = np.concatenate([[0], np.cumsum(n)])
-    ends = sums[np.cumsum(n_words)]
+    odd = [i for i, t in enumerate(texts) if b"<|" in t]  # perhaps a special token, which is told by its case
+    if odd:
+        ids, counts = encode_texts([b"" if b"<|" in t else t for t in texts], encoder, end_id)
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for i in odd:
+            own = encoder.expand(encoder.look_up(texts[i].split()))[0]
+            parts[i] = np.append(np.asarray(own, np.int32), np.int32(end_id))
+        return np.concatenate(parts), np.array(list(map(len, parts)), np.int64)
+    data = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
+    limits = np.cumsum([len(t) + 1 for t in texts])
+    starts, ends = word_ranges(data)
+    ids, n = encoder.expand(words.look_up_ranges(encoder, data, starts, ends))
+    ends = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, limits)]
     counts = np.diff(ends, prepend=0)
     return np.insert(ids, ends, end_id), counts + 1
 
@@ -280,7 +293,7 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col: str = "do
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id")
             none = keys.is_null().to_numpy(zero_copy_only=False)
             held = keys.fill_null(0).to_numpy()
-            for a, b in words.pieces(list(map(len, texts)), 4 << 20):
+            for a, b in words.pieces(list(map(len, texts)), 1 << 20):
                 if out is None:
                     out, first = Writer(f"{folder}/{uuid.uuid4().hex}.pfor", percentile=percentile), (held[a], none[a])
                 ids, counts = encode_texts(texts[a:b], encoder, end_id)
