@@ -54,6 +54,12 @@ def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.recount(docs, vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard
+
+    return jaccard.classes(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing
 
@@ -79,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op8_vptree": op8_vptree,
         "op4_sentencepiece": op4_sentencepiece,
+        "op5_jaccard": op5_jaccard,
         "op6_mixing": op6_mixing,
         "op7_edit_counts": op7_edit_counts,
         "op9_warc": op9_warc,
