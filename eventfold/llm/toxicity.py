@@ -260,6 +260,11 @@ def solve(seen: Counter) -> float:
     return min(max(low, 0.2), 3.0)
 
 
+def _found(model: Model, scorer: Scorer, texts: list[bytes | None]) -> list[tuple[list, float]]:
+    held = [t or b"" for t in texts]
+    return [evidence(model, s) for a, b in words.pieces(list(map(len, held)), 1 << 20) for s in scorer.scores(held[a:b])]
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns keep, score, and passages: first and end word, sum and E of each significant one."""
     kinds = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("sum", pa.float64()), ("e", pa.float64())]))
@@ -267,10 +272,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            texts = [t or b"" for t in batch.column("_text").to_pylist()]
-            found = []
-            for a, b in words.pieces(list(map(len, texts)), 4 << 20):
-                found += [evidence(model, s) for s in scorer.scores(texts[a:b])]
+            found = _found(model, scorer, batch.column("_text").to_pylist())
             passages = [[{"first": a, "end": b, "sum": s, "e": e} for a, b, s, e in x] for x, _ in found]
             cols = [batch.column(c) for c in keep] + [pa.array([probability(t) for _, t in found], pa.float64()), pa.array(passages, kinds)]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "score", "passages"])
@@ -280,6 +282,19 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
     return rows.mapInArrow(run, f"{fields}, score double, passages array<struct<first: int, end: int, sum: double, e: double>>")
 
 
+def reject(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of docs that aren't toxic, with all their columns."""
+    model = fit(sample(docs, labels, fold("doc_id") != 1, max_rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            found = _found(model, scorer, batch.column(text_col).cast(pa.binary()).to_pylist())
+            yield batch.filter(pa.array([probability(t) < threshold for _, t in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",), hold_out: bool = True) -> DataFrame:
     """score, passages and predicted for all of docs. With hold_out the rows of fold 1 are not learnt from."""
     model = fit(sample(docs, labels, fold("doc_id") != 1 if hold_out else None, max_rows))
