@@ -10,7 +10,7 @@ lengthened, with the estimated number of candidates its prefix meets (COSTS); a
 Star phase. Within a shingle's postings only the document in which the shingle comes first stands as candidate to all others: a linear number of pairs, and as that document
 has the fewest shingles of its own it is the middle of its group. Verified links make components. Full phase. Postings with one component
 are settled, whatever their size. An entry is dropped if its place shows that it can't reach the required overlap with the smallest set of the posting; the remaining
-pairs of different components that share enough prefix shingles are verified by exact intersection. Links found there join components. So every two sets at or above
+pairs of different components are made once, at the first shingle that they share, and those that share enough prefix shingles are verified by exact intersection. Links found there join components. So every two sets at or above
 the threshold end in one component, while a group of copies costs its size and not its square.
 
 Defined results: null, empty and white-space texts have empty sets, which link with nothing, not with each other; fewer words than n make one shingle; rows with a null id are
@@ -39,6 +39,7 @@ MIN_BITS, MAX_BITS = 18, 26
 COSTS = (64, 1024, 16384)
 FAN = 256
 FILTER_BITS = 1 << 24
+WINDOW = 32
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 _SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
 
@@ -271,15 +272,21 @@ def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int =
     small = marked.groupBy("token").agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token", "least")
     left = marked.join(small, "token").where(F.col("reach") >= need("n", "least"))
     open_ = left.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    left = store.cut(left.drop("least").join(open_, "token"), "jaccard-open")
-    other = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "reach", "label")])
+    # a pair is made at the first shingle that it shares only: earlier ones, up to WINDOW before, are among what both sides carry
+    back = Window.partitionBy("node").orderBy("pos").rowsBetween(-WINDOW, -1)
+    left = store.cut(left.drop("least").join(open_, "token").withColumn("before", F.collect_list("token").over(back)), "jaccard-open")
+    other = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "reach", "label", "before")])
     fits = (
         (F.col("node") < F.col("node2"))
         & (F.col("label") != F.col("label2"))
         & (F.least("n", "n2") * base >= F.greatest("n", "n2") * top)
         & (F.least("reach", "reach2") >= need("n", "n2"))
+        & ~F.arrays_overlap("before", "before2")
     )
-    pairs = left.join(other, ["token"]).where(fits).groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("l", "l2")).alias("least_l")).where("c >= least_l")
+    met = left.join(other, ["token"]).where(fits).groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.min(F.least("l", "l2")).alias("least_l"))
+    prefixes = left.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    side = lambda c: prefixes.select(F.col("node").alias(c), F.col("tokens").alias(f"{c}_tokens"))
+    pairs = met.join(side("a"), "a").join(side("b"), "b").where(F.size(F.array_intersect("a_tokens", "b_tokens")) >= F.col("least_l"))
     more = store.cut(verify(pairs, texts, n, top, base), "jaccard-more")
     labels = components(links.union(more)) if more.limit(1).count() else first
 
