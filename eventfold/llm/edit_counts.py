@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CONTEXT = 3
 BLOCK = 64
-CACHE = 400_000
+CACHE = 300_000
 
 
 class Counter:

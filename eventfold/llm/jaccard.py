@@ -239,6 +239,7 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, top: int, base: int) -> D
 def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row: sets link at a Jaccard similarity of top / base or more."""
     spark = docs.sparkSession
+    store.small_batches(spark)
     n = words_each
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     bits = min(max(int(np.ceil(np.log2(max(docs.count(), 1) * 64))), MIN_BITS), MAX_BITS)

@@ -93,5 +93,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+MTREE_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+f AS (SELECT doc_id, len(sh) AS n, md5(CAST(list_sort(sh) AS VARCHAR)) AS h, sh FROM s),
+r AS (SELECT min(doc_id) AS rep, h, any_value(n) AS n, any_value(sh) AS sh FROM f WHERE n > 0 GROUP BY h),
+x AS (SELECT rep, n, unnest(sh) AS t FROM r),
+o AS (SELECT a.rep AS a, b.rep AS b, count(*) AS hits, any_value(a.n) AS na, any_value(b.n) AS nb FROM x a JOIN x b ON a.t = b.t AND a.rep < b.rep AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS (SELECT a, b FROM o WHERE 100 * hits >= 90 * (na + nb - hits)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+c(node, seen) AS (SELECT DISTINCT a, a FROM e UNION SELECT c.node, e.b FROM c JOIN e ON c.seen = e.a),
+m AS (SELECT node, min(seen) AS component FROM c GROUP BY node)
+SELECT f.doc_id, CAST(f.n AS BIGINT) AS n_shingles, CASE WHEN f.n = 0 THEN f.doc_id ELSE coalesce(m.component, r.rep) END AS component_id
+FROM f LEFT JOIN r ON f.h = r.h AND f.n > 0 LEFT JOIN m ON r.rep = m.node
+"""
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + CAST((CAST('0x' || substr(h, CAST(10 * (i // 8) + 1 AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31 AS BIGINT), 1)), '') AS b, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, b AS payload_digest, CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mtree": MTREE_SQL, "op5_jaccard": JACCARD_SQL, "op9_warc": WARC_SQL}

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import words
+from . import store, words
 
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -151,9 +151,9 @@ class Encoder:
 
         with open(path, "rb") as f:
             self.model = parse(f.read())
-        self.whole = rebuild(self.model)
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.chunked = in_chunks(self.model)
+        self._normalized = None
         self.bare = rebuild(self.model, normalize=False)
         self.cache = words.Flat(self._learn)
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
@@ -168,6 +168,13 @@ class Encoder:
         back = self.bare.decode_batch(right, skip_special_tokens=False)
         return words.flat_lists([[int(g != r or b.removeprefix(" ") != k.removeprefix(" ") and MARK not in k), *r] for k, g, r, b in zip(keys, got, right, back, strict=True)])
 
+    @property
+    def whole(self):
+        """The tokenizer for whole texts, made when one is needed."""
+        if self._normalized is None:
+            self._normalized = rebuild(self.model)
+        return self._normalized
+
     def _whole(self, texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
         held = [t.decode() for t in texts]
         got = [e.ids for e in self.whole.encode_batch_fast(held, add_special_tokens=False)]
@@ -212,6 +219,7 @@ def encoder(path: str) -> Encoder:
 def encode(docs: DataFrame, path: str, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = True) -> DataFrame:
     """Columns keep, ids (with with_ids), n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers), parity (both libraries agree),
     round_trip (decoding the ids gives the text)."""
+    store.small_batches(docs.sparkSession)
     rows = docs.select(*keep, F.col(text_col).cast("binary").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -226,7 +226,7 @@ def word_encoder(path: str) -> words.Flat:
             parts = iter(np.split(flat, np.cumsum(n)[:-1]))
             return words.flat_lists([tokenizer.encode(w.decode(), add_special_tokens=False).ids if o else next(parts) for w, o in zip(new, odd, strict=True)])
 
-        _ENCODERS[path] = words.Flat(encode)
+        _ENCODERS[path] = words.Flat(encode, 800_000)
     return _ENCODERS[path]
 
 
@@ -284,6 +284,7 @@ def in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
 def write(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", percentile: int = PERCENTILE) -> DataFrame:
     """Write the token files below the shared folder; gives the files, one row each."""
     spark = docs.sparkSession
+    store.small_batches(spark)
     folder = store.fresh(spark, "tokens")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 

@@ -115,7 +115,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.cache = words.Flat(lambda new: words.flat_lists([self._numbers(w.decode()) for w in new]), 600_000)
+        self.cache = words.Flat(lambda new: words.flat_lists([self._numbers(w.decode()) for w in new]))
         self.values: list[float] = []
         self.places: dict[float, int] = {}
 
@@ -180,6 +180,7 @@ def fit(rows: DataFrame) -> Model:
     """A model from rows of text and toxic (0 or 1), a bounded number of them."""
     from . import store
 
+    store.small_batches(rows.sparkSession)
     rows = store.cut(rows.select(F.md5("text").alias("m"), "text", F.col("toxic").cast("int").alias("toxic")), "toxicity-rows")
     rows = store.cut(one_of_each(rows), "toxicity-sample")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 300_000
 
 
 class _Numbers(dict):
