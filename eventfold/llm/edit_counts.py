@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import words
+
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CONTEXT = 3
@@ -163,13 +165,8 @@ class Tree:
             level = {i // 2 for i in level}
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
-    return _COUNTERS[path]
+    return words.sole(("edit counts", path), lambda: Counter(path))
 
 
 def recount(docs: DataFrame, path: str, *, edits_col: str = "edits", text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -10,7 +10,7 @@ lengthened, with the estimated number of candidates its prefix meets (COSTS); a
 Star phase. Within a shingle's postings only the document in which the shingle comes first stands as candidate to all others: a linear number of pairs, and as that document
 has the fewest shingles of its own it is the middle of its group. Verified links make components. Full phase. Postings with one component
 are settled, whatever their size. An entry is dropped if its place shows that it can't reach the required overlap with the smallest set of the posting; the remaining
-pairs of different components are made once, at the first shingle that they share, and those that share enough prefix shingles are verified by exact intersection. Links found there join components. So every two sets at or above
+pairs of different components whose parity bits allow the overlap are made once, at the first shingle that they share, and those that share enough prefix shingles are verified by exact intersection. Links found there join components. So every two sets at or above
 the threshold end in one component, while a group of copies costs its size and not its square.
 
 Defined results: null, empty and white-space texts have empty sets, which link with nothing, not with each other; fewer words than n make one shingle; rows with a null id are
@@ -40,6 +40,8 @@ COSTS = (64, 1024, 16384)
 FAN = 256
 FILTER_BITS = 1 << 24
 WINDOW = 32
+PARITIES = 16
+_BITS = [f"bits_{i}_" for i in range(PARITIES)]
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 _SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
 
@@ -189,8 +191,14 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return np.packbits(out)
 
 
+def parities(hashes: np.ndarray) -> list[int]:
+    """64 * PARITIES bits, each the parity of the shingles that fall to it: two sets differ in as many shingles at least as their bits do."""
+    odd = np.bincount((hashes & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
 def texts_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """node, data (the text, compressed) for documents whose id is in ids, and for a few more."""
+    """node, data (the text, compressed) and parities for documents whose id is in ids, and for a few more."""
     held = rows.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,14 +207,15 @@ def texts_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             at = batch.column("bit").to_numpy()
             mine = batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
             for _, _, texts, sets in _batches(mine, n):
-                out = [(node_of(s), t) for s, t in zip(sets, texts, strict=True) if len(s)]
-                out = [seen.add(k) or (k, zstandard.compress(t, 1)) for k, t in out if k not in seen]
-                out = list(dict(out).items())
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["node", "data"])
+                new = {k: (s, t) for s, t in zip(sets, texts, strict=True) if len(s) and (k := node_of(s)) not in seen}
+                seen.update(new)
+                odd = [parities(s) for s, _ in new.values()]
+                cols = [pa.array(list(new), pa.int64()), pa.array([zstandard.compress(t, 1) for _, t in new.values()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols + [pa.array([x[i] for x in odd], pa.int64()) for i in range(PARITIES)], names=["node", "data", *_BITS])
 
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
-    found = rows.where("doc_id is not null").select(bit.alias("bit"), "text").mapInArrow(run, "node long, data binary")
-    return found.groupBy("node").agg(F.first("data").alias("data"))
+    found = rows.where("doc_id is not null").select(bit.alias("bit"), "text").mapInArrow(run, f"node long, data binary, {', '.join(b + ' long' for b in _BITS)}")
+    return found.groupBy("node").agg(F.first("data").alias("data"), *[F.first(b).alias(b) for b in _BITS])
 
 
 def verify(pairs: DataFrame, texts: DataFrame, n: int, top: int, base: int) -> DataFrame:
@@ -275,13 +284,17 @@ def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int =
     open_ = left.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
     # a pair is made at the first shingle that it shares only: earlier ones, up to WINDOW before, are among what both sides carry
     back = Window.partitionBy("node").orderBy("pos").rowsBetween(-WINDOW, -1)
-    left = store.cut(left.drop("least").join(open_, "token").withColumn("before", F.collect_list("token").over(back)), "jaccard-open")
-    other = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "reach", "label", "before")])
+    left = store.cut(left.drop("least").join(open_, "token").withColumn("before", F.collect_list("token").over(back)).join(texts.select("node", *_BITS), "node"), "jaccard-open")
+    other = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "reach", "label", "before", *_BITS)])
+    apart = F.lit(0)
+    for b in _BITS:
+        apart = apart + F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}2")))
     fits = (
         (F.col("node") < F.col("node2"))
         & (F.col("label") != F.col("label2"))
         & (F.least("n", "n2") * base >= F.greatest("n", "n2") * top)
         & (F.least("reach", "reach2") >= need("n", "n2"))
+        & (F.col("n") + F.col("n2") - apart >= 2 * need("n", "n2"))
         & ~F.arrays_overlap("before", "before2")
     )
     met = left.join(other, ["token"]).where(fits).groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.min(F.least("l", "l2")).alias("least_l"))

@@ -7,7 +7,7 @@ their id; each bucket leaves one fractional document at most, and the left-overs
 tree, until a source has one left, which is rounded alone. So a source's taken words differ from its target by less than its largest document.
 
 Chance comes from hashes of ids and a seed, so reruns agree whatever the partitions. Defined results: a null or empty text
-has size 0 and takes 0 words; a null source is a source of its own, the last in order; rows with equal ids are documents of
+has size 0 and isn't taken; a null source is a source of its own, the last in order; rows with equal ids are documents of
 their own; an empty table gives no rows; further columns are ignored.
 """
 
@@ -143,7 +143,7 @@ def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.withColumn("copies", F.col("whole") + F.col("p").cast("long"))
+    return out.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.col("p").cast("long")).otherwise(F.lit(0).cast("long")))
 
 
 def mix_table(docs: DataFrame) -> DataFrame:

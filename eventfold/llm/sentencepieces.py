@@ -159,7 +159,11 @@ class Encoder:
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks; each list has a flag before it: 1 where the libraries differ."""
+        """Ids of chunks; each list has a flag before it: 1 where the libraries differ. The libraries' results are large, so they are asked by some thousands."""
+        parts = [self._some(new[a : a + 4000]) for a in range(0, len(new), 4000)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _some(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         keys = [w.decode() for w in new]
         got = [e.ids for e in self.bare.encode_batch_fast([k if k[:1] == "\n" else MARK + k.replace(" ", MARK) for k in keys], add_special_tokens=False)]
         right = [ids[1:] if k[:1] == "\n" else ids for k, ids in zip(keys, self.library.encode(keys, num_threads=1), strict=True)]
@@ -207,13 +211,8 @@ class Encoder:
         return out[1:] if self.model.dummy_prefix and out[:1] == b" " else out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return words.sole(("sentencepieces", path), lambda: Encoder(path))
 
 
 def encode(docs: DataFrame, path: str, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = True) -> DataFrame:
@@ -226,7 +225,7 @@ def encode(docs: DataFrame, path: str, *, text_col: str = "text", keep: tuple[st
         own = encoder(path)
         for batch in batches:
             texts = [t or b"" for t in batch.column("_text").to_pylist()]
-            for a, b in words.pieces(list(map(len, texts)), 4 << 20):
+            for a, b in words.pieces(list(map(len, texts)), 1 << 20):
                 part = texts[a:b]
                 ids, ok = own.encode(part)
                 cols = [batch.column(c)[a:b] for c in keep]

@@ -196,38 +196,36 @@ class Reader:
         self.file.close()
 
 
-_ENCODERS: dict[str, words.Flat] = {}
-
-
 def word_encoder(path: str) -> words.Flat:
     """Ids of white-space-free words by a tokenizer of the tokenizers library whose pre-tokens hold no ASCII white space.
 
     Words go to the tokenizer many at a time, with a special token between them; a word that may itself hold one goes alone.
     """
-    if path not in _ENCODERS:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        special = min((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special)
-
-        def many(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            joined = [special[1].join(new[a : a + 200]) for a in range(0, len(new), 200)]
-            lists = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-            ids = np.concatenate([np.append(np.asarray(e.ids, np.int32), special[0]) for e in lists])
-            ends = np.flatnonzero(ids == special[0])
-            return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
-
-        def encode(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            odd = [b"<" in w and len(w) > 1 for w in new]
-            if not any(odd):
-                return many([w.decode() for w in new])
-            plain = iter(many([w.decode() for w, o in zip(new, odd, strict=True) if not o] or ["a"])[::-1])
-            n, flat = next(plain), next(plain)
-            parts = iter(np.split(flat, np.cumsum(n)[:-1]))
-            return words.flat_lists([tokenizer.encode(w.decode(), add_special_tokens=False).ids if o else next(parts) for w, o in zip(new, odd, strict=True)])
-
-        _ENCODERS[path] = words.Flat(encode, 800_000)
-    return _ENCODERS[path]
+    return words.sole(("token file", path), lambda: _word_encoder(path))
+
+
+def _word_encoder(path: str) -> words.Flat:
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    special = min((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special)
+
+    def many(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined = [special[1].join(new[a : a + 200]) for a in range(0, len(new), 200)]
+        lists = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.concatenate([np.append(np.asarray(e.ids, np.int32), special[0]) for e in lists])
+        ends = np.flatnonzero(ids == special[0])
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
+    def encode(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        odd = [b"<" in w and len(w) > 1 for w in new]
+        if not any(odd):
+            return many([w.decode() for w in new])
+        flat, n = many([w.decode() for w, o in zip(new, odd, strict=True) if not o] or ["a"])
+        parts = iter(np.split(flat, np.cumsum(n)[:-1]))
+        return words.flat_lists([tokenizer.encode(w.decode(), add_special_tokens=False).ids if o else next(parts) for w, o in zip(new, odd, strict=True)])
+
+    return words.Flat(encode, 800_000)
 
 
 _SPACE, _ALNUM, _POINT = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", b"abcdefghijklmnopqrstuvwxyz0123456789", b".,;:!?"))

@@ -19,6 +19,7 @@ or repeated ids are scored one by one; conflicting labels of an id or text count
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -52,6 +53,10 @@ class Model:
     lam: float
     k: float
 
+    @property
+    def key(self) -> str:
+        return hashlib.md5(repr(sorted(self.weights.items())).encode()).hexdigest()
+
     def word(self, w: str) -> float:
         got = self.weights.get(w)
         if got is None:
@@ -137,6 +142,10 @@ class Scorer:
         return np.split(all_, ends[:-1])
 
 
+def scorer_of(model: Model) -> Scorer:
+    return words.sole(("toxicity", model.key), lambda: Scorer(model))
+
+
 def fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
 
@@ -223,7 +232,7 @@ def calibrate(rows: DataFrame, weights: dict[str, float]) -> Model:
     plain = Model(weights, 1.0, 1.0)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, seen, best = Scorer(plain), Counter(), []
+        scorer, seen, best = scorer_of(plain), Counter(), []
         for batch in batches:
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             for a, b in words.pieces(list(map(len, texts)), 4 << 20):
@@ -271,7 +280,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
     kinds = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("sum", pa.float64()), ("e", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = scorer_of(model)
         for batch in batches:
             found = _found(model, scorer, batch.column("_text").to_pylist())
             passages = [[{"first": a, "end": b, "sum": s, "e": e} for a, b, s, e in x] for x, _ in found]
@@ -288,7 +297,7 @@ def reject(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS, thre
     model = fit(sample(docs, labels, fold("doc_id") != 1, max_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = scorer_of(model)
         for batch in batches:
             found = _found(model, scorer, batch.column(text_col).cast(pa.binary()).to_pylist())
             yield batch.filter(pa.array([probability(t) < threshold for _, t in found], pa.bool_()))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -9,6 +12,20 @@ import numpy as np
 CACHE_ENTRIES = 300_000
 
 
+_HELD: dict[object, object] = {}
+
+
+def sole(key: object, make: Callable[[], object]):
+    """What make gives, kept for later tasks of this Python worker; only one such thing at a time, as each is large."""
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 class _Numbers(dict):
     """Numbers words as they come."""
 
