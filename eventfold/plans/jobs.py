@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates, taxonomy, text, titles
+from ..functions import dates, extract, taxonomy, text, titles
 from ..operators import dedupe, merge, report
 
 
@@ -49,3 +49,30 @@ def judge(candidates: DataFrame, today: dt.date) -> DataFrame:
     told = candidates.withColumn("category", taxonomy.category(c("name")["value"], c("description")["value"])).withColumn("failed", report.failures(today))
     past = report.record_past(dates.from_display(c("date")["value"]), c("end_date")["value"], dates.from_display(c("end_date")["value"]), today)
     return told.withColumn("status", report.status(c("category") == "Reject", past, c("conflicts"), c("failed")))
+
+
+def from_lists(lists: DataFrame, details: DataFrame, state: DataFrame, today: dt.date) -> DataFrame:
+    """Records of list pages (ord, url, organizer, country, html) and detail pages (url, html): fields merged, judged, with event ids, and unchanged ones as the state (event_id, fingerprint, record) holds them.
+
+    A card whose link is its own page takes that page's fields too; one row for each event id of a country, the first.
+    """
+    c = F.col
+    cards = lists.withColumn("_e", F.explode(extract.list_page(c("html"), c("url"), today))).select("ord", c("url").alias("source_url"), "organizer", c("country").alias("source_country"), c("_e.fields").alias("l"), c("_e.link").alias("card_link"), c("_e.card_text").alias("card_text"), c("_e.conflict").alias("card_conflict"))
+    cards = report.own_page(cards, "card_link", "source_url")
+    pages = details.select(c("url").alias("_url"), c("html").alias("_html")).dropDuplicates(["_url"])
+    joined = cards.join(pages, c("own_page") & (c("card_link") == c("_url")), "left").withColumn("d", extract.detail_page(c("_html"), c("card_link"), c("organizer"), today)["fields"])
+    has = c("_html").isNotNull()
+    flat = joined.select("*", *[c(f"l.{x}").alias(f"l_{x}") for x in extract.COLUMNS], *[F.when(has, c(f"d.{x}")).alias(f"d_{x}") for x in extract.COLUMNS]).drop("l", "d")
+    both = merge.merge_fields(flat.withColumn("page", F.concat_ws(" ", "card_text", extract.page_text(c("_html")))), extract.COLUMNS)
+    told = judge(both.withColumn("conflicts", F.when(c("card_conflict") != "", F.array_append("conflicts", F.lit("card"))).otherwise(c("conflicts"))), today)
+    value = lambda x: c(x)["value"]
+    link = F.when(c("own_page"), c("card_link")).otherwise(F.lit(""))
+    rows = told.select(
+        "ord", text.event_id(c("organizer"), value("name"), link, c("source_url"), value("date")).alias("event_id"), "status", value("name").alias("event_name"), value("date").alias("date"), value("end_date").alias("end_date"),
+        value("location").alias("location"), value("format").alias("format"), value("description").alias("description"), c("card_link").alias("register_link"), "source_url", "organizer", "category",
+        titles.resolved_country(value("location"), c("source_country")).alias("country"), "failed", "conflicts", text.fingerprint(c("card_text"), c("page")).alias("fingerprint"),
+    )
+    one = dedupe.keep_first(rows, ["country", "event_id"], ["ord", "event_name"])
+    held = state.select("event_id", c("fingerprint").alias("_f"), c("status").alias("_s"))
+    same = F.coalesce(c("fingerprint") == c("_f"), F.lit(False))
+    return one.join(held, "event_id", "left").withColumns({"status": F.when(same, c("_s")).otherwise(c("status")), "changed": ~same}).drop("_f", "_s")
