@@ -10,7 +10,7 @@ lengthened, with the estimated number of candidates its prefix meets (COSTS); a
 Star phase. Within a shingle's postings only the document in which the shingle comes first stands as candidate to all others: a linear number of pairs, and as that document
 has the fewest shingles of its own it is the middle of its group. Verified links make components. Full phase. Postings with one component
 are settled, whatever their size. An entry is dropped if its place shows that it can't reach the required overlap with the smallest set of the posting; the remaining
-pairs of different components whose parity bits allow the overlap are made once, at the first shingle that they share, and those that share enough prefix shingles are verified by exact intersection. Links found there join components. So every two sets at or above
+pairs of different components that share enough prefix shingles, and whose parity bits allow the overlap, are verified by exact intersection. Links found there join components. So every two sets at or above
 the threshold end in one component, while a group of copies costs its size and not its square.
 
 Defined results: null, empty and white-space texts have empty sets, which link with nothing, not with each other; fewer words than n make one shingle; rows with a null id are
@@ -39,8 +39,9 @@ MIN_BITS, MAX_BITS = 18, 26
 COSTS = (64, 1024, 16384)
 FAN = 256
 FILTER_BITS = 1 << 24
-WINDOW = 32
-PARITIES = 16
+WINDOW = 12
+PARITIES = 8
+HOT = 16
 _BITS = [f"bits_{i}_" for i in range(PARITIES)]
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 _SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
@@ -89,10 +90,17 @@ def _batches(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, int, list[byt
         yield a, b, texts[a:b], shingle_sets(texts[a:b], n)
 
 
+def parities(hashes: np.ndarray) -> list[int]:
+    """64 * PARITIES bits, each the parity of the shingles that fall to it: two sets differ in as many shingles at least as their bits do."""
+    odd = np.bincount((hashes & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
 def survey(rows: DataFrame, n: int, bits: int) -> DataFrame:
-    """A row (doc_id, node, n) for each document, and rows (slice, part, counts) of the sketch."""
-    names = ["doc_id", "node", "n", "slice", "part", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    """A row (doc_id, node, n, parities) for each document, and rows (slice, part, counts) of the sketch."""
+    names = ["doc_id", "node", "n", *_BITS, "slice", "part", "counts"]
+    own = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * PARITIES]
+    more = [pa.int32(), pa.int64(), pa.binary()]
     shift = np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,17 +108,18 @@ def survey(rows: DataFrame, n: int, bits: int) -> DataFrame:
         for batch in batches:
             for a, b, _, sets in _batches(batch, n):
                 np.add.at(cells, np.concatenate(sets) >> shift, 1)
-                size = list(map(len, sets))
+                size, odd = list(map(len, sets)), [parities(s) for s in sets]
                 cols = [batch.column("doc_id")[a:b], pa.array([node_of(s) for s in sets], pa.int64()), pa.array(size, pa.int32())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.nulls(b - a, k) for k in kinds[3:]], names=names)
+                cols += [pa.array([x[i] for x in odd], pa.int64()) for i in range(PARITIES)]
+                yield pa.RecordBatch.from_arrays(cols + [pa.nulls(b - a, k) for k in more], names=names)
         part = TaskContext.get().partitionId()
         for a in range(0, len(cells), 64 * SLICE):
             held = [(i, cells[i * SLICE : (i + 1) * SLICE]) for i in range(a // SLICE, min(a + 64 * SLICE, len(cells)) // SLICE)]
             held = [(i, zstandard.compress(c.astype("<u4").tobytes(), 1)) for i, c in held if c.any()]
-            cols = [pa.nulls(len(held), k) for k in kinds[:3]] + [pa.array([h[0] for h in held], pa.int32()), pa.array([part] * len(held), pa.int64()), pa.array([h[1] for h in held], pa.binary())]
+            cols = [pa.nulls(len(held), k) for k in own] + [pa.array([h[0] for h in held], pa.int32()), pa.array([part] * len(held), pa.int64()), pa.array([h[1] for h in held], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return rows.mapInArrow(run, "doc_id long, node long, n int, slice int, part long, counts binary")
+    return rows.mapInArrow(run, f"doc_id long, node long, n int, {', '.join(b + ' long' for b in _BITS)}, slice int, part long, counts binary")
 
 
 def levels(sketch: DataFrame, bits: int) -> np.ndarray:
@@ -191,14 +200,8 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return np.packbits(out)
 
 
-def parities(hashes: np.ndarray) -> list[int]:
-    """64 * PARITIES bits, each the parity of the shingles that fall to it: two sets differ in as many shingles at least as their bits do."""
-    odd = np.bincount((hashes & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
-
-
 def texts_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """node, data (the text, compressed) and parities for documents whose id is in ids, and for a few more."""
+    """node, data (the text, compressed) for documents whose id is in ids, and for a few more."""
     held = rows.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,15 +210,14 @@ def texts_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             at = batch.column("bit").to_numpy()
             mine = batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
             for _, _, texts, sets in _batches(mine, n):
-                new = {k: (s, t) for s, t in zip(sets, texts, strict=True) if len(s) and (k := node_of(s)) not in seen}
+                new = {k: t for s, t in zip(sets, texts, strict=True) if len(s) and (k := node_of(s)) not in seen}
                 seen.update(new)
-                odd = [parities(s) for s, _ in new.values()]
-                cols = [pa.array(list(new), pa.int64()), pa.array([zstandard.compress(t, 1) for _, t in new.values()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array([x[i] for x in odd], pa.int64()) for i in range(PARITIES)], names=["node", "data", *_BITS])
+                cols = [pa.array(list(new), pa.int64()), pa.array([zstandard.compress(t, 1) for t in new.values()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["node", "data"])
 
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
-    found = rows.where("doc_id is not null").select(bit.alias("bit"), "text").mapInArrow(run, f"node long, data binary, {', '.join(b + ' long' for b in _BITS)}")
-    return found.groupBy("node").agg(F.first("data").alias("data"), *[F.first(b).alias(b) for b in _BITS])
+    found = rows.where("doc_id is not null").select(bit.alias("bit"), "text").mapInArrow(run, "node long, data binary")
+    return found.groupBy("node").agg(F.first("data").alias("data"))
 
 
 def verify(pairs: DataFrame, texts: DataFrame, n: int, top: int, base: int) -> DataFrame:
@@ -245,6 +247,14 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, top: int, base: int) -> D
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _apart(x: str, y: str) -> Column:
+    """How many parity bits differ."""
+    out = F.lit(0)
+    for b in _BITS:
+        out = out + F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b)))
+    return out
+
+
 def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row: sets link at a Jaccard similarity of top / base or more."""
     spark = docs.sparkSession
@@ -255,53 +265,68 @@ def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int =
     found = store.cut(survey(rows, n, bits), "jaccard-survey")
     own = found.where("node is not null").select("doc_id", "node", "n")
     level = levels(found.where("slice is not null").select("slice", "part", "counts"), bits)
-    nodes = store.cut(own.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-nodes")
+    nodes = store.cut(found.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *[F.first(b).alias(b) for b in _BITS]), "jaccard-nodes")
 
     ratio = F.lit(top / (top + base))
     need = lambda x, y: F.ceil(ratio * (F.col(x) + F.col(y)) - 1e-6)
+    near_size = lambda x, y: F.least(x, y) * base >= F.greatest(x, y) * top
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Those of pairs (a, b with sizes n, n2) whose parity bits allow the overlap."""
+        side = lambda c, tag: nodes.select(F.col("node").alias(c), *[F.col(b).alias(tag + b) for b in _BITS])
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(F.col("n") + F.col("n2") - _apart("x", "y") >= 2 * need("n", "n2")).select(*pairs.columns)
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        both = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        texts = store.cut(texts_of(rows, both.join(nodes, "node").select(F.col("rep").alias("doc_id")), n), f"{name}-texts")
+        out = store.cut(verify(pairs, texts, n, top, base), name)
+        store.release(texts)
+        return out
+
+    # all columns serve both uses, so that the postings are made and dealt out once
     posted = postings(rows.where("doc_id is not null"), n, level, top, base).repartition(parts, "token")
-    shared = posted.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n")).alias("lead")).where("low < high").select("token", "lead")
+    shared = posted.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n", "l")).alias("lead")).where("low < high").select("token", "lead")
     near = posted.join(shared, "token").repartition(parts, "node").dropDuplicates(["node", "pos"])
     place = Window.partitionBy("node").orderBy("pos")
-    entries = store.cut(
-        near.withColumn("reach", F.row_number().over(place) - 1 + F.col("n") - F.col("pos")).select("token", "node", "n", "pos", "l", "reach", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")),
-        "jaccard-entries",
-    )
+    reach = F.row_number().over(place) - 1 + F.col("n") - F.col("pos")
+    entries = store.cut(near.withColumn("reach", reach).select("token", "node", "n", "pos", "l", "reach", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.l").alias("lead_l")), "jaccard-entries")
+    del posted, shared, near
 
     # star phase: the two leaders that a node shares most prefix shingles with
-    likely = entries.where((F.col("node") != F.col("lead")) & (F.least("n", "lead_n") * base >= F.greatest("n", "lead_n") * top)).groupBy("node", "lead").agg(F.count("*").alias("c"))
-    stars = likely.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "lead"))).where("r <= 2").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-    wanted = entries.select("node").distinct().join(nodes, "node").select(F.col("rep").alias("doc_id"))
-    texts = store.cut(texts_of(rows, wanted, n), "jaccard-texts")
-    links = store.cut(verify(stars, texts, n, top, base), "jaccard-links")
+    likely = entries.where((F.col("node") != F.col("lead")) & near_size("n", "lead_n")).groupBy("node", "lead").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("lead_n").alias("n2"))
+    likely = likely.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "lead"))).where("r <= 2")
+    stars = store.cut(alike(likely.select(F.col("node").alias("a"), F.col("lead").alias("b"), "n", "n2")), "jaccard-stars")
+    links = linked(stars, "jaccard-links")
     first = components(links)
 
     # full phase
-    marked = store.cut(entries.drop("lead", "lead_n").join(first, "node", "left").withColumn("label", F.coalesce("label", "node")), "jaccard-marked")
+    marked = store.cut(entries.drop("lead", "lead_n", "lead_l").join(first, "node", "left").withColumn("label", F.coalesce("label", "node")), "jaccard-marked")
     small = marked.groupBy("token").agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token", "least")
     left = marked.join(small, "token").where(F.col("reach") >= need("n", "least"))
-    open_ = left.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    # a pair is made at the first shingle that it shares only: earlier ones, up to WINDOW before, are among what both sides carry
+    open_ = left.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low < high").select("token", "size")
+    left = store.cut(left.drop("least").join(open_, "token"), "jaccard-open")
+    store.release(entries, marked, stars)
+
+    def meet(side: DataFrame, more: list[str], condition: Column | None = None) -> DataFrame:
+        cols = ["node", "n", "l", "reach", "label", *more]
+        other = side.select("token", *[F.col(c).alias(f"2{c}" if c in more else f"{c}2") for c in cols])
+        fits = (F.col("node") < F.col("node2")) & (F.col("label") != F.col("label2")) & near_size("n", "n2") & (F.least("reach", "reach2") >= need("n", "n2"))
+        met = side.select("token", *cols).join(other, "token").where(fits if condition is None else fits & condition)
+        return met.select(F.col("node").alias("a"), F.col("node2").alias("b"), "n", "n2", F.least("l", "l2").alias("l"))
+
+    # in long postings a pair is made only if its parity bits allow it, and only at the first shingle that it shares: earlier ones, up to WINDOW before, are among what both sides carry
     back = Window.partitionBy("node").orderBy("pos").rowsBetween(-WINDOW, -1)
-    left = store.cut(left.drop("least").join(open_, "token").withColumn("before", F.collect_list("token").over(back)).join(texts.select("node", *_BITS), "node"), "jaccard-open")
-    other = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "reach", "label", "before", *_BITS)])
-    apart = F.lit(0)
-    for b in _BITS:
-        apart = apart + F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}2")))
-    fits = (
-        (F.col("node") < F.col("node2"))
-        & (F.col("label") != F.col("label2"))
-        & (F.least("n", "n2") * base >= F.greatest("n", "n2") * top)
-        & (F.least("reach", "reach2") >= need("n", "n2"))
-        & (F.col("n") + F.col("n2") - apart >= 2 * need("n", "n2"))
-        & ~F.arrays_overlap("before", "before2")
-    )
-    met = left.join(other, ["token"]).where(fits).groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.min(F.least("l", "l2")).alias("least_l"))
+    hot = left.where(F.col("size") > HOT).withColumn("before", F.collect_list("token").over(back)).join(nodes.select("node", *_BITS), "node")
+    allowed = (F.col("n") + F.col("n2") - _apart("", "2") >= 2 * need("n", "n2")) & ~F.arrays_overlap("before", "2before")
+    met = meet(left.where(F.col("size") <= HOT), []).union(meet(hot, ["before", *_BITS], allowed))
+    met = alike(met.groupBy("a", "b").agg(F.first("n").alias("n"), F.first("n2").alias("n2"), F.min("l").alias("l")))
     prefixes = left.groupBy("node").agg(F.collect_list("token").alias("tokens"))
     side = lambda c: prefixes.select(F.col("node").alias(c), F.col("tokens").alias(f"{c}_tokens"))
-    pairs = met.join(side("a"), "a").join(side("b"), "b").where(F.size(F.array_intersect("a_tokens", "b_tokens")) >= F.col("least_l"))
-    more = store.cut(verify(pairs, texts, n, top, base), "jaccard-more")
+    enough = F.size(F.array_intersect("a_tokens", "b_tokens")) >= F.col("l")
+    pairs = store.cut(met.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b"), "jaccard-pairs")
+    store.release(left)
+    more = linked(pairs, "jaccard-more")
     labels = components(links.union(more)) if more.limit(1).count() else first
 
     # the least id of a component, and each row's

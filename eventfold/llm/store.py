@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -11,6 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
+_PATHS: dict[int, str] = {}
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
@@ -56,11 +58,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read again: lineage ends here and survives lost executors."""
     path = fresh(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop(df_path: str, spark: SparkSession) -> None:
-    _forget(spark, df_path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that cut wrote and nothing reads any more, and lets Spark drop the shuffle files of what is out of use."""
+    for df in tables:
+        spark = df.sparkSession
+        if path := _PATHS.pop(id(df), None):
+            _forget(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
