@@ -104,6 +104,7 @@ def survey(rows: DataFrame, n: int, bits: int) -> DataFrame:
     shift = np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.sole("sketch", object)  # what other operators keep in this worker goes
         cells = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for a, b, _, sets in _batches(batch, n):
@@ -261,7 +262,7 @@ def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int =
     store.small_batches(spark)
     n = words_each
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    bits = min(max(int(np.ceil(np.log2(max(docs.count(), 1) * 64))), MIN_BITS), MAX_BITS)
+    bits = min(max(int(np.ceil(np.log2(max(docs.count(), 1) * 32))), MIN_BITS), MAX_BITS)
     found = store.cut(survey(rows, n, bits), "jaccard-survey")
     own = found.where("node is not null").select("doc_id", "node", "n")
     level = levels(found.where("slice is not null").select("slice", "part", "counts"), bits)
