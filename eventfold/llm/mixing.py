@@ -4,7 +4,8 @@ A source's target over its size is the copies that each of its documents gets on
 taken at once; the fractions are rounded in pairs: of two fractional documents a random one gains and the other loses, words
 staying equal in sum, until one is 0 or 1. Rows of a source are dealt to buckets of bounded size by a hash of
 their id; each bucket leaves one fractional document at most, and the left-overs of up to FAN buckets meet in the next level of a
-tree, until a source has one left, which is rounded alone. So a source's taken words differ from its target by less than its largest document.
+tree, until a source has one left, which is rounded alone. Documents above 1 / 256 of their source are settled first, octave by octave of sizes, and the smaller ones
+make good what rounding a last large one gains or loses. So a source's taken words differ from its target by less than a small document where it has many, and by less than its largest always.
 
 Chance comes from hashes of ids and a seed, so reruns agree whatever the partitions. Defined results: a null or empty text
 has size 0 and isn't taken; a null source is a source of its own, the last in order; rows with equal ids are documents of
@@ -28,6 +29,7 @@ SHARE = 1.5
 MOST = 2.0
 BUCKET_ROWS = 2048
 FAN = 256
+OCTAVES = 8
 
 
 def size_of(text: str) -> F.Column:
@@ -100,6 +102,27 @@ def pivot(p: np.ndarray, w: np.ndarray, keys: np.ndarray, seed: int) -> np.ndarr
     return p
 
 
+def settle_large(rows: pd.DataFrame, seed: int = 0) -> pd.DataFrame:
+    """Rounds a source's large documents, from the largest octave of sizes down; what the last one of an octave gains or loses in rounding, all smaller documents make good.
+
+    rows: those above 1 / 2**OCTAVES of the source, so 2**OCTAVES at most. Column pool is the probability that is left for the rest.
+    """
+    rows = rows.sort_values(["size", "key", "row_id"], ascending=[False, True, True], kind="stable")
+    size, keys = rows["size"].to_numpy().astype(np.float64), rows["key"].to_numpy().astype(np.uint64)
+    p, pool, rest = rows["p"].to_numpy().copy(), float(rows["p"].iloc[0]), float(rows["source_size"].iloc[0])
+    octave = np.floor(np.log2(rest / size)).astype(int)
+    for o in np.unique(octave):
+        own = np.flatnonzero(octave == o)
+        rest -= size[own].sum()
+        p[own] = pivot(np.full(len(own), pool), size[own], keys[own], seed + 31 * int(o))
+        for i in own[(p[own] > 0) & (p[own] < 1)]:
+            to = float(chance(keys[i : i + 1], keys[i : i + 1], seed + 99)[0] < p[i])
+            if rest > 0.5:
+                pool = min(max(pool + (p[i] - to) * size[i] / rest, 0.0), 1.0)
+            p[i] = to
+    return rows.assign(p=p, pool=pool)
+
+
 def _round_groups(seed: int, last: bool):
     """For applyInPandas: rounds a bucket; in the last level also the one that is left."""
 
@@ -128,15 +151,21 @@ def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
         .withColumn("row_id", F.monotonically_increasing_id())
         .select("doc_id", "source", "size", "source_size", "target", "whole", "key", "p", "bucket", "rank", "row_id")
     )
+    open_ = (F.col("p") > 0) & (F.col("p") < 1)
+    large = open_ & (F.col("size") * 2**OCTAVES > F.col("source_size"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in deep.schema)
+    deep = store.cut(deep, "mix-deep")
+    settled = store.cut(deep.where(large).groupBy("rank").applyInPandas(lambda rows: settle_large(rows, seed), f"{fields}, pool double"), "mix-large")
+    pools = settled.groupBy("rank").agg(F.min("pool").alias("pool"))
+    deep = deep.where(~large).join(pools, "rank", "left").withColumn("p", F.when(open_, F.coalesce("pool", "p")).otherwise(F.col("p"))).select(*deep.columns)
     most_buckets = aims.agg(F.max(F.ceil(F.col("n_docs") / BUCKET_ROWS))).first()[0] or 1
-    state, done, level = deep, [], 0
+    state, done, level = deep, [settled.drop("pool")], 0
     while True:
         last = most_buckets <= 1
         state = store.cut(state.groupBy("rank", "bucket").applyInPandas(_round_groups(seed + 1000 * level, last), deep.schema), "mix-level")
         if last:
             done.append(state)
             break
-        open_ = (F.col("p") > 0) & (F.col("p") < 1)
         done.append(state.where(~open_))
         state = state.where(open_).withColumn("bucket", F.floor(F.col("bucket") / FAN).cast("long"))
         most_buckets, level = -(-most_buckets // FAN), level + 1
