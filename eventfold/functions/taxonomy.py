@@ -72,9 +72,14 @@ def scores(title: Column, description: Column, path: str = DEFAULT) -> dict[str,
 
 def category(title: Column, description: Column, path: str = DEFAULT) -> Column:
     """Tax, Legal, Finance (ties in this order), Reject or Unclear."""
-    by = scores(title, description, path)
-    top = F.greatest(*by.values())
-    out = F.when(rejection(title, description).isNotNull(), "Reject").when(top < ACCEPT, "Unclear")
-    for c in fixed.CATEGORY_ORDER:
-        out = out.when(by[c] == top, c)
-    return out
+    # bound once in a lambda: as plain expressions the scores would be worked out anew for each comparison
+    told = F.struct(*[c.alias(k) for k, c in scores(title, description, path).items()], rejection(title, description).alias("rejection"))
+
+    def choose(x: Column) -> Column:
+        top = F.greatest(*[x[c] for c in fixed.CATEGORY_ORDER])
+        out = F.when(x["rejection"].isNotNull(), "Reject").when(top < ACCEPT, "Unclear")
+        for c in fixed.CATEGORY_ORDER:
+            out = out.when(x[c] == top, c)
+        return out
+
+    return F.element_at(F.transform(F.array(told), choose), 1)
