@@ -10,11 +10,12 @@ Scoring: documents go in blocks; the counts of a block are dealt to shards by a
 below it share, so a shard of the count tables answers all its codes. Groups of a shard and a bounded number of blocks (salted) are joined, each giving the blocks'
 partial sums, which are added up by block. No task holds more than a shard (8 middle bytes) and SALT_BLOCKS blocks.
 
-Threshold: per language the QUANTILE of the perplexities of trusted documents that were held out from counting (one in HOLD_OUT by checksum of the id),
-times SLACK. Documents above it are rejected.
+Threshold: one trusted document in HOLD_OUT, by checksum of its id, isn't counted (where that leaves a language none of two or more, the one of least checksum). Per
+language, excess is log-perplexity over the held-out median, times sqrt(n / (n + EVEN)) for n symbols, as short texts vary more. Its QUANTILE over held-out documents of the
+language, or of all languages where it has fewer than FEW, gives each length its limit. Documents above theirs are rejected.
 
 Defined results: null and empty texts have no perplexity and are rejected; a null lang is a language of its own; a document in a language without trusted text has
-no perplexity and is kept, as nothing speaks against it; rows with equal or null ids are scored one by one (rows of equal id get a row each); conflicting labels count as trusted if any does.
+no perplexity and is kept, as nothing speaks against it; so is one in a language with a single trusted document, which has no threshold; rows with equal or null ids are scored one by one (rows of equal id get a row each); conflicting labels count as trusted if any does.
 """
 
 from __future__ import annotations
@@ -36,8 +37,9 @@ SHARDS = 32
 BLOCK_DOCS = 512
 BLOCK_BYTES = 4 << 20
 SALT_BLOCKS = 48
-QUANTILE = 0.995
-SLACK = 1.2
+QUANTILE = 0.98
+EVEN = 1000
+FEW = 30
 HOLD_OUT = 5
 
 
@@ -259,20 +261,44 @@ def perplexities(docs: DataFrame, shards: DataFrame, n_docs: int) -> DataFrame:
     return parts.groupBy("block").applyInPandas(total, "doc_id long, lang string, n_symbols long, perplexity double").withColumn("lang", F.when(F.col("lang") != "\x00", F.col("lang")))
 
 
+def _checksum(id_col: str) -> Column:
+    return F.crc32(F.col(id_col).cast("string").cast("binary"))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % HOLD_OUT == 0
+    return _checksum(id_col) % HOLD_OUT == 0
+
+
+def trusted_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held of the trusted documents."""
+    ids = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    known = store.cut(rows.where("text <> ''").select("doc_id", F.coalesce("lang", F.lit("\x00")).alias("of")).join(ids.hint("merge"), "doc_id").distinct(), "kn-trusted")
+    by_lang = known.groupBy("of").agg(F.max(held_out()).alias("any"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct(_checksum("doc_id"), "doc_id"))["doc_id"].alias("least"))
+    lone = by_lang.where("not any and low < high").select(F.col("least").alias("doc_id")).distinct().withColumn("more", F.lit(True))
+    return store.cut(known.select("doc_id").distinct().join(lone, "doc_id", "left").select("doc_id", (held_out() | F.coalesce("more", F.lit(False))).alias("held")), "kn-held")
+
+
+def limits(tested: DataFrame, quantile: float) -> DataFrame:
+    """of, middle, reach by language: a text of n symbols may have a log-perplexity of middle + reach * sqrt((n + EVEN) / n)."""
+    tested = tested.select(F.coalesce("lang", F.lit("\x00")).alias("of"), "n_symbols", F.log("perplexity").alias("loss"))
+    middle = store.cut(tested.groupBy("of").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle"), F.count("*").alias("tests")), "kn-middle")
+    over = store.cut(tested.join(middle, "of").select("of", "middle", "tests", ((F.col("loss") - F.col("middle")) * F.sqrt(F.col("n_symbols") / (F.col("n_symbols") + EVEN))).alias("over")), "kn-over")
+    reach = F.percentile_approx("over", quantile, 10_000)
+    own = over.groupBy("of", "middle", "tests").agg(reach.alias("own")).crossJoin(over.agg(reach.alias("pooled")))
+    return store.cut(own.select("of", "middle", F.when(F.col("tests") < FEW, F.col("pooled")).otherwise(F.col("own")).alias("reach")), "kn-limits")
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold, keep for every row of docs."""
     store.small_batches(docs.sparkSession)
-    trusted = store.cut(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "kn-trusted")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    counts = store.cut(trusted_counts(rows, trusted.where(~held_out())), "kn-counts")
+    trusted = trusted_ids(rows, labels)
+    counts = store.cut(trusted_counts(rows, trusted.where("not held").select("doc_id")), "kn-counts")
     shards = store.cut(kneser_ney(counts), "kn-shards")
     scored = store.cut(perplexities(rows, shards, docs.count()), "kn-scores")
     # of equal ids the trusted flag is the same, so a semi join serves
-    tested = scored.join(trusted.where(held_out()), "doc_id", "left_semi").where("perplexity is not null")
-    limits = store.cut(tested.groupBy(F.coalesce("lang", F.lit("\x00")).alias("of")).agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold")), "kn-limits")
-    out = scored.join(limits, F.coalesce(scored["lang"], F.lit("\x00")) == limits["of"], "left").drop("of")
-    return out.withColumn("keep", F.when(F.col("n_symbols") == 0, False).otherwise(F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))))
+    tested = scored.join(trusted.where("held"), "doc_id", "left_semi").where("perplexity is not null")
+    out = scored.join(limits(tested, quantile), F.coalesce(scored["lang"], F.lit("\x00")) == F.col("of"), "left")
+    n = F.col("n_symbols")
+    out = out.withColumn("threshold", F.when(n > 0, F.exp(F.col("middle") + F.col("reach") * F.sqrt((n + EVEN) / n)))).drop("of", "middle", "reach")
+    return out.withColumn("keep", F.when(n == 0, False).otherwise(F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))))

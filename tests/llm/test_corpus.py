@@ -190,6 +190,25 @@ def test_perplexities_equal_brute_force(spark):
     assert all(r["keep"] for r in quality.judge(docs, odd.labels(spark).limit(0)).collect() if r["n_symbols"])
 
 
+def test_one_odd_trusted_document_sets_no_limit(spark):
+    import random
+    import zlib
+
+    r = random.Random(3)
+    held = lambda i: zlib.crc32(str(i).encode()) % quality.HOLD_OUT == 0
+    bars = lambda n: " | ".join(odd.words(r, n).split())
+    data = [(i, odd.words(r, 80), "en", "s", 0, "", "", "") for i in range(400)]
+    outlier = next(i for i in range(400) if held(i))
+    data[outlier] = (outlier, "QX#ZV%%KJ&&WQ " * 30, *data[outlier][2:])
+    data += [(1000 + i, bars(80), "en", "s", 0, "", "", "") for i in range(20)]
+    few = [i for i in range(2000, 2100) if not held(i)][:20]  # a language of which the checksums hold out none
+    data += [(i, odd.words(r, 80), "fr", "s", 0, "", "", "") for i in few] + [(3000 + i, bars(80), "fr", "s", 0, "", "", "") for i in range(5)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(400), *few]], odd.LABELS)
+    got = {x["doc_id"]: x["keep"] for x in quality.judge(odd.documents(spark, data), labels).collect()}
+    assert not any(k for i, k in got.items() if 1000 <= i < 2000 or i >= 3000)
+    assert sum(got[i] for i in range(400)) >= 390 and sum(got[i] for i in few) >= 18
+
+
 def test_probabilities_sum_to_one(spark):
     texts = [d[1] for d in odd.rows(30) if d[1]][:20]
     from itertools import product
