@@ -25,9 +25,9 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity is within their language's limit. Rows that share an id share the best verdict among them."""
-    kept = quality.judge(docs, _labels(spark, sf_dir)).where("keep").select("doc_id").distinct()
-    return _of_ids(docs, kept)
+    """Documents whose perplexity is within their language's limit: each row by its own verdict, whatever its id."""
+    kept = quality.judge(docs, _labels(spark, sf_dir), keyed=True).where("keep").select("row_key").distinct()
+    return docs.withColumn("row_key", quality.row_key()).join(kept, "row_key", "left_semi").select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,6 +77,11 @@ def unpack(data: bytes, run_lengths: np.ndarray | None = None) -> tuple[np.ndarr
     return total, count
 
 
+def row_key() -> Column:
+    """Of doc_id, lang and text: rows of one key have one verdict."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("lang"), F.lit("\x00")), F.coalesce(F.col("text"), F.lit("")))
+
+
 def _texts(docs: DataFrame, keep: list[Column]) -> DataFrame:
     return docs.select(*keep, F.coalesce(F.col("lang"), F.lit("\x00")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
@@ -196,7 +201,7 @@ def blocks(docs: DataFrame, n_salts: int) -> DataFrame:
             rows, block = held.pop(lang), base + made
             made += 1
             size.pop(lang)
-            ids = np.array([r[0] or 0 for r in rows], "<i8").tobytes() + np.array([r[0] is None for r in rows], np.uint8).tobytes() + np.array([len(r[1]) + 1 if r[1] else 0 for r in rows], "<i8").tobytes()
+            ids = np.array([r[0] or 0 for r in rows], "<i8").tobytes() + np.array([r[0] is None for r in rows], np.uint8).tobytes() + np.array([len(r[1]) + 1 if r[1] else 0 for r in rows], "<i8").tobytes() + np.array([r[2] for r in rows], "<i8").tobytes()
             each = [codes(r[1]) if r[1] else (np.zeros(0, np.uint32), np.zeros(0, np.int64)) for r in rows]
             code, count = np.concatenate([x[0] for x in each]), np.concatenate([x[1] for x in each])
             doc = np.repeat(np.arange(len(rows)), [len(x[0]) for x in each])
@@ -213,19 +218,19 @@ def blocks(docs: DataFrame, n_salts: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=names)
 
         for batch in batches:
-            for key, lang, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "lang", "text")], strict=True):
-                held.setdefault(lang, []).append((key, text))
+            for key, lang, text, row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "lang", "text", "row_key")], strict=True):
+                held.setdefault(lang, []).append((key, text, row))
                 size[lang] = size.get(lang, 0) + len(text)
                 if len(held[lang]) >= BLOCK_DOCS or size[lang] >= BLOCK_BYTES:
                     yield close(lang)
         for lang in sorted(held):
             yield close(lang)
 
-    return _texts(docs, [F.col("doc_id").cast("long").alias("doc_id")]).mapInArrow(cut, BLOCKS)
+    return _texts(docs, [F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key")]).mapInArrow(cut, BLOCKS)
 
 
 def perplexities(docs: DataFrame, shards: DataFrame, n_docs: int) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity for every row of docs."""
+    """doc_id, row_key, lang, n_symbols, perplexity for every row of docs."""
     n_salts = max(1, -(-n_docs // (BLOCK_DOCS * SALT_BLOCKS)))
 
     def join(key: tuple, model: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -247,10 +252,11 @@ def perplexities(docs: DataFrame, shards: DataFrame, n_docs: int) -> DataFrame:
         sums = np.sum([np.frombuffer(x, "<f8") for x in parts["sums"]], 0)
         n = len(sums)
         ids, none, size = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, np.uint8, n, 8 * n), np.frombuffer(raw, "<i8", n, 9 * n)
+        rows = np.frombuffer(raw, "<i8", n, 17 * n)
         with np.errstate(all="ignore"):
             ppl = np.exp(sums / size)
         good = (size > 0) & ~np.isnan(sums)
-        return pd.DataFrame({"doc_id": pd.array(np.where(none, 0, ids), "Int64").copy(), "lang": parts["lang"].iloc[0], "n_symbols": size, "perplexity": ppl}).assign(
+        return pd.DataFrame({"doc_id": pd.array(np.where(none, 0, ids), "Int64").copy(), "row_key": rows, "lang": parts["lang"].iloc[0], "n_symbols": size, "perplexity": ppl}).assign(
             doc_id=lambda d: d["doc_id"].mask(none.astype(bool)), perplexity=lambda d: d["perplexity"].astype("Float64").mask(~good)
         )
 
@@ -258,7 +264,7 @@ def perplexities(docs: DataFrame, shards: DataFrame, n_docs: int) -> DataFrame:
     left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
     keys = ["lang", "shard", "salt"]
     parts = left.groupBy(*keys).cogroup(blocks(docs, n_salts).groupBy(*keys)).applyInPandas(join, "lang string, shard int, block long, sums binary, ids binary")
-    return parts.groupBy("block").applyInPandas(total, "doc_id long, lang string, n_symbols long, perplexity double").withColumn("lang", F.when(F.col("lang") != "\x00", F.col("lang")))
+    return parts.groupBy("block").applyInPandas(total, "doc_id long, row_key long, lang string, n_symbols long, perplexity double").withColumn("lang", F.when(F.col("lang") != "\x00", F.col("lang")))
 
 
 def _checksum(id_col: str) -> Column:
@@ -288,8 +294,8 @@ def limits(tested: DataFrame, quantile: float) -> DataFrame:
     return store.cut(own.select("of", "middle", F.when(F.col("tests") < FEW, F.col("pooled")).otherwise(F.col("own")).alias("reach")), "kn-limits")
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity, threshold, keep for every row of docs."""
+def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, keyed: bool = False) -> DataFrame:
+    """doc_id, lang, n_symbols, perplexity, threshold, keep for every row of docs; with keyed, row_key as well."""
     store.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     trusted = trusted_ids(rows, labels)
@@ -300,5 +306,5 @@ def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE) ->
     tested = scored.join(trusted.where("held"), "doc_id", "left_semi").where("perplexity is not null")
     out = scored.join(limits(tested, quantile), F.coalesce(scored["lang"], F.lit("\x00")) == F.col("of"), "left")
     n = F.col("n_symbols")
-    out = out.withColumn("threshold", F.when(n > 0, F.exp(F.col("middle") + F.col("reach") * F.sqrt((n + EVEN) / n)))).drop("of", "middle", "reach")
+    out = out.withColumn("threshold", F.when(n > 0, F.exp(F.col("middle") + F.col("reach") * F.sqrt((n + EVEN) / n)))).drop("of", "middle", "reach", *[] if keyed else ["row_key"])
     return out.withColumn("keep", F.when(n == 0, False).otherwise(F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))))

@@ -74,6 +74,17 @@ def test_odd_documents_pass_through(spark, tmp_path):
     assert got and all(x["n_tokens"] for x in got)
 
 
+def test_each_row_has_its_own_verdict(spark, tmp_path):
+    r = random.Random(4)
+    shout = lambda: " ".join(f"{x.upper()}!!" for x in odd.words(r, 60).split())
+    data = [(i, odd.words(r, 80), "en", "src0", 0, "", "", "") for i in range(210)]
+    data += [(None, odd.words(r, 80), "en", f"null{k}", 0, "", "", "") for k in range(5)]
+    data += [(k, shout(), "en", "junk", 0, "", "", "") for k in (*range(200, 205), None)]
+    spark.createDataFrame([(i, 1, 0) for i in range(200)], odd.LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    got = Counter(x["source"] for x in corpus_pipeline.good_quality(spark, odd.documents(spark, data), str(tmp_path)).collect())
+    assert got["junk"] == 0 and sum(got[f"null{k}"] for k in range(5)) >= 4 and got["src0"] >= 190
+
+
 def test_no_documents(spark, tmp_path):
     odd.documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     odd.labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
