@@ -12,7 +12,8 @@ partial sums, which are added up by block. No task holds more than a shard (8 mi
 
 Threshold: one trusted document in HOLD_OUT, by checksum of its id, isn't counted (where that leaves a language none of two or more, the one of least checksum). Per
 language, excess is log-perplexity over the held-out median, times sqrt(n / (n + EVEN)) for n symbols, as short texts vary more. Its QUANTILE over held-out documents of the
-language, or of all languages where it has fewer than FEW, gives each length its limit. Documents above theirs are rejected.
+language, or of all languages where it has fewer than FEW, gives each length its limit; SPREAD times the median absolute excess at least, as the QUANTILE of a few
+like texts is their maximum, beyond which others of their kind lie. Documents above their limit are rejected.
 
 Defined results: null and empty texts have no perplexity and are rejected; a null lang is a language of its own; a document in a language without trusted text has
 no perplexity and is kept, as nothing speaks against it; so is one in a language with a single trusted document, which has no threshold; rows with equal or null ids are scored one by one (rows of equal id get a row each); conflicting labels count as trusted if any does.
@@ -39,6 +40,7 @@ BLOCK_BYTES = 4 << 20
 SALT_BLOCKS = 48
 QUANTILE = 0.98
 EVEN = 1000
+SPREAD = 6
 FEW = 30
 HOLD_OUT = 5
 
@@ -289,7 +291,7 @@ def limits(tested: DataFrame, quantile: float) -> DataFrame:
     tested = tested.select(F.coalesce("lang", F.lit("\x00")).alias("of"), "n_symbols", F.log("perplexity").alias("loss"))
     middle = store.cut(tested.groupBy("of").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle"), F.count("*").alias("tests")), "kn-middle")
     over = store.cut(tested.join(middle, "of").select("of", "middle", "tests", ((F.col("loss") - F.col("middle")) * F.sqrt(F.col("n_symbols") / (F.col("n_symbols") + EVEN))).alias("over")), "kn-over")
-    reach = F.percentile_approx("over", quantile, 10_000)
+    reach = F.greatest(F.percentile_approx("over", quantile, 10_000), SPREAD * F.percentile_approx(F.abs("over"), 0.5, 10_000))
     own = over.groupBy("of", "middle", "tests").agg(reach.alias("own")).crossJoin(over.agg(reach.alias("pooled")))
     return store.cut(own.select("of", "middle", F.when(F.col("tests") < FEW, F.col("pooled")).otherwise(F.col("own")).alias("reach")), "kn-limits")
 
