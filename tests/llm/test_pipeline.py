@@ -85,6 +85,17 @@ def test_each_row_has_its_own_verdict(spark, tmp_path):
     assert got["junk"] == 0 and sum(got[f"null{k}"] for k in range(5)) >= 4 and got["src0"] >= 190
 
 
+def test_one_row_of_each_group_stays(spark):
+    r = random.Random(6)
+    a, b, c, e = (odd.words(r, 100) for _ in range(4))
+    row = lambda i, text, source: (i, text, "en", source, 0, "", "", "")
+    data = [row(5, a, "5a"), row(5, b, "5b"), row(7, a, "7"), row(8, a + " more", "8"), row(5, e, "5e"), row(None, c, "null c"), row(None, c + " more", "null c too"), row(9, b + " more", "9"), row(None, e, "null e")]
+    docs = odd.documents(spark, data)
+    got = [sorted(x["source"] for x in corpus_pipeline.one_of_each_group(spark, d, "").collect()) for d in (docs, docs.repartition(5, "text"))]
+    assert got[0] == got[1] and len(got[0]) == 4
+    assert {"5a", "5b", "5e"} < set(got[0]) and len({"null c", "null c too"} & set(got[0])) == 1
+
+
 def test_no_documents(spark, tmp_path):
     odd.documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     odd.labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
