@@ -11,7 +11,8 @@ Star phase. Within a shingle's postings only the document in which the shingle c
 has the fewest shingles of its own it is the middle of its group. Verified links make components. Full phase. Postings with one component
 are settled, whatever their size. An entry is dropped if its place shows that it can't reach the required overlap with the smallest set of the posting; the remaining
 pairs of different components that share enough prefix shingles, and whose parity bits allow the overlap, are verified by exact intersection. Links found there join components. So every two sets at or above
-the threshold end in one component, while a group of copies costs its size and not its square.
+the threshold end in one component, while a group of copies costs its size and not its square. classes does so. joined returns every link: it leaves out the star phase, and
+no pair is settled by another.
 
 Defined results: null, empty and white-space texts have empty sets, which link with nothing, not with each other; fewer words than n make one shingle; rows with a null id are
 returned with a null component; rows with equal ids are documents of their own (the id counts in each one's component); repeated rows come back as often as they were; further columns are ignored.
@@ -256,11 +257,10 @@ def _apart(x: str, y: str) -> Column:
     return out
 
 
-def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id for every row: sets link at a Jaccard similarity of top / base or more."""
+def _join(docs: DataFrame, n: int, top: int, base: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, node, n), nodes, links and labels: all links with every, else as many as hold the components together."""
     spark = docs.sparkSession
     store.small_batches(spark)
-    n = words_each
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     bits = min(max(int(np.ceil(np.log2(max(docs.count(), 1) * 32))), MIN_BITS), MAX_BITS)
     found = store.cut(survey(rows, n, bits), "jaccard-survey")
@@ -294,20 +294,22 @@ def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int =
     entries = store.cut(near.withColumn("reach", reach).select("token", "node", "n", "pos", "l", "reach", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.l").alias("lead_l")), "jaccard-entries")
     del posted, shared, near
 
-    # star phase: the two leaders that a node shares most prefix shingles with
-    likely = entries.where((F.col("node") != F.col("lead")) & near_size("n", "lead_n")).groupBy("node", "lead").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("lead_n").alias("n2"))
-    likely = likely.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "lead"))).where("r <= 2")
-    stars = store.cut(alike(likely.select(F.col("node").alias("a"), F.col("lead").alias("b"), "n", "n2")), "jaccard-stars")
-    links = linked(stars, "jaccard-links")
-    first = components(links)
-
-    # full phase
-    marked = store.cut(entries.drop("lead", "lead_n", "lead_l").join(first, "node", "left").withColumn("label", F.coalesce("label", "node")), "jaccard-marked")
+    if not every:
+        # star phase: the two leaders that a node shares most prefix shingles with
+        likely = entries.where((F.col("node") != F.col("lead")) & near_size("n", "lead_n")).groupBy("node", "lead").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("lead_n").alias("n2"))
+        likely = likely.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "lead"))).where("r <= 2")
+        stars = store.cut(alike(likely.select(F.col("node").alias("a"), F.col("lead").alias("b"), "n", "n2")), "jaccard-stars")
+        links = linked(stars, "jaccard-links")
+        first = components(links)
+
+    # full phase; with every, each node is a component of its own
+    plain = entries.drop("lead", "lead_n", "lead_l")
+    marked = plain.withColumn("label", F.col("node")) if every else store.cut(plain.join(first, "node", "left").withColumn("label", F.coalesce("label", "node")), "jaccard-marked")
     small = marked.groupBy("token").agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token", "least")
     left = marked.join(small, "token").where(F.col("reach") >= need("n", "least"))
     open_ = left.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low < high").select("token", "size")
     left = store.cut(left.drop("least").join(open_, "token"), "jaccard-open")
-    store.release(entries, marked, stars)
+    store.release(entries, marked, *[] if every else [stars])
 
     def meet(side: DataFrame, more: list[str], condition: Column | None = None) -> DataFrame:
         cols = ["node", "n", "l", "reach", "label", *more]
@@ -328,19 +330,40 @@ def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int =
     pairs = store.cut(met.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b"), "jaccard-pairs")
     store.release(left)
     more = linked(pairs, "jaccard-more")
-    labels = components(links.union(more)) if more.limit(1).count() else first
+    if every:
+        return own, nodes, more, components(more)
+    return own, nodes, links.union(more), components(links.union(more)) if more.limit(1).count() else first
 
-    # the least id of a component, and each row's
-    joined = nodes.join(labels, "node").select("node", "label", "rep")
-    lowest = joined.groupBy("label").agg(F.min("rep").alias("component"))
-    member = store.cut(joined.join(lowest, "label").select("node", "component"), "jaccard-members")
+
+def classes(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id for every row: sets link at a Jaccard similarity of top / base or more."""
+    own, nodes, _, labels = _join(docs, words_each, top, base, id_col, text_col, every=False)
+    return _rows(own, _ids(nodes, labels))
+
+
+def joined(docs: DataFrame, *, words_each: int = 3, top: int = 90, base: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The whole join. Links (a, b, a_id, b_id): every two different sets at a similarity of top / base or more once, by their hashes, a < b, and the least id of each
+    set's rows. Rows (doc_id, n_shingles, component_id, node, n_links): classes' row with its set and the number of sets that it links with. Its size is that of its links."""
+    own, nodes, links, labels = _join(docs, words_each, top, base, id_col, text_col, every=True)
+    name = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"{c}_id"))
+    named = links.join(name("a"), "a").join(name("b"), "b").select("a", "b", "a_id", "b_id")
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
+    found = _rows(own, _ids(nodes, labels), "node").join(ends, "node", "left")
+    count = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0)))
+    return named, found.select("doc_id", "n_shingles", "component_id", "node", count.alias("n_links"))
+
+
+def _ids(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, component (the least id of its rows)."""
+    named = nodes.join(labels, "node").select("node", "label", "rep")
+    lowest = named.groupBy("label").agg(F.min("rep").alias("component"))
+    member = store.cut(named.join(lowest, "label").select("node", "component"), "jaccard-members")
     # nodes of one row without links need no entry: the row's id is the component's
     id_of = nodes.join(member, "node", "left").where("component is not null or copies > 1").select("node", F.coalesce("component", "rep").alias("component"))
-    id_of = store.cut(id_of, "jaccard-ids")
-    return _rows(own, id_of)
+    return store.cut(id_of, "jaccard-ids")
 
 
-def _rows(own: DataFrame, id_of: DataFrame) -> DataFrame:
+def _rows(own: DataFrame, id_of: DataFrame, *more: str) -> DataFrame:
     """own rows with the component of their node; a node that id_of doesn't name is its only row's."""
     got: Column = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
-    return own.join(id_of, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), got).alias("component_id"))
+    return own.join(id_of, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), got).alias("component_id"), *more)

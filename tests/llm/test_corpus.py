@@ -76,6 +76,35 @@ def test_classes_equal_brute_force(spark, n, top):
     assert jaccard.classes(odd.documents(spark, [])).count() == 0
 
 
+def test_every_link_of_a_group(spark):
+    import random
+
+    r = random.Random(8)
+    data = odd.rows(20)
+    for g, size in enumerate((40, 12)):
+        base = odd.words(r, 90).split()
+        for k in range(size):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = f"edit{r.randint(0, 9)}"
+            data.append((2000 + 100 * g + k, " ".join(w), "en", "s", 0, "", "", ""))
+    sets = {}
+    for d in data:
+        w = WORD.findall((d[1] or "").lower())
+        if d[0] is not None and w:
+            sets.setdefault(frozenset(tuple(w[i : i + 3]) for i in range(len(w) - 2)) or frozenset([tuple(w)]), []).append(d[0])
+    nodes = list(sets)
+    pairs = [(i, j) for i in range(len(nodes)) for j in range(i) if 100 * len(nodes[i] & nodes[j]) >= 80 * len(nodes[i] | nodes[j])]
+    links, rows = jaccard.joined(odd.documents(spark, data), words_each=3, top=80, base=100)
+    assert len(pairs) > 200 and sorted(sorted((x["a_id"], x["b_id"])) for x in links.collect()) == sorted(sorted((min(sets[nodes[i]]), min(sets[nodes[j]]))) for i, j in pairs)
+    degree, rows = Counter(k for p in pairs for k in p), rows.collect()
+    assert len(rows) == len(data)
+    want = sorted((k, degree[i]) for i, s in enumerate(nodes) for k in sets[s])
+    assert sorted((x["doc_id"], x["n_links"]) for x in rows if x["doc_id"] is not None and x["n_shingles"]) == want
+    least = Counter((x["doc_id"], x["n_shingles"], x["component_id"]) for x in rows)
+    assert least == Counter(tuple(x) for x in jaccard.classes(odd.documents(spark, data), words_each=3, top=80, base=100).collect())
+
+
 def test_prefixes_grow_with_cost():
     h = np.sort(np.random.default_rng(1).integers(0, 2**63, 200).astype(np.uint64) * np.uint64(2))
     rare, often = np.zeros(1 << 18, np.uint8), np.full(1 << 18, 20, np.uint8)
