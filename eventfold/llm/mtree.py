@@ -1,10 +1,10 @@
 """Exact top-k by inner product: M-trees with best-first search.
 
-Vectors become integers, floor(1024 * x). An extra coordinate that lifts all vectors of a shard to one length turns the greatest inner product
-into the least Euclidean distance, so a metric tree serves: |q - o|^2 = |q|^2 + M^2 - 2 q.o. Pages hold up to PAGE entries;
+Vectors become integers, floor(1024 * x). A further coordinate that lifts all vectors to one length turns the greatest inner product
+into the least Euclidean distance, so a metric tree serves: |q - o|^2 = |q|^2 + L^2 - 2 q.o. Pages hold up to PAGE entries;
 a routing entry has a pivot, a covering radius and its distance to the page's own pivot. A page is opened in order of its least possible distance;
 before a distance is computed, |d(q, parent) - d(entry, parent)| - radius must be within the k-th distance. Bounds get a slack above their rounding
-error and scores are exact integers (below 2**53), so results equal those of a full scan.
+error, and scores are exact: in doubles where no partial sum can pass 2**53, else as Python's integers. A score that a long can't hold raises OverflowError.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from . import vectors
 
 PAGE = 64
 SCALE = 1024
+EXACT = 2.0**53
 
 
 @dataclass
@@ -34,8 +35,7 @@ class Page:
 @dataclass
 class MTree:
     ids: np.ndarray
-    ints: np.ndarray
-    lifted: np.ndarray
+    ints: np.ndarray  #: int64 where doubles can't hold them
     norm2: float
     pages: list[Page]
     computed: int = 0  #: distances computed in searches
@@ -45,13 +45,12 @@ def distances(points: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - to) ** 2).sum(-1))
 
 
-def build(ids: np.ndarray, matrix: np.ndarray, page: int = PAGE) -> MTree:
-    """Bulk load: seeds share out the rows of a page that is too full, until all fit."""
-    ints = matrix.astype(np.float64)
-    norms = (ints**2).sum(1)
-    norm2 = float(norms.max())
-    lifted = np.hstack([ints, np.sqrt(norm2 - norms)[:, None]])
-    tree = MTree(ids, ints, lifted, norm2, [])
+def build(ids: np.ndarray, matrix: np.ndarray, longest2: float | None = None, page: int = PAGE) -> MTree:
+    """Bulk load: seeds share out the rows of a page that is too full, until all fit. longest2: the squared length to lift to, the rows' own greatest by default."""
+    points = matrix.astype(np.float64)
+    norm2 = max(float((points**2).sum(1).max()), longest2 or 0.0)
+    lifted = vectors.lifted(points, norm2)
+    tree = MTree(ids, points if norm2 < EXACT else matrix.astype(np.int64), norm2, [])
     rng = np.random.default_rng(len(ids))
 
     def load(rows: np.ndarray, pivot: np.ndarray | None) -> int:
@@ -81,12 +80,24 @@ def build(ids: np.ndarray, matrix: np.ndarray, page: int = PAGE) -> MTree:
     return tree
 
 
-def find(tree: MTree, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def products(ints: np.ndarray, query: np.ndarray, bound2: float) -> np.ndarray:
+    """Exact inner products; bound2: of the product of both squared lengths."""
+    if bound2 < EXACT**2 and ints.dtype == np.float64:
+        return ints @ query.astype(np.float64)
+    exact = ints.astype(np.int64).astype(object) @ query.astype(np.int64).astype(object)
+    if any(abs(x) >= 2**63 for x in exact):
+        raise OverflowError("an inner product is beyond the range of a long")
+    return exact.astype(np.int64)
+
+
+def find(tree: MTree, query_id: int, query: np.ndarray, k: int, so_far: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of the tree; so_far: the k-th best score known, below which nothing is wanted."""
     q = query.astype(np.float64)
     q2 = float((q**2).sum())
-    slack = 1e-7 * (1.0 + np.sqrt(q2 + tree.norm2))
-    best_ids, best, limit = np.zeros(0, np.int64), np.zeros(0), np.inf
-    to = lambda scores: np.sqrt(np.maximum(q2 + tree.norm2 - 2 * scores, 0))
+    slack = 1e-6 * (1.0 + np.sqrt(q2 + tree.norm2))
+    to = lambda scores: np.sqrt(np.maximum(q2 + tree.norm2 - 2 * scores.astype(np.float64), 0))
+    best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.float64 if tree.ints.dtype == np.float64 else np.int64)
+    limit = np.inf if so_far is None else float(to(np.float64(so_far)))
     heap: list[tuple[float, int, float]] = [(0.0, 0, -1.0)]
     while heap and heap[0][0] <= limit + slack:
         _, at, to_parent = heapq.heappop(heap)
@@ -94,7 +105,7 @@ def find(tree: MTree, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndar
         near = np.arange(len(page.rows))
         if to_parent >= 0:
             near = np.flatnonzero(np.abs(to_parent - page.parent) - (0 if page.leaf else page.radii) <= limit + slack)
-        scores = tree.ints[page.rows[near]] @ q
+        scores = products(tree.ints[page.rows[near]], query, q2 * tree.norm2)
         tree.computed += len(near)
         if page.leaf:
             ids = tree.ids[page.rows[near]]
@@ -103,7 +114,7 @@ def find(tree: MTree, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndar
             order = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[order], best[order]
             if len(best) == k:
-                limit = float(to(best[-1]))
+                limit = min(limit, float(to(best[-1])))
         else:
             d = to(scores)
             least = np.maximum(d - page.radii[near], 0)
@@ -112,9 +123,10 @@ def find(tree: MTree, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndar
     return best_ids, best.astype(np.int64)
 
 
-def top_k(df: DataFrame, *, k: int = 10, query_every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = vectors.SHARD_ROWS) -> DataFrame:
+def top_k(df: DataFrame, *, k: int = 10, query_every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int | None = None) -> DataFrame:
     """The k greatest inner products of each query row with all other rows: query_id, rank, vec_id, score."""
     whole = df.where(vectors.finite(vector_col)).select(
         F.col(id_col).cast("long").alias("vec_id"), F.transform(vector_col, lambda x: F.floor(x.cast("double") * SCALE).cast("long")).alias("v")
     )
-    return vectors.search(whole, k, build, find, query_every, "long", ascending=False, shard_rows=shard_rows)
+    far = lambda scores, q2, longest2: np.sqrt(np.maximum(q2 + longest2 - 2 * scores, 0))
+    return vectors.search(whole, k, build, find, query_every, "long", ascending=False, distance=far, shard_rows=shard_rows)

@@ -29,6 +29,8 @@ def shared_root(spark: SparkSession) -> str:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             held = spark.sparkContext._jsc.sc().getCheckpointDir()
+            if not held.isDefined() and not spark.sparkContext.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             base = held.get() if held.isDefined() else tempfile.mkdtemp(prefix="eventfold-")
             spark.sparkContext.setCheckpointDir(base)
         root = _qualified(spark, f"{base.rstrip('/')}/eventfold-{app}")
