@@ -1,14 +1,15 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model's symbols are UTF-8 bytes and its order is 3: a closed alphabet, so no word is out of vocabulary in any language, keys are exact 24-bit
-codes, and a document is a short list of codes and counts whatever its length. (Word n-grams would ship some bytes for every word of the
-corpus to every count join, as nearly all of them are distinct.)
+The model's symbols are UTF-8 bytes and its order is ORDER: a closed alphabet, so no word is out of vocabulary in any language, and codes of 8 * ORDER bits are exact.
+The count tables grow with the trusted text (2**(8 * ORDER) codes are possible).
 
-Counting: each trusted document's packed counts meet the trusted ids in a join, are summed per task and then by (lang, code). Adjusted counts, discounts
-from counts of counts, contexts and back-off weights are aggregates and joins of these tables on (lang, context).
-Scoring: documents go in blocks; the counts of a block are dealt to shards by a code's middle byte, which the trigram, its context and the bigram
-below it share, so a shard of the count tables answers all its codes. Groups of a shard and a bounded number of blocks (salted) are joined, each giving the blocks'
-partial sums, which are added up by block. No task holds more than a shard (8 middle bytes) and SALT_BLOCKS blocks.
+Counting: texts meet the trusted ids in a join; n-gram counts are summed within a task in runs of bounded size, then by (lang, code). Only the counts of full n-grams
+are gathered; those of lower orders are numbers of different bytes to the left, which follow from them.
+Shards: an n-gram is dealt by the two bytes before its last. Its context and the n-grams of all orders from 3 up that back off from it share these two, so a shard holds
+all that they need; counts of counts, and counts of two bytes and of one, are small (65,536 a language at most) and summed over all shards first.
+Scoring: documents go in blocks of a language, written once with their texts. A block asks each shard for the probabilities of its distinct n-grams; groups of a shard
+and a bounded number of blocks (salted) are joined, and the answers meet the block's texts, whose n-grams look them up. No task holds more than a
+shard and SALT_BLOCKS blocks' questions, or a block with its answers.
 
 Threshold: one trusted document in HOLD_OUT, by checksum of its id, isn't counted (where that leaves a language none of two or more, the one of least checksum). Per
 language, excess is log-perplexity over the held-out median, times sqrt(n / (n + EVEN)) for n symbols, as short texts vary more. Its QUANTILE over held-out documents of the
@@ -21,7 +22,9 @@ no perplexity and is kept, as nothing speaks against it; so is one in a language
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,10 +37,14 @@ from pyspark.sql import functions as F
 from . import store, words
 
 BEGIN, END = 2, 3
-SHARDS = 32
-BLOCK_DOCS = 512
+ORDER = 6
+SHARD_CODES = 1 << 19
+MIN_SHARDS = 8
+RUN_CODES = 1 << 21
+BLOCK_DOCS = 2048
 BLOCK_BYTES = 4 << 20
-SALT_BLOCKS = 48
+HELD_BYTES = 24 << 20
+SALT_BLOCKS = 32
 QUANTILE = 0.98
 EVEN = 1000
 SPREAD = 6
@@ -45,38 +52,31 @@ FEW = 30
 HOLD_OUT = 5
 
 
-def codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct trigrams of a text, as middle << 16 | first << 8 | last, and their counts."""
-    a = np.frombuffer(bytes([BEGIN, BEGIN]) + text + bytes([END]), np.uint8).astype(np.uint32)
-    c = np.sort((a[1:-1] << 16) | (a[:-2] << 8) | a[2:])
-    at = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-    return c[at], np.diff(at, append=len(c))
-
-
-def pack(code: np.ndarray, count: np.ndarray, firsts: np.ndarray, level: int = 3) -> bytes:
-    """Codes rising within each run (firsts: where runs begin) and counts, as gaps by byte planes; counts over 254 apart."""
-    gap = np.diff(code.astype(np.int64), prepend=0)
-    gap[firsts] = code[firsts]
-    gap = gap.astype(np.uint32)
-    high = np.flatnonzero(count > 254)
-    planes = [(gap & 255).astype(np.uint8), (gap >> 8 & 255).astype(np.uint8), (gap >> 16).astype(np.uint8), np.minimum(count, 255).astype(np.uint8)]
-    head = np.array([len(code), len(high)], "<u4").tobytes()
-    return zstandard.compress(head + b"".join(p.tobytes() for p in planes) + count[high].astype("<u8").tobytes(), level)
-
-
-def unpack(data: bytes, run_lengths: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    raw = zstandard.decompress(data)
-    n, n_high = np.frombuffer(raw, "<u4", 2)
-    planes = np.frombuffer(raw, np.uint8, 4 * int(n), 8).reshape(4, -1)
-    gap = planes[0].astype(np.int64) | planes[1].astype(np.int64) << 8 | planes[2].astype(np.int64) << 16
-    total = np.cumsum(gap)
-    if run_lengths is not None and len(total):
-        lengths = run_lengths[run_lengths > 0]
-        starts = np.cumsum(lengths) - lengths
-        total -= np.repeat(total[starts] - gap[starts], lengths)
-    count = planes[3].astype(np.int64)
-    count[count == 255] = np.frombuffer(raw, "<u8", int(n_high), 8 + 4 * int(n))
-    return total, count
+def codes(text: bytes, order: int = ORDER) -> np.ndarray:
+    """The n-gram that ends at each byte of a text and at its end, earlier bytes higher."""
+    a = np.frombuffer(bytes([BEGIN] * (order - 1)) + text + bytes([END]), np.uint8).astype(np.int64)
+    n = len(a) - order + 1
+    out = a[:n].copy()
+    for i in range(1, order):
+        out <<= 8
+        out |= a[i : i + n]
+    return out
+
+
+def pack(code: np.ndarray) -> bytes:
+    """Rising codes as gaps, by byte planes."""
+    gap = np.diff(code, prepend=0).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return zstandard.compress(np.ascontiguousarray(gap.T[: (8 * ORDER + 7) // 8]).tobytes(), 3)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape((8 * ORDER + 7) // 8, -1)
+    return np.cumsum(sum(p.astype(np.int64) << (8 * i) for i, p in enumerate(planes)))
+
+
+def shard_of(code: np.ndarray, n_shards: int) -> np.ndarray:
+    """By the two bytes before the last."""
+    return ((code >> 8 & 0xFFFF) * 40503 >> 4) % n_shards
 
 
 def row_key() -> Column:
@@ -92,180 +92,223 @@ def trusted_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """lang, code, n over the documents whose doc_id is in trusted."""
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(1).compress
         for batch in batches:
-            packed = [pack(*codes(t), np.zeros(1, np.int64), 1) if t else None for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(packed, pa.binary())], names=["doc_id", "lang", "data"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(list(map(squeeze, batch.column("text").to_pylist())), pa.binary())], names=["doc_id", "lang", "text"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-        def merge(lang: str, held: list) -> None:
-            code, n = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            keys, at = np.unique(code, return_inverse=True)
-            sums[lang] = keys, np.bincount(at, n, len(keys)).astype(np.int64)
+        size = 0
+        loosen = zstandard.ZstdDecompressor().decompress
+
+        def merge(lang: str) -> None:
+            code, n = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+            if lang in sums:
+                every = np.concatenate([sums[lang][0], code])
+                code, at = np.unique(every, return_inverse=True)
+                n = np.bincount(at, np.concatenate([sums[lang][1], n]), len(code)).astype(np.int64)
+            sums[lang] = code, n
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for lang, (code, n) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code)), pa.array(code), pa.array(n, pa.int64())], names=["lang", "code", "n"])
+            sums.clear()
 
         for batch in batches:
-            held: dict[str, list] = {}
-            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                held.setdefault(lang, [sums[lang]] if lang in sums else []).append(unpack(data))
-            for lang, x in held.items():
-                merge(lang, x)
-        for lang, (code, n) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code)), pa.array(code.astype(np.int32)), pa.array(n)], names=["lang", "code", "n"])
-
-    small = _texts(docs, [F.col("doc_id")]).where(F.col("doc_id").isNotNull()).mapInArrow(shrink, "doc_id long, lang string, data binary").where("data is not null")
+            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                held.setdefault(lang, []).append(codes(loosen(data)))
+                size += len(held[lang][-1])
+                if size > RUN_CODES:
+                    size = 0
+                    for x in list(held):
+                        merge(x)
+                    if sum(len(x[0]) for x in sums.values()) > RUN_CODES:
+                        yield from give()
+        for x in list(held):
+            merge(x)
+        yield from give()
+
+    small = _texts(docs, [F.col("doc_id")]).where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).mapInArrow(shrink, "doc_id long, lang string, text binary")
     # the trusted ids grow with the corpus: the same join at every size
-    return small.join(trusted.hint("merge"), "doc_id", "left_semi").select("lang", "data").mapInArrow(add, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-
-
-def _discounted(table: DataFrame, count: str) -> DataFrame:
-    """table with column d: the discount of its count, from the counts of counts of its lang."""
-    many = table.groupBy("lang").agg(*[F.sum((F.col(count) == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
-    cut = lambda i: F.least(F.greatest(F.when(F.col(f"n{i}") > 0, i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(0.5 * i), F.lit(0.05 * i)), F.lit(float(i)) - 0.05)
-    d = many.select("lang", cut(1).alias("d1"), cut(2).alias("d2"), cut(3).alias("d3"))
-    return table.join(d, "lang").withColumn("d", F.when(F.col(count) == 1, F.col("d1")).when(F.col(count) == 2, F.col("d2")).otherwise(F.col("d3")))
-
-
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """The count shards, rows of lang, b (middle byte), kind, key, p:
-
-    kind 3: p(c | a b) for seen trigrams by code; 2: back-off weight of contexts a b by a << 8; 1: p(c | b) for seen bigrams by c; 0: back-off weight of b;
-    -1: p(c) by c for all 256 bytes, for every b.
-    """
-    tri = counts.select("lang", "code", F.shiftright("code", 16).alias("b"), (F.shiftright("code", 8) % 256).alias("a"), (F.col("code") % 256).alias("c"), "n")
-    bi = store.cut(tri.groupBy("lang", "b", "c").agg(F.count("*").alias("n")), "kn-bigrams")
-    uni = bi.groupBy("lang", "c").agg(F.count("*").alias("n"))
-
-    def level(table: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-        """Discounted probabilities, and contexts with their back-off weights."""
-        cut = _discounted(table, "n")
-        own = cut.groupBy("lang", *context).agg(F.sum("n").alias("total"), F.sum("d").alias("mass")).withColumn("rest", F.col("mass") / F.col("total"))
-        return cut.join(own, ["lang", *context]).withColumn("high", (F.col("n") - F.col("d")) / F.col("total")), own
-
-    high1, own1 = level(uni, [])
-    every = own1.select("lang", "rest").withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(255))))
-    p1 = every.join(high1.select("lang", "c", "high"), ["lang", "c"], "left").select("lang", "c", (F.coalesce("high", F.lit(0.0)) + F.col("rest") / 256).alias("p1"))
-    p1 = store.cut(p1, "kn-unigrams")
-    high2, own2 = level(bi, ["b"])
-    p2 = store.cut(high2.join(p1, ["lang", "c"]).select("lang", "b", "c", (F.col("high") + F.col("rest") * F.col("p1")).alias("p2")), "kn-p2")
-    high3, own3 = level(tri, ["a", "b"])
-    p3 = high3.join(p2, ["lang", "b", "c"]).select("lang", "b", F.lit(3).alias("kind"), F.col("code").alias("key"), (F.col("high") + F.col("rest") * F.col("p2")).alias("p"))
-    rows = p3
-    for more in (
-        own3.select("lang", "b", F.lit(2), F.shiftleft("a", 8), "rest"),
-        p2.select("lang", "b", F.lit(1), "c", "p2"),
-        own2.select("lang", "b", F.lit(0), F.lit(0), "rest"),
-        p1.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(255)))).where("b < 32").select("lang", "b", F.lit(-1), "c", "p1"),
-    ):
-        rows = rows.union(more)
-    return rows.select(F.col("lang"), F.col("b").cast("int").alias("b"), F.col("kind").cast("int").alias("kind"), F.col("key").cast("int").alias("key"), "p")
-
-
-def log_table(rows: pd.DataFrame, shard: int) -> np.ndarray | None:
-    """Log-probabilities of a shard by [b // SHARDS, a, c]; None without a model."""
-    kind, key, p, b = (rows[c].to_numpy() for c in ("kind", "key", "p", "b"))
-    own = kind == -1
-    if not own.any():
-        return None
-    p1 = np.zeros(256)
-    p1[key[own]] = p[own]
-    out = np.empty((256 // SHARDS, 256, 256))
-    for i in range(256 // SHARDS):
-        mine = b == i * SHARDS + shard
-        pick = lambda k: mine & (kind == k)  # noqa: B023, E731
-        low = p1 * (p[pick(0)][0] if pick(0).any() else 1.0)
-        low[key[pick(1)]] = p[pick(1)]
-        rest = np.ones(256)
-        rest[key[pick(2)] >> 8] = p[pick(2)]
-        out[i] = np.outer(rest, low)
-        seen = key[pick(3)] & 0xFFFF
-        out[i][seen >> 8, seen & 255] = p[pick(3)]
-    return np.log(out)
-
-
-BLOCKS = "lang string, shard int, salt int, block long, lengths binary, data binary, ids binary"
-
-
-def blocks(docs: DataFrame, n_salts: int) -> DataFrame:
-    """Documents by lang in blocks; a row for each block and shard with what falls to the shard. Rows of shard 0 hold the ids, null flags and sizes."""
+    return small.join(trusted.hint("merge"), "doc_id", "left_semi").select("lang", "text").mapInArrow(add, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+
+
+def discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float, float]:
+    """Of counts of 1, 2 and more, by the counts of counts."""
+    y = n1 / (n1 + 2 * n2) if n1 > 0 else 0.5
+    each = [i - (i + 1) * y * b / a if a > 0 else 0.5 * i for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    return tuple(min(max(d, 0.05 * i), i - 0.05) for i, d in enumerate(each, 1))
+
+
+def lower(code: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams one shorter and the number of different bytes before each."""
+    return np.unique(code & ((1 << 8 * (order - 1)) - 1), return_counts=True)
+
+
+@dataclass
+class Level:
+    """Kneser-Ney estimates of one order by sorted codes and contexts; of what isn't seen, the weight of the context times the order below."""
+
+    code: np.ndarray
+    high: np.ndarray
+    context: np.ndarray
+    rest: np.ndarray
+
+    @classmethod
+    def of(cls, code: np.ndarray, n: np.ndarray, d: tuple[float, float, float]) -> Level:
+        cut = np.asarray(d)[np.minimum(n, 3) - 1]
+        context, at = np.unique(code >> 8, return_inverse=True)
+        total = np.bincount(at, n, len(context))
+        return cls(code, (n - cut) / total[at], context, np.bincount(at, cut, len(context)) / total)
+
+    def __call__(self, code: np.ndarray, below: np.ndarray) -> np.ndarray:
+        return _pick(self.code, self.high, code, 0.0) + _pick(self.context, self.rest, code >> 8, 1.0) * below
+
+
+def _pick(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
+    if not len(keys):
+        return np.full(len(wanted), default)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], default)
+
+
+#: What the orders have in common within a language: discounts by order from 3 up, and the probabilities of the second of two bytes, 256 * 256.
+Base = tuple[dict[int, tuple[float, float, float]], np.ndarray]
+
+
+def bases(counts: DataFrame) -> DataFrame:
+    """lang, data: a Base for each language, from sums over all shards."""
+
+    def gather(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        code, n = part["code"].to_numpy(), part["n"].to_numpy()
+        order = np.argsort(code)
+        code, n = code[order], n[order]
+        for k in range(ORDER, 2, -1):
+            for i in (1, 2, 3, 4):
+                out.append((key[0], k, i, int((n == i).sum())))
+            code, n = lower(code, k)
+        out += [(key[0], 2, int(c), int(x)) for c, x in zip(code, n, strict=True)]
+        return pd.DataFrame(out, columns=["lang", "order", "what", "n"])
+
+    def base(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        many = {k: [0] * 4 for k in range(3, ORDER + 1)}
+        for k, i, n in part.loc[part["order"] > 2, ["order", "what", "n"]].itertuples(index=False):
+            many[k][i - 1] = n
+        two = part[part["order"] == 2].sort_values("what")
+        code, n = two["what"].to_numpy(), two["n"].to_numpy()
+        one, n1 = lower(code, 2)
+        counts_of = lambda x: [int((x == i).sum()) for i in (1, 2, 3, 4)]
+        single = Level.of(one, n1, discounts(*counts_of(n1)))
+        p1 = single(np.arange(256), np.full(256, 1 / 256))
+        p2 = Level.of(code, n, discounts(*counts_of(n)))(np.arange(65536), np.tile(p1, 256))
+        return pd.DataFrame({"lang": [key[0]], "data": [pickle.dumps(({k: discounts(*v) for k, v in many.items()}, p2), 5)]})
+
+    parts = counts.groupBy("lang", "shard").applyInPandas(gather, "lang string, order int, what long, n long").groupBy("lang", "order", "what").agg(F.sum("n").alias("n"))
+    return parts.groupBy("lang").applyInPandas(base, "lang string, data binary")
+
+
+def probabilities(base: Base, code: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Of the wanted n-grams by a shard's counts, which are sorted by code; wanted ones fall to the shard."""
+    d, p2 = base
+    levels = []
+    for k in range(ORDER, 2, -1):
+        levels.append((k, Level.of(code, n, d[k]) if len(code) else None))
+        code, n = lower(code, k)
+    out = p2[wanted & 0xFFFF]
+    for k, level in reversed(levels):
+        if level is not None:
+            out = level(wanted & ((1 << 8 * k) - 1), out)
+    return out
+
+
+BLOCKS = "lang string, shard int, block long, data binary"
+TEXT = -1  #: the shard of rows that hold a block's documents
+
+
+def blocks(docs: DataFrame, n_shards: int) -> DataFrame:
+    """Documents by lang in blocks: a row with the documents of each, and rows with the distinct n-grams that fall to each shard."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.sole("blocks", object)  # what other operators keep in this worker goes
-        base, made = TaskContext.get().partitionId() << 32, 0
+        made = TaskContext.get().partitionId() << 32
         held: dict[str, list] = {}
         size: dict[str, int] = {}
-        names = ["lang", "shard", "salt", "block", "lengths", "data", "ids"]
-        kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
         def close(lang: str) -> pa.RecordBatch:
             nonlocal made
-            rows, block = held.pop(lang), base + made
-            made += 1
+            rows = held.pop(lang)
             size.pop(lang)
-            ids = np.array([r[0] or 0 for r in rows], "<i8").tobytes() + np.array([r[0] is None for r in rows], np.uint8).tobytes() + np.array([len(r[1]) + 1 if r[1] else 0 for r in rows], "<i8").tobytes() + np.array([r[2] for r in rows], "<i8").tobytes()
-            each = [codes(r[1]) if r[1] else (np.zeros(0, np.uint32), np.zeros(0, np.int64)) for r in rows]
-            code, count = np.concatenate([x[0] for x in each]), np.concatenate([x[1] for x in each])
-            doc = np.repeat(np.arange(len(rows)), [len(x[0]) for x in each])
-            shard = (code >> 16) % SHARDS
-            order = np.argsort(shard.astype(np.uint8), kind="stable")
-            ends = np.searchsorted(shard[order], np.arange(SHARDS + 1))
-            out = []
-            for s in range(SHARDS):
-                mine = order[ends[s] : ends[s + 1]]
-                if len(mine) or s == 0:
-                    lengths = np.bincount(doc[mine], minlength=len(rows))
-                    firsts = (np.cumsum(lengths) - lengths)[lengths > 0]
-                    out.append((lang, s, (made * 7919 + base // (1 << 32)) % n_salts, block, zstandard.compress(lengths.astype("<u4").tobytes(), 1), pack(code[mine], count[mine], firsts), zstandard.compress(ids, 1) if s == 0 else None))
-            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=names)
+            asked = np.unique(np.concatenate([np.unique(codes(r[2])) if r[2] else np.zeros(0, np.int64) for r in rows]))
+            shard = shard_of(asked, n_shards)
+            order = np.argsort(shard, kind="stable")
+            ends = np.searchsorted(shard[order], np.arange(n_shards + 1))
+            out = [(TEXT, zstandard.compress(pickle.dumps(rows, 5), 1))] + [(s, pack(asked[order[ends[s] : ends[s + 1]]])) for s in range(n_shards) if ends[s] < ends[s + 1]]
+            cols = [pa.array([lang] * len(out)), pa.array([x[0] for x in out], pa.int32()), pa.array([made] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary())]
+            made += 1
+            return pa.RecordBatch.from_arrays(cols, names=["lang", "shard", "block", "data"])
 
         for batch in batches:
-            for key, lang, text, row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "lang", "text", "row_key")], strict=True):
-                held.setdefault(lang, []).append((key, text, row))
-                size[lang] = size.get(lang, 0) + len(text)
+            for key, row, lang, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "row_key", "lang", "text")], strict=True):
+                held.setdefault(lang, []).append((key, row, text))
+                size[lang] = size.get(lang, 0) + len(text) + 100
                 if len(held[lang]) >= BLOCK_DOCS or size[lang] >= BLOCK_BYTES:
                     yield close(lang)
+                elif sum(size.values()) >= HELD_BYTES:  # many languages
+                    yield close(max(size, key=size.get))
         for lang in sorted(held):
             yield close(lang)
 
     return _texts(docs, [F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key")]).mapInArrow(cut, BLOCKS)
 
 
-def perplexities(docs: DataFrame, shards: DataFrame, n_docs: int) -> DataFrame:
-    """doc_id, row_key, lang, n_symbols, perplexity for every row of docs."""
-    n_salts = max(1, -(-n_docs // (BLOCK_DOCS * SALT_BLOCKS)))
+def perplexities(docs: DataFrame, counts: DataFrame, n_shards: int, base: DataFrame) -> DataFrame:
+    """doc_id, row_key, lang, n_symbols, perplexity for every row of docs. counts: lang, code, n, shard."""
+    cut = store.cut(blocks(docs, n_shards), "kn-blocks")
+    texts, asked = cut.where(F.col("shard") == TEXT), cut.where(F.col("shard") != TEXT)
+    # languages of more blocks than a group may have; a language that isn't named has one salt
+    busy = {r["lang"]: -(-r["count"] // SALT_BLOCKS) for r in texts.groupBy("lang").count().where(F.col("count") > SALT_BLOCKS).collect()}
+    salts = F.coalesce(F.create_map(*[F.lit(x) for kv in busy.items() for x in kv])[F.col("lang")], F.lit(1)) if busy else F.lit(1)
 
-    def join(key: tuple, model: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        table = log_table(model, key[1])
+    def answer(key: tuple, model: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
+        own = model["data"].dropna()
+        raw = model[model["data"].isna()].sort_values("code")
+        code, n = raw["code"].to_numpy(np.int64), raw["n"].to_numpy(np.int64)
         out = []
-        for block, lengths, data, ids in zip(asked["block"], asked["lengths"], asked["data"], asked["ids"], strict=True):
-            n = np.frombuffer(zstandard.decompress(lengths), "<u4").astype(np.int64)
-            code, count = unpack(data, n)
-            if table is None:
-                sums = np.full(len(n), np.nan)
-            else:
-                sums = np.bincount(np.repeat(np.arange(len(n)), n), -table[(code >> 16) // SHARDS, code >> 8 & 255, code & 255] * count, len(n))
-            out.append((key[0], key[1], block, sums.astype("<f8").tobytes(), ids))
-        return pd.DataFrame(out, columns=["lang", "shard", "block", "sums", "ids"])
+        if len(own):
+            wanted = [unpack(x) for x in questions["data"]]
+            ends = np.cumsum([0, *map(len, wanted)])
+            found = np.log(probabilities(pickle.loads(own.iloc[0]), code, n, np.concatenate(wanted))) if wanted else np.zeros(0)
+            out = [(key[1], block, zstandard.compress(found[a:b].astype("<f4").tobytes(), 1)) for block, a, b in zip(questions["block"], ends[:-1], ends[1:], strict=True)]
+        return pd.DataFrame(out, columns=["shard", "block", "data"])
 
     def total(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        parts = parts.sort_values("shard")
-        raw = zstandard.decompress(parts["ids"].iloc[0])
-        sums = np.sum([np.frombuffer(x, "<f8") for x in parts["sums"]], 0)
-        n = len(sums)
-        ids, none, size = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, np.uint8, n, 8 * n), np.frombuffer(raw, "<i8", n, 9 * n)
-        rows = np.frombuffer(raw, "<i8", n, 17 * n)
+        own = parts[parts["shard"] == TEXT].iloc[0]
+        rows = pickle.loads(zstandard.decompress(own["data"]))
+        each = [codes(r[2]) if r[2] else np.zeros(0, np.int64) for r in rows]
+        parts = parts[parts["shard"] != TEXT].sort_values("shard")
+        sums = np.full(len(rows), np.nan)
+        if len(parts):
+            asked = np.unique(np.concatenate(list(map(np.unique, each))))
+            order = np.argsort(shard_of(asked, n_shards), kind="stable")
+            logs = np.empty(len(asked))
+            logs[order] = np.concatenate([np.frombuffer(zstandard.decompress(x), "<f4") for x in parts["data"]])
+            sums = np.array([logs[np.searchsorted(asked, x)].sum() if len(x) else np.nan for x in each])
+        n = np.array(list(map(len, each)), np.int64)
         with np.errstate(all="ignore"):
-            ppl = np.exp(sums / size)
-        good = (size > 0) & ~np.isnan(sums)
-        return pd.DataFrame({"doc_id": pd.array(np.where(none, 0, ids), "Int64").copy(), "row_key": rows, "lang": parts["lang"].iloc[0], "n_symbols": size, "perplexity": ppl}).assign(
-            doc_id=lambda d: d["doc_id"].mask(none.astype(bool)), perplexity=lambda d: d["perplexity"].astype("Float64").mask(~good)
-        )
-
-    left = shards.withColumn("shard", F.col("b") % SHARDS)
-    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
+            ppl = np.exp(-sums / n)
+        ids = pd.array([r[0] for r in rows], "Int64")
+        return pd.DataFrame({"doc_id": ids, "row_key": [r[1] for r in rows], "lang": own["lang"], "n_symbols": n, "perplexity": pd.array(np.where(np.isnan(ppl), 0, ppl), "Float64")}).assign(perplexity=lambda d: d["perplexity"].mask(np.isnan(ppl)))
+
+    salt = lambda c: F.pmod(F.xxhash64(c), salts).cast("int")
+    none = lambda kind: F.lit(None).cast(kind)
+    left = counts.select("lang", "shard", "code", "n", none("binary").alias("data"))
+    left = left.unionByName(base.select("lang", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), none("long").alias("code"), none("long").alias("n"), "data"))
+    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     keys = ["lang", "shard", "salt"]
-    parts = left.groupBy(*keys).cogroup(blocks(docs, n_salts).groupBy(*keys)).applyInPandas(join, "lang string, shard int, block long, sums binary, ids binary")
+    answers = left.groupBy(*keys).cogroup(asked.withColumn("salt", salt("block")).groupBy(*keys)).applyInPandas(answer, "shard int, block long, data binary")
+    parts = answers.withColumn("lang", F.lit(None).cast("string")).unionByName(texts)
     return parts.groupBy("block").applyInPandas(total, "doc_id long, row_key long, lang string, n_symbols long, perplexity double").withColumn("lang", F.when(F.col("lang") != "\x00", F.col("lang")))
 
 
@@ -292,8 +335,8 @@ def limits(tested: DataFrame, quantile: float) -> DataFrame:
     middle = store.cut(tested.groupBy("of").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle"), F.count("*").alias("tests")), "kn-middle")
     over = store.cut(tested.join(middle, "of").select("of", "middle", "tests", ((F.col("loss") - F.col("middle")) * F.sqrt(F.col("n_symbols") / (F.col("n_symbols") + EVEN))).alias("over")), "kn-over")
     reach = F.greatest(F.percentile_approx("over", quantile, 10_000), SPREAD * F.percentile_approx(F.abs("over"), 0.5, 10_000))
-    own = over.groupBy("of", "middle", "tests").agg(reach.alias("own")).crossJoin(over.agg(reach.alias("pooled")))
-    return store.cut(own.select("of", "middle", F.when(F.col("tests") < FEW, F.col("pooled")).otherwise(F.col("own")).alias("reach")), "kn-limits")
+    pooled = F.lit(over.agg(reach).first()[0]).cast("double")
+    return store.cut(over.groupBy("of", "middle", "tests").agg(reach.alias("own")).select("of", "middle", F.when(F.col("tests") < FEW, pooled).otherwise(F.col("own")).alias("reach")), "kn-limits")
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, keyed: bool = False) -> DataFrame:
@@ -302,8 +345,11 @@ def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, key
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     trusted = trusted_ids(rows, labels)
     counts = store.cut(trusted_counts(rows, trusted.where("not held").select("doc_id")), "kn-counts")
-    shards = store.cut(kneser_ney(counts), "kn-shards")
-    scored = store.cut(perplexities(rows, shards, docs.count()), "kn-scores")
+    n_shards = max(MIN_SHARDS, -(-counts.count() // SHARD_CODES))
+    two = F.col("code").bitwiseAND(F.lit(0xFFFF00))
+    dealt = counts.withColumn("shard", (F.shiftright(F.shiftright(two, 8) * 40503, 4) % n_shards).cast("int"))
+    base = store.cut(bases(dealt), "kn-bases")
+    scored = store.cut(perplexities(rows, dealt, n_shards, base), "kn-scores")
     # of equal ids the trusted flag is the same, so a semi join serves
     tested = scored.join(trusted.where("held"), "doc_id", "left_semi").where("perplexity is not null")
     out = scored.join(limits(tested, quantile), F.coalesce(scored["lang"], F.lit("\x00")) == F.col("of"), "left")
