@@ -1,7 +1,8 @@
 """Similarity self-join on word n-grams with adaptive multi-match prefixes, and its connected components.
 
 Words are runs of bytes other than ASCII white space, ASCII letters in lower case; a document's set is its distinct n-word shingles as 64-bit hashes (two of a
-hundred million shingles agree by chance with a probability of about 3 in 10,000), and equal sets are one node from the start.
+hundred million shingles agree by chance with a probability of about 3 in 10,000), and equal sets are one node from the start. A node's name is a 64-bit hash of its set; names that two
+different sets have, as a second hash tells, are given up for the second hash.
 
 Order. Shingles go from rare to frequent by a counting sketch of all shingles (a fixed number of cells, at most 2**MAX_BITS, so small enough to give to every task;
 it decides costs, never results), then by hash. Sets that share at least o of their n shingles share l of their first n - o + l. A document's l is raised, and its prefix
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,7 @@ from . import store, words
 from .components import components
 
 SLICE = 1 << 14
-MIN_BITS, MAX_BITS = 18, 26
+MIN_BITS, MAX_BITS = 18, 24
 COSTS = (64, 1024, 16384)
 FAN = 256
 FILTER_BITS = 1 << 24
@@ -81,8 +83,20 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     return out
 
 
-def node_of(hashes: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+@dataclass(frozen=True)
+class Names:
+    """Names of sets: a hash of some bits (fewer than 64 in tests only), or for those that clash the second hash."""
+
+    bits: int = 64
+    clashing: frozenset[int] = frozenset()
+
+    def both(self, hashes: np.ndarray) -> tuple[int, int]:
+        data = hashes.tobytes()
+        return (xxhash.xxh3_64_intdigest(data) >> 64 - self.bits) - (1 << 63), xxhash.xxh3_64_intdigest(data, 0x5EED) - (1 << 63)
+
+    def __call__(self, hashes: np.ndarray) -> int:
+        first, second = self.both(hashes)
+        return second if first in self.clashing else first
 
 
 def _batches(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, int, list[bytes], list[np.ndarray]]]:
@@ -97,10 +111,10 @@ def parities(hashes: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
 
 
-def survey(rows: DataFrame, n: int, bits: int) -> DataFrame:
-    """A row (doc_id, node, n, parities) for each document, and rows (slice, part, counts) of the sketch."""
-    names = ["doc_id", "node", "n", *_BITS, "slice", "part", "counts"]
-    own = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * PARITIES]
+def survey(rows: DataFrame, n: int, bits: int, named: Names) -> DataFrame:
+    """A row (doc_id, node, second, n, parities) for each document, and rows (slice, part, counts) of the sketch."""
+    names = ["doc_id", "node", "second", "n", *_BITS, "slice", "part", "counts"]
+    own = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * PARITIES]
     more = [pa.int32(), pa.int64(), pa.binary()]
     shift = np.uint64(64 - bits)
 
@@ -110,8 +124,8 @@ def survey(rows: DataFrame, n: int, bits: int) -> DataFrame:
         for batch in batches:
             for a, b, _, sets in _batches(batch, n):
                 np.add.at(cells, np.concatenate(sets) >> shift, 1)
-                size, odd = list(map(len, sets)), [parities(s) for s in sets]
-                cols = [batch.column("doc_id")[a:b], pa.array([node_of(s) for s in sets], pa.int64()), pa.array(size, pa.int32())]
+                size, odd, both = list(map(len, sets)), [parities(s) for s in sets], list(map(named.both, sets))
+                cols = [batch.column("doc_id")[a:b], *[pa.array([x[i] for x in both], pa.int64()) for i in (0, 1)], pa.array(size, pa.int32())]
                 cols += [pa.array([x[i] for x in odd], pa.int64()) for i in range(PARITIES)]
                 yield pa.RecordBatch.from_arrays(cols + [pa.nulls(b - a, k) for k in more], names=names)
         part = TaskContext.get().partitionId()
@@ -121,26 +135,31 @@ def survey(rows: DataFrame, n: int, bits: int) -> DataFrame:
             cols = [pa.nulls(len(held), k) for k in own] + [pa.array([h[0] for h in held], pa.int32()), pa.array([part] * len(held), pa.int64()), pa.array([h[1] for h in held], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return rows.mapInArrow(run, f"doc_id long, node long, n int, {', '.join(b + ' long' for b in _BITS)}, slice int, part long, counts binary")
+    return rows.mapInArrow(run, f"doc_id long, node long, second long, n int, {', '.join(b + ' long' for b in _BITS)}, slice int, part long, counts binary")
 
 
-def levels(sketch: DataFrame, bits: int) -> np.ndarray:
-    """How frequent the shingles of each cell are: 0 for what may be chance, else twice the binary logarithm of the count."""
+def levels(sketch: DataFrame, bits: int, total: int) -> np.ndarray:
+    """How frequent the shingles of each cell are, of total ones: 0 for what may be chance, else twice the binary logarithm of the count. One byte a cell reaches the driver."""
+    mean = total / (1 << bits)
 
-    def add(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(SLICE, np.int64)
-        for c in part["counts"]:
-            total += np.frombuffer(zstandard.decompress(c), "<u4")
-        return pd.DataFrame({"slice": [key[0]], "part": [key[1]], "counts": [zstandard.compress(np.minimum(total, 2**32 - 1).astype("<u4").tobytes(), 1)]})
+    def add(last: bool):
+        def f(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+            cells = np.zeros(SLICE, np.int64)
+            for c in part["counts"]:
+                cells += np.frombuffer(zstandard.decompress(c), "<u4")
+            data = np.minimum(cells, 2**32 - 1).astype("<u4")
+            if last:
+                data = np.where(cells > mean + 4 * np.sqrt(mean) + 1, np.minimum(2 * np.log2(np.maximum(cells, 1)) + 1, 255), 0).astype(np.uint8)
+            return pd.DataFrame({"slice": [key[0]], "part": [key[1]], "counts": [zstandard.compress(data.tobytes(), 1)]})
+
+        return f
 
     for divide in (FAN, 1 << 62):
-        sketch = sketch.withColumn("part", F.expr(f"part div {divide}")).groupBy("slice", "part").applyInPandas(add, "slice int, part long, counts binary")
-    cells = np.zeros(1 << bits, np.uint32)
+        sketch = sketch.withColumn("part", F.expr(f"part div {divide}")).groupBy("slice", "part").applyInPandas(add(divide > FAN), "slice int, part long, counts binary")
+    out = np.zeros(1 << bits, np.uint8)
     for r in sketch.select("slice", "counts").toLocalIterator():  # 2**bits cells at most
-        cells[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(zstandard.decompress(r["counts"]), "<u4")
-    mean = float(cells.mean())
-    often = cells > mean + 4 * np.sqrt(mean) + 1
-    return np.where(often, np.minimum(2 * np.log2(np.maximum(cells, 1)) + 1, 255), 0).astype(np.uint8)
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(zstandard.decompress(r["counts"]), np.uint8)
+    return out
 
 
 def least_overlap(n: int, top: int, base: int) -> int:
@@ -159,7 +178,7 @@ def prefix(hashes: np.ndarray, level: np.ndarray, top: int, base: int) -> tuple[
     return hashes[order[: len(hashes) - need + l]], l
 
 
-def postings(rows: DataFrame, n: int, level: np.ndarray, top: int, base: int) -> DataFrame:
+def postings(rows: DataFrame, n: int, level: np.ndarray, top: int, base: int, named: Names) -> DataFrame:
     """token, node, n, pos, l for the prefixes; equal sets once per task."""
     held = rows.sparkSession.sparkContext.broadcast(level)
 
@@ -170,7 +189,7 @@ def postings(rows: DataFrame, n: int, level: np.ndarray, top: int, base: int) ->
             out: list[tuple] = []
             for _, _, _, sets in _batches(batch, n):
                 for s in sets:
-                    node = node_of(s)
+                    node = named(s)
                     if len(s) and node not in seen:
                         seen.add(node)
                         p, l = prefix(s, level, top, base)  # noqa: E741
@@ -202,7 +221,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return np.packbits(out)
 
 
-def texts_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+def texts_of(rows: DataFrame, ids: DataFrame, n: int, named: Names) -> DataFrame:
     """node, data (the text, compressed) for documents whose id is in ids, and for a few more."""
     held = rows.sparkSession.sparkContext.broadcast(id_filter(ids))
 
@@ -212,7 +231,7 @@ def texts_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             at = batch.column("bit").to_numpy()
             mine = batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
             for _, _, texts, sets in _batches(mine, n):
-                new = {k: t for s, t in zip(sets, texts, strict=True) if len(s) and (k := node_of(s)) not in seen}
+                new = {k: t for s, t in zip(sets, texts, strict=True) if len(s) and (k := named(s)) not in seen}
                 seen.update(new)
                 cols = [pa.array(list(new), pa.int64()), pa.array([zstandard.compress(t, 1) for t in new.values()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["node", "data"])
@@ -257,15 +276,21 @@ def _apart(x: str, y: str) -> Column:
     return out
 
 
-def _join(docs: DataFrame, n: int, top: int, base: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _join(docs: DataFrame, n: int, top: int, base: int, id_col: str, text_col: str, every: bool, name_bits: int = 64) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Rows (doc_id, node, n), nodes, links and labels: all links with every, else as many as hold the components together."""
     spark = docs.sparkSession
     store.small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     bits = min(max(int(np.ceil(np.log2(max(docs.count(), 1) * 32))), MIN_BITS), MAX_BITS)
-    found = store.cut(survey(rows, n, bits), "jaccard-survey")
+    named = Names(name_bits)
+    found = store.cut(survey(rows, n, bits, named), "jaccard-survey")
+    level = levels(found.where("slice is not null").select("slice", "part", "counts"), bits, found.agg(F.sum("n")).first()[0] or 0)
+    several = found.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("second").alias("low"), F.max("second").alias("high")).where("low < high")
+    clashing = frozenset(r["node"] for r in several.select("node").collect())  # of 10**10 sets some three are expected
+    if clashing:
+        named = Names(name_bits, clashing)
+        found = found.withColumn("node", F.when(F.col("node").isin(*clashing), F.col("second")).otherwise(F.col("node")))
     own = found.where("node is not null").select("doc_id", "node", "n")
-    level = levels(found.where("slice is not null").select("slice", "part", "counts"), bits)
     nodes = store.cut(found.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *[F.first(b).alias(b) for b in _BITS]), "jaccard-nodes")
 
     ratio = F.lit(top / (top + base))
@@ -280,13 +305,13 @@ def _join(docs: DataFrame, n: int, top: int, base: int, id_col: str, text_col: s
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         both = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = store.cut(texts_of(rows, both.join(nodes, "node").select(F.col("rep").alias("doc_id")), n), f"{name}-texts")
+        texts = store.cut(texts_of(rows, both.join(nodes, "node").select(F.col("rep").alias("doc_id")), n, named), f"{name}-texts")
         out = store.cut(verify(pairs, texts, n, top, base), name)
         store.release(texts)
         return out
 
     # all columns serve both uses, so that the postings are made and dealt out once
-    posted = postings(rows.where("doc_id is not null"), n, level, top, base).repartition(parts, "token")
+    posted = postings(rows.where("doc_id is not null"), n, level, top, base, named).repartition(parts, "token")
     shared = posted.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n", "l")).alias("lead")).where("low < high").select("token", "lead")
     near = posted.join(shared, "token").repartition(parts, "node").dropDuplicates(["node", "pos"])
     place = Window.partitionBy("node").orderBy("pos")

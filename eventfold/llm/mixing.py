@@ -3,11 +3,11 @@
 A source's target over its size is the copies that each of its documents gets on average. The whole part of that is
 taken at once; the fractions are rounded in pairs: of two fractional documents a random one gains and the other loses, words
 staying equal in sum, until one is 0 or 1. Rows of a source are dealt to buckets of bounded size by a hash of
-their id; each bucket leaves one fractional document at most, and the left-overs of up to FAN buckets meet in the next level of a
+all their columns, so rows that share an id or have none spread; each bucket leaves one fractional document at most, and the left-overs of up to FAN buckets meet in the next level of a
 tree, until a source has one left, which is rounded alone. Documents above 1 / 256 of their source are settled first, octave by octave of sizes, and the smaller ones
 make good what rounding a last large one gains or loses. So a source's taken words differ from its target by less than a small document where it has many, and by less than its largest always.
 
-Chance comes from hashes of ids and a seed, so reruns agree whatever the partitions. Defined results: a null or empty text
+Chance comes from hashes of rows and a seed, so reruns agree whatever the partitions. Defined results: a null or empty text
 has size 0 and isn't taken; a null source is a source of its own, the last in order; rows with equal ids are documents of
 their own; an empty table gives no rows; further columns are ignored.
 """
@@ -137,10 +137,15 @@ def _round_groups(seed: int, last: bool):
     return f
 
 
+def row_key(docs: DataFrame, seed: int) -> F.Column:
+    """A hash of all columns (maps aside, which have none); equal rows are interchangeable."""
+    cols = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*cols, *[F.col(c).isNull() for c in cols], F.lit(seed))
+
+
 def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target and the copies that the mix takes of each row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"))
-    sizes = store.cut(rows.withColumn("key", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(seed))), "mix-sizes")
+    """doc_id, source, size, source_size, target, key (row_key) and the copies that the mix takes of each row."""
+    sizes = store.cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"), row_key(docs, seed).alias("key")), "mix-sizes")
     aims = store.cut(targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), weights, share, most), "mix-aims")
     mean = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     deep = (
@@ -179,19 +184,8 @@ def mix_table(docs: DataFrame) -> DataFrame:
     return copies(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def repeat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it.
-
-    Rows are found again by id, source and size; of rows that agree in all three, those with the smaller text hash get the copies that don't divide.
-    """
-    took = (
-        copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_of"))
-        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-        .where("_copies > 0")
-    )
-    nth = Window.partitionBy(id_col, source_col, "_size").orderBy(F.xxhash64(text_col))
-    marked = docs.withColumn("_size", size_of(text_col)).withColumn("_nth", F.row_number().over(nth) - 1)
-    on = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_of"))
-    each = (F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") < F.col("_copies") % F.col("_rows")).cast("long")).cast("int")
-    return marked.join(took, on).withColumn("_again", F.explode(F.array_repeat(F.lit(1), each))).select(*docs.columns)
+def repeat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, **how) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it. Equal rows are found by their key and sent once, with the copies of all of them."""
+    took = copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **how).groupBy(F.col("key").alias("_key")).agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    rows = docs.withColumn("_key", row_key(docs, seed)).dropDuplicates(["_key"])
+    return rows.join(took, "_key").withColumn("_again", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)

@@ -44,7 +44,7 @@ def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import sentencepieces
 
-    return sentencepieces.encode(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_ids=False)
+    return sentencepieces.encode(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 The model's protobuf is parsed here, and its normaliser, metaspace marker, scores (unigram log-probabilities, or BPE merge ranks) and byte fallback are
 rebuilt as a tokenizers pipeline. Texts are cut where no piece can reach across (before a run of spaces, before a line
-feed), each chunk is encoded once per worker in multithreaded batches, and each new chunk's ids are checked against
-the sentencepiece library; should they differ, the library's are used and the document says so. A model whose pieces reach across such places, that has
+feed), and each chunk is encoded and decoded by the tokenizers library once per worker, in multithreaded batches. These ids are the result. Parity is verified beside it: each new
+chunk is encoded by the sentencepiece library too, and a document says whether all its chunks agree; the ids of a chunk that differs are replaced by the sentencepiece library's. A model whose pieces reach across such places, that has
 user-defined pieces or a normaliser that rewrites characters is encoded by whole texts instead, with the same check.
 
 Defined results: a null text is an empty one and has no ids; rows are encoded one by one, so repeated and null ids stay; an empty table gives no rows.
@@ -26,6 +26,7 @@ from . import store, words
 
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+APART, ONE_WAY = 1, 2  #: flags of a chunk: the libraries differ; decoding doesn't give the text
 MARK = "▁"
 
 
@@ -111,7 +112,7 @@ def rebuild(model: Model, normalize: bool = True):
         if model.one_space:
             from tokenizers import Regex
 
-            steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+            steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
         steps += [normalizers.Prepend(" ")] if model.dummy_prefix else []
         steps += [normalizers.Replace(" ", MARK)] if model.escape else []
         out.normalizer = normalizers.Sequence(steps)
@@ -123,6 +124,7 @@ def rebuild(model: Model, normalize: bool = True):
 def in_chunks(model: Model) -> bool:
     """Whether a text's ids are those of its chunks."""
     plain = not model.charsmap and not model.one_space and model.dummy_prefix and model.escape and model.byte_fallback
+    plain = plain and any(p == MARK and kind == NORMAL for p, _, kind in model.pieces)
     return plain and not any(kind == USER_DEFINED or "\n" in p or MARK in p.lstrip(MARK) for p, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED))
 
 
@@ -156,21 +158,27 @@ class Encoder:
         self._normalized = None
         self.bare = rebuild(self.model, normalize=False)
         self.cache = words.Flat(self._learn)
-        self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks; each list has a flag before it: 1 where the libraries differ. The libraries' results are large, so they are asked by some thousands."""
+        """Ids of chunks; each list has flags before it. The libraries' results are large, so they are asked by some thousands."""
         parts = [self._some(new[a : a + 4000]) for a in range(0, len(new), 4000)]
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def _some(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         keys = [w.decode() for w in new]
         got = [e.ids for e in self.bare.encode_batch_fast([k if k[:1] == "\n" else MARK + k.replace(" ", MARK) for k in keys], add_special_tokens=False)]
-        right = [ids[1:] if k[:1] == "\n" else ids for k, ids in zip(keys, self.library.encode(keys, num_threads=1), strict=True)]
-        # a space alone: the library puts no space before an empty text
-        right = [r if k else g for k, g, r in zip(keys, got, right, strict=True)]
-        back = self.bare.decode_batch(right, skip_special_tokens=False)
-        return words.flat_lists([[int(g != r or b.removeprefix(" ") != k.removeprefix(" ") and MARK not in k), *r] for k, g, r, b in zip(keys, got, right, back, strict=True)])
+        back = self.bare.decode_batch(got, skip_special_tokens=False)
+        flags = np.zeros(len(keys), np.int32)
+        flags[[i for i, (k, b) in enumerate(zip(keys, back, strict=True)) if b != k]] = ONE_WAY
+        for i in self.differ(keys, got):
+            got[i], flags[i] = self.library.encode(keys[i])[keys[i][:1] == "\n" :], flags[i] | APART
+        flat, n = words.flat_lists(got)
+        return np.insert(flat, np.cumsum(n) - n, flags), n + 1
+
+    def differ(self, keys: list[str], got: list[list[int]]) -> list[int]:
+        """Parity: which chunks the sentencepiece library encodes in another way. It puts a space before a line feed, and none before an empty text."""
+        other = self.library.encode(keys, num_threads=1)
+        return [i for i, (k, g, r) in enumerate(zip(keys, got, other, strict=True)) if g != r and k and (k[0] != "\n" or g != r[1:])]
 
     @property
     def whole(self):
@@ -182,33 +190,33 @@ class Encoder:
     def _whole(self, texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
         held = [t.decode() for t in texts]
         got = [e.ids for e in self.whole.encode_batch_fast(held, add_special_tokens=False)]
+        back = self.whole.decode_batch(got, skip_special_tokens=False)
         right = self.library.encode(held, num_threads=1)
-        return [np.array(x, np.int32) for x in right], np.array([g == r for g, r in zip(got, right, strict=True)], bool)
+        flags = [APART * (g != r) | ONE_WAY * (b != t) for t, g, r, b in zip(held, got, right, back, strict=True)]
+        return [np.array(r if g != r else g, np.int32) for g, r in zip(got, right, strict=True)], np.array(flags, np.int32)
 
     def encode(self, texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Ids of each text, and whether the libraries agree on all of it."""
+        """Ids of each text, and its flags."""
         if not self.chunked:
             return self._whole(texts)
         marked = [i for i, t in enumerate(texts) if MARK.encode() in t]
         if marked:  # the marker itself may join the spaces beside it
-            ids, ok = self.encode([b"" if MARK.encode() in t else t for t in texts])
-            for i, x, good in zip(marked, *self._whole([texts[i] for i in marked]), strict=True):
-                ids[i], ok[i] = x, good
-            return ids, ok
+            ids, flags = self.encode([b"" if MARK.encode() in t else t for t in texts])
+            for i, x, flag in zip(marked, *self._whole([texts[i] for i in marked]), strict=True):
+                ids[i], flags[i] = x, flag
+            return ids, flags
         split = list(map(chunks, texts))
         flat, n = self.cache.expand(self.cache.look_up([w for ws in split for w in ws]))
         n_chunks = np.fromiter(map(len, split), np.int64, len(split))
+        ends_of = np.cumsum(n_chunks)
         heads = np.cumsum(n) - n
-        flags = np.concatenate([[0], np.cumsum(flat[heads])]) if len(n) else np.zeros(1, np.int64)
         ids = np.delete(flat, heads) if len(n) else flat
-        ends = np.concatenate([[0], np.cumsum(n - 1)])[np.cumsum(n_chunks)]
-        ok = np.diff(flags[np.cumsum(n_chunks)], prepend=0) == 0
-        return np.split(ids, ends[:-1]), ok
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of the pieces; what the library's decoder gives, as each new chunk shows."""
-        out = b"".join(map(self.bytes.__getitem__, ids.tolist()))
-        return out[1:] if self.model.dummy_prefix and out[:1] == b" " else out
+        ends = np.concatenate([[0], np.cumsum(n - 1)])[ends_of]
+        flags = np.zeros(len(texts), np.int32)
+        for bit in (APART, ONE_WAY):
+            with_bit = np.concatenate([[0], np.cumsum(flat[heads] & bit > 0)]) if len(n) else np.zeros(1, np.int64)
+            flags |= np.where(np.diff(with_bit[ends_of], prepend=0) > 0, bit, 0).astype(np.int32)
+        return np.split(ids, ends[:-1]), flags
 
 
 def encoder(path: str) -> Encoder:
@@ -227,7 +235,7 @@ def encode(docs: DataFrame, path: str, *, text_col: str = "text", keep: tuple[st
             texts = [t or b"" for t in batch.column("_text").to_pylist()]
             for a, b in words.pieces(list(map(len, texts)), 1 << 20):
                 part = texts[a:b]
-                ids, ok = own.encode(part)
+                ids, flags = own.encode(part)
                 cols = [batch.column(c)[a:b] for c in keep]
                 if with_ids:
                     ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
@@ -235,8 +243,8 @@ def encode(docs: DataFrame, path: str, *, text_col: str = "text", keep: tuple[st
                 cols += [
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                    pa.array(ok),
-                    pa.array([own.decode(x) == t for t, x in zip(part, ids, strict=True)]),
+                    pa.array(flags & APART == 0),
+                    pa.array(flags & ONE_WAY == 0),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=[*keep, *["ids"] * with_ids, "n_tokens", "ids_crc32", "parity", "round_trip"])
 

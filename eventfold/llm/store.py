@@ -35,11 +35,11 @@ def shared_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(base)
         root = _qualified(spark, f"{base.rstrip('/')}/eventfold-{app}")
         _ROOTS[app] = root
-        atexit.register(_forget, spark, root)
+        atexit.register(remove, spark, root)
     return _ROOTS[app]
 
 
-def _forget(spark: SparkSession, root: str) -> None:
+def remove(spark: SparkSession, root: str) -> None:
     with contextlib.suppress(Exception):
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -65,14 +65,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def release(*tables: DataFrame) -> None:
-    """Deletes tables that cut wrote and nothing reads any more, and lets Spark drop the shuffle files of what is out of use."""
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that cut wrote and nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
         if path := _PATHS.pop(id(df), None):
-            _forget(spark, path)
+            remove(df.sparkSession, path)
+
+
+def release(*tables: DataFrame) -> None:
+    """discard, and lets Spark drop the shuffle files of what is out of use."""
+    discard(*tables)
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

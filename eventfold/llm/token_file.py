@@ -31,7 +31,7 @@ from . import store, words
 MAGIC, END = b"EFPF1\0\0\0", b"EFPF1END"
 BLOCK = 128
 PERCENTILE = 90
-FILES = "file string, first_id long, first_null boolean, last_id long, n_docs long, n_ids long, n_bytes long"
+FILES = "file string, first_id long, first_null boolean, last_id long, last_null boolean, n_docs long, n_ids long, n_bytes long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -265,29 +265,32 @@ def encode_texts(texts: list[bytes], encoder: words.Flat, end_id: int) -> tuple[
 
 
 def in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Partitions whose keys don't overlap, each sorted. A table that is laid out so already isn't shuffled."""
-    spans = (
-        docs.groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.min(key).alias("low"), F.max(key).alias("high"), F.max(F.col(key).isNull()).alias("none"))
-        .withColumn("before", F.max("high").over(Window.orderBy(F.col("low").asc_nulls_first(), "part").rowsBetween(Window.unboundedPreceding, -1)))
-        .agg(F.coalesce(F.max(F.col("before") >= F.col("low")), F.lit(False)) | F.coalesce(F.max("none"), F.lit(False)))
-    )
-    overlap = spans.first()[0]
-    if overlap:
-        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        docs = docs.repartitionByRange(n, F.col(key).asc_nulls_first())
-    return docs.sortWithinPartitions(F.col(key).asc_nulls_first(), text)
+    """Partitions whose keys don't overlap, each sorted."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartitionByRange(n, F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), text)
+
+
+def apart(files: DataFrame) -> bool:
+    """Whether no id, null among them, is within the range of two files."""
+    order = Window.orderBy(F.desc("first_null"), "first_id", "last_id", "file").rowsBetween(Window.unboundedPreceding, -1)
+    low, high = F.when(~F.col("first_null"), F.col("first_id")), F.when(~F.col("last_null"), F.col("last_id"))
+    crossed = files.select(F.max(high).over(order).alias("before"), low.alias("low"), F.count("*").over(order).alias("nth"))
+    return not crossed.where("nth > 0 and (low is null or before >= low)").limit(1).count()
 
 
 def write(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", percentile: int = PERCENTILE) -> DataFrame:
-    """Write the token files below the shared folder; gives the files, one row each."""
+    """Write the token files below the shared folder; gives the files, one row each.
+
+    Each task sorts and writes what it reads. If the files that came of it overlap in ids, as after a shuffle, the table is dealt by ranges of ids and
+    written once more; what decides is what the files hold, so the layout of a plan that ran before doesn't matter.
+    """
     spark = docs.sparkSession
     store.small_batches(spark)
     folder = store.fresh(spark, "tokens")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, out, first, last = word_encoder(tokenizer), None, None, None
+        encoder, out, first, last = word_encoder(tokenizer), None, None, (0, False)
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id")
             none = keys.is_null().to_numpy(zero_copy_only=False)
@@ -297,15 +300,18 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int = 1, id_col: str = "do
                     out, first = Writer(f"{folder}/{uuid.uuid4().hex}.pfor", percentile=percentile), (held[a], none[a])
                 ids, counts = encode_texts(texts[a:b], encoder, end_id)
                 out.add(held[a:b], none[a:b], counts, ids)
-                last = held[b - 1]
+                last = (held[b - 1], none[b - 1])
         if out is not None:
             out.close()
-            row = {"file": out.file.uri, "first_id": int(first[0]), "first_null": bool(first[1]), "last_id": int(last), "n_docs": out.n_docs, "n_ids": out.n_ids, "n_bytes": out.file.size}
-            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            row = {"file": out.file.uri, "first_id": int(first[0]), "first_null": bool(first[1]), "last_id": int(last[0]), "last_null": bool(last[1]), "n_docs": out.n_docs, "n_ids": out.n_ids, "n_bytes": out.file.size}
+            kinds = [pa.string(), *[pa.int64(), pa.bool_()] * 2, *[pa.int64()] * 3]
             yield pa.RecordBatch.from_pylist([row], schema=pa.schema(list(zip(row, kinds, strict=True))))
 
-    files = store.cut(in_order(rows, "doc_id", "text").mapInArrow(put, FILES), "token-files")
-    return files
+    files = store.cut(rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(put, FILES), "token-files")
+    if apart(files):
+        return files
+    store.remove(spark, folder)
+    return store.cut(in_order(rows, "doc_id", "text").mapInArrow(put, FILES), "token-files")
 
 
 def read(files: DataFrame, digest: Callable[[np.ndarray], int] = lambda ids: zlib.crc32(ids.tobytes())) -> DataFrame:

@@ -219,9 +219,7 @@ def fit(rows: DataFrame) -> Model:
         sums.withColumn("w", odds("toxic", n_toxic) - odds("clean", n_clean))
         .withColumn("w", F.col("w") - CAUTION * F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)))
         .where(F.col("w") > MIN_WEIGHT)
-        .orderBy(F.desc("w"), "f")
-        .limit(50_000)  # of a bounded sample; far above what gets so far by chance
-        .collect()
+        .collect()  # no more than the words of a bounded sample's toxic rows
     )
     weights = {r["f"]: float(r["w"]) for r in table}
     return calibrate(rows, weights)
@@ -256,7 +254,8 @@ def calibrate(rows: DataFrame, weights: dict[str, float]) -> Model:
 
 
 def solve(seen: Counter) -> float:
-    """lambda > 0 with sum p_i exp(lambda s_i) = 1; weights that clean rows don't show count as half a word."""
+    """lambda > 0 with sum p_i exp(lambda s_i) = 1; weights that clean rows don't show count as half a word. Where clean words score 0 or more on average there is none: then
+    it is 0.001, by which no passage is significant."""
     s = np.array([*seen, 5.0])
     p = np.array([*seen.values(), 0.5], float)
     p /= p.sum()
@@ -267,7 +266,7 @@ def solve(seen: Counter) -> float:
     for _ in range(60):
         mid = (low + high) / 2
         low, high = (mid, high) if f(mid) < 0 else (low, mid)
-    return min(max(low, 0.2), 3.0)
+    return low
 
 
 def _found(model: Model, scorer: Scorer, texts: list[bytes | None]) -> list[tuple[list, float]]:

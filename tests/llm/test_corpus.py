@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -76,6 +77,14 @@ def test_classes_equal_brute_force(spark, n, top):
     assert jaccard.classes(odd.documents(spark, [])).count() == 0
 
 
+def test_sets_whose_names_clash(spark):
+    data = odd.rows(40)
+    docs = odd.documents(spark, data)
+    own, nodes, _, labels = jaccard._join(docs, 3, 90, 100, "doc_id", "text", False, name_bits=3)
+    got = jaccard._rows(own, jaccard._ids(nodes, labels)).collect()
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in got) == brute_classes(data, 3, 90, 100)
+
+
 def test_every_link_of_a_group(spark):
     import random
 
@@ -167,6 +176,19 @@ def test_mix(spark):
     assert mixing.mix_table(odd.documents(spark, [])).count() == 0
 
 
+def test_mix_of_rows_without_ids(spark):
+    r = random.Random(2)
+    data = [(None if i % 3 else 7, odd.words(r, r.randint(1, 40)), "en", f"src{i % 2}", i, "x", "y", "z") for i in range(6000)]
+    docs = odd.documents(spark, data)
+    keys = {x["k"] for x in docs.select(mixing.row_key(docs, 7).alias("k")).collect()}
+    assert len(keys) == len(set(data))  # so they spread over buckets
+    got = mixing.mix_table(docs).groupBy("source_size", "target").agg({"taken": "sum"}).collect()
+    assert all(abs(x["sum(taken)"] - x["target"]) <= 40 for x in got) and len(got) == 2
+    twice = mixing.repeat(docs.union(docs.where("n_chars < 50")))
+    again = mixing.repeat(docs.union(docs.where("n_chars < 50")).repartition(5))
+    assert sorted(map(str, twice.collect())) == sorted(map(str, again.collect()))
+
+
 # --- quality
 
 

@@ -1,12 +1,14 @@
 import base64
 import hashlib
 import io
+import random
 import zlib
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from eventfold.llm import queries, token_file, warc
 
@@ -78,6 +80,32 @@ def test_token_files_equal_the_library(spark):
     assert token_file.digest_table(spark, odd.documents(spark, []), path).count() == 0
 
 
+def test_shuffled_tables_are_written_in_order(spark):
+    """Layouts that adaptive coalescing and column pruning change between two jobs: files must hold disjoint ranges of ids."""
+    path = queries.vocabulary("word_bpe_49k.json")
+    docs = odd.documents(spark, [(i, f"text number {i} " + odd.words(random.Random(i), 20), "en", "s", 0, "", "", "") for i in range(1500)])
+    sixteen = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(sixteen)
+    spark.conf.set(sixteen, "16")
+    try:
+        want = None
+        ids = docs.select("doc_id").distinct()
+        for table in (docs, docs.repartition("doc_id"), docs.distinct(), docs.join(ids.hint("merge"), "doc_id"), docs.groupBy("doc_id").agg(F.max("text").alias("text"))):
+            files = sorted(token_file.write(table, path).collect(), key=lambda r: r["first_id"])
+            assert all(a["last_id"] < b["first_id"] for a, b in zip(files, files[1:], strict=False))
+            got = sorted(map(tuple, token_file.digest_table(spark, table, path).collect()))
+            want = want or got
+            assert got == want and [r[0] for r in got] == list(range(1500)) and all(b[1] == a[1] + a[2] for a, b in zip(got, got[1:], strict=False))
+    finally:
+        spark.conf.set(sixteen, before)
+
+
+def test_pages_of_equal_ids(spark):
+    pages = spark.createDataFrame([(1, "u", "a"), (1, "u", "b"), (1, "u", "a"), (2, "u", "b")], "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.digest_table(spark, pages).collect())
+    assert len(got) == 4 and [r[0] for r in got] == [1, 1, 1, 2] and got[3][2:] == ("revisit", 1)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([*"ab .,'!Éσ\n\t ", "<|endoftext|>", "'ll", "5"]), max_size=30), min_size=1, max_size=6))
 def test_words_give_the_ids_of_texts(texts):
