@@ -45,7 +45,7 @@ def remove(spark: SparkSession, root: str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Batches of whole texts are large: unless the session says otherwise, they go to Python by fewer rows, so that a worker holds less at a time."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(name, "10000") == "10000":

@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 
 _HELD: dict[object, object] = {}
