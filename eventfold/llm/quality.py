@@ -7,9 +7,9 @@ Counting: texts meet the trusted ids in a join; n-gram counts are summed within
 are gathered; those of lower orders are numbers of different bytes to the left, which follow from them.
 Shards: an n-gram is dealt by the two bytes before its last. Its context and the n-grams of all orders from 3 up that back off from it share these two, so a shard holds
 all that they need; counts of counts, and counts of two bytes and of one, are small (65,536 a language at most) and summed over all shards first.
-Scoring: documents go in blocks of a language, written once with their texts. A block asks each shard for the probabilities of its distinct n-grams; groups of a shard
-and a bounded number of blocks (salted) are joined, and the answers meet the block's texts, whose n-grams look them up. No task holds more than a
-shard and SALT_BLOCKS blocks' questions, or a block with its answers.
+Scoring: documents go in blocks of a language. A block asks each shard for the probabilities of its distinct n-grams; groups of a shard
+and a bounded number of blocks (salted) are joined, and the answers meet the block's texts, whose n-grams look them up. One exchange holds blocks and questions for both uses, so
+texts move once. No task holds more than a shard and SALT_BLOCKS blocks' questions, or a block with its answers.
 
 Threshold: one trusted document in HOLD_OUT, by checksum of its id, isn't counted (where that leaves a language none of two or more, the one of least checksum). Per
 language, excess is log-perplexity over the held-out median, times sqrt(n / (n + EVEN)) for n symbols, as short texts vary more. Its QUANTILE over held-out documents of the
@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from . import store, words
 
 BEGIN, END = 2, 3
-ORDER = 6
+ORDER = 5
 SHARD_CODES = 1 << 19
 MIN_SHARDS = 8
 RUN_CODES = 1 << 21
 BLOCK_DOCS = 2048
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 HELD_BYTES = 24 << 20
-SALT_BLOCKS = 32
+SALT_BLOCKS = 64
 QUANTILE = 0.98
 EVEN = 1000
 SPREAD = 6
@@ -227,6 +227,10 @@ BLOCKS = "lang string, shard int, block long, data binary"
 TEXT = -1  #: the shard of rows that hold a block's documents
 
 
+def _own(text: bytes) -> np.ndarray:
+    return codes(text) if text else np.zeros(0, np.int64)
+
+
 def blocks(docs: DataFrame, n_shards: int) -> DataFrame:
     """Documents by lang in blocks: a row with the documents of each, and rows with the distinct n-grams that fall to each shard."""
 
@@ -240,11 +244,11 @@ def blocks(docs: DataFrame, n_shards: int) -> DataFrame:
             nonlocal made
             rows = held.pop(lang)
             size.pop(lang)
-            asked = np.unique(np.concatenate([np.unique(codes(r[2])) if r[2] else np.zeros(0, np.int64) for r in rows]))
+            asked = np.unique(np.concatenate([_own(r[2]) for r in rows]))
             shard = shard_of(asked, n_shards)
             order = np.argsort(shard, kind="stable")
             ends = np.searchsorted(shard[order], np.arange(n_shards + 1))
-            out = [(TEXT, zstandard.compress(pickle.dumps(rows, 5), 1))] + [(s, pack(asked[order[ends[s] : ends[s + 1]]])) for s in range(n_shards) if ends[s] < ends[s + 1]]
+            out = [(TEXT, zstandard.compress(pickle.dumps(rows, 5), 3))] + [(s, pack(asked[order[ends[s] : ends[s + 1]]])) for s in range(n_shards) if ends[s] < ends[s + 1]]
             cols = [pa.array([lang] * len(out)), pa.array([x[0] for x in out], pa.int32()), pa.array([made] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary())]
             made += 1
             return pa.RecordBatch.from_arrays(cols, names=["lang", "shard", "block", "data"])
@@ -265,10 +269,15 @@ def blocks(docs: DataFrame, n_shards: int) -> DataFrame:
 
 def perplexities(docs: DataFrame, counts: DataFrame, n_shards: int, base: DataFrame) -> DataFrame:
     """doc_id, row_key, lang, n_symbols, perplexity for every row of docs. counts: lang, code, n, shard."""
-    cut = store.cut(blocks(docs, n_shards), "kn-blocks")
-    texts, asked = cut.where(F.col("shard") == TEXT), cut.where(F.col("shard") != TEXT)
-    # languages of more blocks than a group may have; a language that isn't named has one salt
-    busy = {r["lang"]: -(-r["count"] // SALT_BLOCKS) for r in texts.groupBy("lang").count().where(F.col("count") > SALT_BLOCKS).collect()}
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks(docs, n_shards).repartition(parts, "block")
+    # not a condition that is pushed below the exchange, which would make two of it
+    here = lambda wanted: wanted | (F.spark_partition_id() < 0)
+    texts, asked = dealt.where(here(F.col("shard") == TEXT)), dealt.where(here(F.col("shard") != TEXT))
+    # languages of more documents than the blocks of a group may have (a block holds BLOCK_BYTES or BLOCK_DOCS); a language that isn't named has one salt
+    size = F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 100) / BLOCK_BYTES + F.count("*") / BLOCK_DOCS
+    many = docs.groupBy(F.coalesce("lang", F.lit("\x00")).alias("lang")).agg(F.ceil(size / SALT_BLOCKS).alias("salts")).where("salts > 1")
+    busy = {r["lang"]: r["salts"] for r in many.collect()}
     salts = F.coalesce(F.create_map(*[F.lit(x) for kv in busy.items() for x in kv])[F.col("lang")], F.lit(1)) if busy else F.lit(1)
 
     def answer(key: tuple, model: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
@@ -283,19 +292,20 @@ def perplexities(docs: DataFrame, counts: DataFrame, n_shards: int, base: DataFr
             out = [(key[1], block, zstandard.compress(found[a:b].astype("<f4").tobytes(), 1)) for block, a, b in zip(questions["block"], ends[:-1], ends[1:], strict=True)]
         return pd.DataFrame(out, columns=["shard", "block", "data"])
 
-    def total(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        own = parts[parts["shard"] == TEXT].iloc[0]
+    def total(key: tuple, texts: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        own = texts.iloc[0]
         rows = pickle.loads(zstandard.decompress(own["data"]))
-        each = [codes(r[2]) if r[2] else np.zeros(0, np.int64) for r in rows]
-        parts = parts[parts["shard"] != TEXT].sort_values("shard")
+        each = [_own(r[2]) for r in rows]
+        n = np.array(list(map(len, each)), np.int64)
+        parts = parts.sort_values("shard")
         sums = np.full(len(rows), np.nan)
         if len(parts):
-            asked = np.unique(np.concatenate(list(map(np.unique, each))))
+            asked, at = np.unique(np.concatenate(each), return_inverse=True)
+            del each
             order = np.argsort(shard_of(asked, n_shards), kind="stable")
             logs = np.empty(len(asked))
-            logs[order] = np.concatenate([np.frombuffer(zstandard.decompress(x), "<f4") for x in parts["data"]])
-            sums = np.array([logs[np.searchsorted(asked, x)].sum() if len(x) else np.nan for x in each])
-        n = np.array(list(map(len, each)), np.int64)
+            logs[order] = np.concatenate([np.frombuffer(zstandard.decompress(x), "<f4") for x in parts["data"]])  # as many as were asked for, or this fails
+            sums[n > 0] = np.add.reduceat(logs[at], (np.cumsum(n) - n)[n > 0])
         with np.errstate(all="ignore"):
             ppl = np.exp(-sums / n)
         ids = pd.array([r[0] for r in rows], "Int64")
@@ -308,8 +318,7 @@ def perplexities(docs: DataFrame, counts: DataFrame, n_shards: int, base: DataFr
     left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     keys = ["lang", "shard", "salt"]
     answers = left.groupBy(*keys).cogroup(asked.withColumn("salt", salt("block")).groupBy(*keys)).applyInPandas(answer, "shard int, block long, data binary")
-    parts = answers.withColumn("lang", F.lit(None).cast("string")).unionByName(texts)
-    return parts.groupBy("block").applyInPandas(total, "doc_id long, row_key long, lang string, n_symbols long, perplexity double").withColumn("lang", F.when(F.col("lang") != "\x00", F.col("lang")))
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(total, "doc_id long, row_key long, lang string, n_symbols long, perplexity double").withColumn("lang", F.when(F.col("lang") != "\x00", F.col("lang")))
 
 
 def _checksum(id_col: str) -> Column:
@@ -349,6 +358,7 @@ def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, key
     two = F.col("code").bitwiseAND(F.lit(0xFFFF00))
     dealt = counts.withColumn("shard", (F.shiftright(F.shiftright(two, 8) * 40503, 4) % n_shards).cast("int"))
     base = store.cut(bases(dealt), "kn-bases")
+    store.release()  # the shuffle files so far
     scored = store.cut(perplexities(rows, dealt, n_shards, base), "kn-scores")
     # of equal ids the trusted flag is the same, so a semi join serves
     tested = scored.join(trusted.where("held"), "doc_id", "left_semi").where("perplexity is not null")

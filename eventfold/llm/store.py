@@ -76,7 +76,8 @@ def release(*tables: DataFrame) -> None:
     """discard, and lets Spark drop the shuffle files of what is out of use."""
     discard(*tables)
     gc.collect()
-    tables[0].sparkSession.sparkContext._jvm.System.gc()
+    if session := SparkSession.getActiveSession():
+        session.sparkContext._jvm.System.gc()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
