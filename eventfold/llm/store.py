@@ -59,7 +59,7 @@ def fresh(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read again: lineage ends here and survives lost executors."""
     path = fresh(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _PATHS[id(out)] = path
     return out
