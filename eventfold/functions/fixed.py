@@ -90,3 +90,13 @@ MISSING_INFO = (
     r"cookie|privacy|consent|no information|does not (contain|provide|state|include)|not provide|missing|empty|unreadable|generic template"
     r"|only (the )?(name|title|navigation)"
 )
+
+# Labels and marks within pages.
+LABEL_LINE = r"\s*([A-Za-z][A-Za-z &/]{1,30}?)\s*[:：]\s*(\S.{0,250})$"
+ABOUT_A_DATE = r"date|deadline|by|until|clos"
+SITE_NAME_AFTER = r"\s+[|\-–—]\s+"
+LEAST_TITLE, LEAST_PARAGRAPH = 8, 60
+MODE_TAG = r"(hybrid|virtual|online|in[\s-]?person)( event)?|(live )?webinar"
+CARD_MODE_LABEL = r"(event\s+)?(mode|format|attendance)"
+NO_PAGE_LINKS = ("#", "javascript:", "mailto:", "tel:")
+BLOCKS = ("h1", "h2", "h3", "h4", "p", "li", "td", "th", "dt", "dd", "div", "section", "article")

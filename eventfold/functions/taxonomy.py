@@ -44,18 +44,25 @@ def rejection(title: Column, description: Column) -> Column:
     return out
 
 
+def longest_word(phrase: str) -> str:
+    """The longest part of a phrase that stands in every text that has it, in lower case."""
+    parts = [w for w in re.split(r"[\s\-]+", phrase.strip().lower().rstrip("*")) if w not in ("and", "&")]
+    return max(parts, key=len)
+
+
+def says(c: Column, phrase: str) -> Column:
+    """Whether a text has a phrase. A plain search for one of its words comes first, as most texts have none and a search costs little of what the pattern does."""
+    return F.contains(F.lower(c), F.lit(longest_word(phrase))) & c.rlike(f"(?i){pattern(phrase)}")
+
+
 def _hits(title: Column, description: Column, phrases: list[str]) -> tuple[Column, Column]:
     """How many of the phrases the title has, and how many only the description has."""
     zero = F.lit(0)
     if not phrases:
         return zero, zero
-    ps = [pattern(p) for p in phrases]
-    some = "(?i)" + "|".join(f"(?:{p})" for p in dict.fromkeys(ps))  # most texts have none
-    in_title = [title.rlike(f"(?i){p}") for p in ps]
+    in_title = [says(title, p) for p in phrases]
     add = lambda cs: F.aggregate(F.array(*[c.cast("int") for c in cs]), zero, lambda a, x: a + x)
-    n_title = F.when(title.rlike(some), add(in_title)).otherwise(zero)
-    n_text = F.when(description.rlike(some), add([~t & description.rlike(f"(?i){p}") for t, p in zip(in_title, ps, strict=True)])).otherwise(zero)
-    return n_title, n_text
+    return add(in_title), add([~t & says(description, p) for t, p in zip(in_title, phrases, strict=True)])
 
 
 def scores(title: Column, description: Column, path: str = DEFAULT) -> dict[str, Column]:
@@ -70,6 +77,17 @@ def scores(title: Column, description: Column, path: str = DEFAULT) -> dict[str,
     return out
 
 
+def topics(title: Column, description: Column, category: str, path: str = DEFAULT, most: int = 4) -> Column:
+    """What a text says of a category: topic ('phrase as written') of the first few phrases that it has, those of the title and of the description in the taxonomy's order, generic words last."""
+    title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
+    rows, weak = load(path)[category]
+    shown = []
+    for topic, phrase in [*rows, *[("generic word", w) for w in weak]]:
+        found = F.coalesce(*[F.when(says(c, phrase), F.lower(F.trim(F.regexp_extract(c, f"(?i){pattern(phrase)}", 0)))) for c in (title, description)])
+        shown.append(F.when(found.isNotNull(), F.concat(F.lit(f"{topic} ('"), found, F.lit("')"))))
+    return F.slice(F.array_distinct(F.array_compact(F.array(*shown))), 1, most)
+
+
 def category(title: Column, description: Column, path: str = DEFAULT) -> Column:
     """Tax, Legal, Finance (ties in this order), Reject or Unclear."""
     # bound once in a lambda: as plain expressions the scores would be worked out anew for each comparison

@@ -53,8 +53,9 @@ def raw_upsert(old: DataFrame, new: DataFrame, *, cutoff: dt.date, today: dt.dat
     return kept.unionByName(added).withColumn("status", status)
 
 
-def difference(previous: DataFrame, fresh: DataFrame, compare: Sequence[str], *, name: str = "event_name", when: str = "date", bucket: str = "bucket") -> DataFrame:
-    """What became of each row: fresh rows are unchanged, changed, completed (an incomplete row of that name got its day), reopened or new; previous rows that no fresh row used are untouched."""
+def difference(previous: DataFrame, fresh: DataFrame, compare: Sequence[str], *, name: str = "event_name", when: str = "date", bucket: str = "bucket", with_used: bool = False) -> DataFrame:
+    """What became of each row: fresh rows are unchanged, changed, completed (an incomplete row of that name got its day), reopened or new; previous rows that no fresh row used are untouched. With with_used, used is the ord of
+    the previous row that it is about."""
     p = previous.withColumns({"_n": key(name), "_w": key(when)})
     p1 = p.withColumn("_i", F.row_number().over(Window.partitionBy("_n", "_w").orderBy(F.desc("ord")))).where("_i = 1").drop("_i")
     same = lambda a, b: F.struct(*[text.blank(F.col(f"{a}{c}")) for c in compare]).eqNullSafe(F.struct(*[text.blank(F.col(f"{b}{c}")) for c in compare]))
@@ -73,7 +74,8 @@ def difference(previous: DataFrame, fresh: DataFrame, compare: Sequence[str], *,
     )
     told = got.withColumn("fate", fate).withColumn("used", F.coalesce("k_ord", "i_ord"))
     left = p1.join(told.select(F.col("used").alias("_u")).where("_u is not null").distinct(), p1["ord"] == F.col("_u"), "left_anti").withColumn("fate", F.lit("untouched"))
-    cols = ["ord", name, when, "fate"]
+    left = left.withColumn("used", F.col("ord"))
+    cols = ["ord", name, when, "fate", *["used"] * with_used]
     return told.select(*cols).unionByName(left.select(*cols))
 
 

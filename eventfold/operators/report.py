@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, text, titles
+from ..sources import shared
 
 ACCEPTED = ("Tax", "Finance", "Legal")
 YEARS_AHEAD = 3
@@ -47,9 +48,7 @@ def health(current: DataFrame, previous: DataFrame) -> DataFrame:
 def missing_and_past(verified: DataFrame, seen: DataFrame, sites: DataFrame, today: dt.date) -> DataFrame:
     """verified with outcome kept, past or missing. Past is by the last day. Missing is what a healthy site no longer shows, has a page of its own that no other row shares, and was
     last seen more than GRACE_DAYS ago. Locked rows are kept."""
-    link = text.normalize_url(F.col("link"))
-    shared = F.count("*").over(Window.partitionBy("_link"))
-    rows = verified.withColumn("_link", link).withColumn("_n", F.when(F.col("_link") != "", shared).otherwise(0))
+    rows = times(verified.withColumn("_link", text.normalize_url(F.col("link"))), "_link", "_n")
     rows = rows.join(seen.select("event_id", F.lit(True).alias("_seen")).distinct(), "event_id", "left")
     rows = rows.join(sites.where("status = 'ok'").select("source_url", F.lit(True).alias("_ok")).distinct(), "source_url", "left")
     over = dates.is_past(F.coalesce("end_date", "start_date"), today)
@@ -60,15 +59,17 @@ def missing_and_past(verified: DataFrame, seen: DataFrame, sites: DataFrame, tod
     return rows.withColumn("outcome", F.when(text.truthy(F.col("locked")), "kept").when(over, "past").when(gone, "missing").otherwise("kept")).select(*verified.columns, "outcome")
 
 
+def times(df: DataFrame, key: str, out: str) -> DataFrame:
+    """df with the number of rows that share its key, 0 for a blank one. Counted by an aggregate of keys alone; rows with a blank key meet nothing, so they spread over all tasks."""
+    counts = df.where(F.col(key) != "").groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_times"))
+    spread = F.when(F.col(key) != "", F.col(key)).otherwise(F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string")))
+    return df.withColumn("_spread", spread).join(counts, F.col("_spread") == F.col("_key"), "left").withColumn(out, F.coalesce("_times", F.lit(0))).drop("_spread", "_key", "_times")
+
+
 def own_page(df: DataFrame, link: str, source: str) -> DataFrame:
     """own_page: a link other than the list's page that no other row has and that isn't a search engine's."""
-    n = text.normalize_url(F.col(link))
-    times = F.count("*").over(Window.partitionBy("_l"))
-    return (
-        df.withColumn("_l", n)
-        .withColumn("own_page", (F.col("_l") != "") & (F.col("_l") != text.normalize_url(F.col(source))) & ~text.host(F.col(link)).rlike(r"google\.com$") & (times == 1))
-        .drop("_l")
-    )
+    own = (F.col("_l") != "") & (F.col("_l") != text.normalize_url(F.col(source))) & ~text.host(F.col(link)).rlike(r"google\.com$") & (F.col("_n") == 1)
+    return times(df.withColumn("_l", text.normalize_url(F.col(link))), "_l", "_n").withColumn("own_page", own).select(*df.columns, "own_page")
 
 
 def failures(today: dt.date, *, name: str = "name", day: str = "date", end: str = "end_date", location: str = "location", category: str = "category", page: str = "page", proofs: tuple[str, ...] = ("name", "date", "end_date", "location", "format")) -> Column:
@@ -94,8 +95,7 @@ def failures(today: dt.date, *, name: str = "name", day: str = "date", end: str
         (F.col(location).isNotNull() & titles.untracked(value(location)) & titles.country_of(value(location)).isNull(), "untracked"),
         (~F.coalesce(F.col(category).isin(*ACCEPTED), F.lit(False)), "category"),
     ]
-    said = F.concat_ws(",", *[F.when(F.coalesce(c, F.lit(False)), F.lit(code)) for c, code in checks])
-    return F.when(said == "", F.array().cast("array<string>")).otherwise(F.split(said, ","))
+    return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(code)) for c, code in checks]))
 
 
 def status(rejected: Column, past: Column, conflicts: Column, failed: Column) -> Column:
@@ -120,6 +120,46 @@ def reason_counts(df: DataFrame, reasons: str, top: int = 8) -> DataFrame:
 
 
 def spend(df: DataFrame, order: str, cost: Column, cap: float) -> DataFrame:
-    """Calls with the running cost; over marks those after the one that reached the cap. The order is global, so this is for a table of calls, not of events."""
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("spent", F.sum(cost).over(before)).withColumn("over", F.col("spent") - cost >= cap)
+    """Calls with the running cost; over marks those after the one that reached the cap. Ranges of the order are summed apart, then what lies before each is added."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = shared.once(df.withColumn("_cost", cost).repartitionByRange(n, order).withColumn("_part", F.spark_partition_id()), "spend")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    base = dealt.groupBy("_part").agg(F.sum("_cost").alias("_sum")).withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).select("_part", "_base")
+    within = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return dealt.withColumn("_own", F.sum("_cost").over(within)).join(base, "_part").withColumn("spent", F.col("_own") + F.col("_base")).withColumn("over", F.col("spent") - F.col("_cost") >= cap).select(*df.columns, "spent", "over")
+
+
+def summary(events: DataFrame, total_sources: int | None = None) -> DataFrame:
+    """One row of counts of bucketed events (organizer, source_url, bucket): sources checked, with and without events, rows by bucket, organizers with upcoming rows, past ones and both."""
+    n = lambda b: F.count_if(F.col("bucket") == b).alias(b)
+    by_bucket = events.agg(*[n(b) for b in ("upcoming", "past", "incomplete", "flagged")], F.count_distinct("source_url").alias("with_events"))
+    # a row for each organizer
+    has = events.groupBy("organizer").agg(*[F.max(F.col("bucket") == b).alias(b) for b in ("upcoming", "past")])
+    count = lambda c, name: F.count_if(c).alias(name)
+    both = has.agg(count(F.col("upcoming"), "organizers_upcoming"), count(F.col("past"), "organizers_past"), count(F.col("upcoming") & F.col("past"), "organizers_both"))
+    checked = F.col("with_events") if total_sources is None else F.lit(total_sources).cast("long")
+    one = by_bucket.withColumn("_k", F.lit(1)).join(both.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return one.withColumn("checked", checked).withColumn("without_events", F.greatest(F.col("checked") - F.col("with_events"), F.lit(0)))
+
+
+def counts(master: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the master by keys, country and bucket by default."""
+    return master.groupBy(*(keys or ("country", "bucket"))).agg(F.count("*").alias("n"))
+
+
+def healthy(*runs: DataFrame) -> DataFrame:
+    """The sources that any of the runs (source_url, status) found well."""
+    out = runs[0].where("status = 'ok'").select("source_url")
+    for r in runs[1:]:
+        out = out.union(r.where("status = 'ok'").select("source_url"))
+    return out.distinct()
+
+
+def chronological(df: DataFrame, day: str, *ties: str) -> DataFrame:
+    """By day, undated rows last."""
+    return df.orderBy(F.col(day).asc_nulls_last(), *ties)
+
+
+def by_country(df: DataFrame, country: str = "country", shown: str = "date", *ties: str) -> DataFrame:
+    """By country, then by the date as it is shown (a text, so 01-Dec comes before 02-Jan)."""
+    return df.orderBy(country, text.blank(F.col(shown)), *ties)

@@ -43,6 +43,26 @@ def clean(raw: DataFrame, today: dt.date) -> DataFrame:
     return one.withColumn("bucket", report.bucket(c("event_name"), titles.relevant(c("category"), c("event_name"), c("description")), c("day"), c("end_day"), c("format"), c("location"), today))
 
 
+#: What a row says; a fresh row that differs in none of these is unchanged.
+SAID = ("end_date", "event_name", "organizer", "category", "format", "location", "description", "link", "source_url")
+
+
+def refresh(raw: DataFrame, previous: DataFrame, today: dt.date) -> DataFrame:
+    """A run after another: raw rows cleaned and held against the previous result (clean's columns and bucket); column fate tells what became of each row.
+
+    What is new, changed, completed or reopened takes the bucket that clean gives it. An unchanged row is the previous one with its bucket, but an upcoming one whose day is over
+    is past by now. A previous row that no fresh one used stays as it is.
+    """
+    c = F.col
+    fresh = clean(raw, today)
+    told = merge.difference(previous, fresh, SAID, with_used=True).select("ord", "used", "fate")
+    cols = [x for x in fresh.columns if x in previous.columns]
+    anew = fresh.join(told.where(~c("fate").isin("unchanged", "untouched")).select("ord", "fate"), "ord").select(*cols, "fate")
+    carried = previous.join(told.where(c("fate").isin("unchanged", "untouched")).select(c("used").alias("ord"), "fate").dropDuplicates(["ord"]), "ord")
+    over = (c("fate") == "unchanged") & (c("bucket") == "upcoming") & dates.is_past(dates.from_display(c("date")), today)
+    return anew.unionByName(carried.withColumn("bucket", F.when(over, "past").otherwise(c("bucket"))).select(*cols, "fate"))
+
+
 def judge(candidates: DataFrame, today: dt.date) -> DataFrame:
     """Candidates (fields as evidence structs, category or text to tell it from, page, conflicts) with category, failed checks and status."""
     c = F.col

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from . import shared
 
 RESULT = "url string, html string, status int, error string"
 FINAL = (404, 410)
@@ -41,10 +42,10 @@ def many(urls: DataFrame, fetch: Callable[[str], dict], *, url_col: str = "url",
 
 
 def two_tiers(urls: DataFrame, cheap: Callable[[str], dict], dear: Callable[[str], dict], *, dear_partitions: int = 5, pause: float = 0.3) -> DataFrame:
-    """All urls by the cheap fetcher; what failed but for good, or shows nothing without scripts, by the dear one, a few at a time."""
-    first = many(urls, cheap, pause=pause)
+    """All urls by the cheap fetcher; what failed but for good, or shows nothing without scripts, by the dear one, a few at a time. Each tier's pages are written once, so no page is asked for twice."""
+    first = shared.once(many(urls, cheap, pause=pause), "pages-cheap")
     again = ~F.coalesce(F.col("status").isin(*FINAL), F.lit(False)) & (F.col("error").isNotNull() | text.js_shell(F.coalesce("html", F.lit(""))))
     retry = first.where(again)
-    second = many(retry, dear, pause=pause, partitions=dear_partitions)
+    second = shared.once(many(retry, dear, pause=pause, partitions=dear_partitions), "pages-dear")
     better = second.where("error is null")
     return first.join(better.select("url"), "url", "left_anti").unionByName(better)

@@ -19,6 +19,19 @@ def test_clean(spark):
     assert got[8]["date"] == "01-Dec-2023" and got[9]["date"] == "09-Oct-2026"
 
 
+def test_a_run_after_another(spark):
+    def raw(ord_, date, name, place="Leeds", text=""):
+        return (ord_, date, name, "Org", "Tax", "Virtual", place, text, "l", "s")
+
+    first = jobs.clean(spark.createDataFrame([raw(1, "5 October 2026", "Same Day"), raw(2, "1 October 2026", "Over Day"), raw(3, "", "Open Day"), raw(4, "9 October 2026", "Lost Day"), raw(5, "7 October 2026", "Moved Day"), raw(7, "", "Still Open Day")], RAW), TODAY)
+    later = spark.createDataFrame([raw(11, "5 October 2026", "same day"), raw(12, "1 October 2026", "Over Day"), raw(13, "8 October 2026", "Open Day"), raw(15, "7 October 2026", "Moved Day", "York"), raw(16, "6 October 2026", "New Day"), raw(17, "", "Still Open Day")], RAW)
+    got = {r["event_name"].lower(): (r["fate"], r["bucket"], r["ord"]) for r in jobs.refresh(later, first, dt.date(2026, 10, 3)).collect()}
+    assert got == {
+        "same day": ("changed", "upcoming", 11), "over day": ("unchanged", "past", 2), "open day": ("completed", "upcoming", 13), "lost day": ("untouched", "upcoming", 4),
+        "moved day": ("changed", "upcoming", 15), "new day": ("new", "upcoming", 16), "still open day": ("unchanged", "incomplete", 7),
+    }
+
+
 def test_one_master_of_all_countries(spark):
     rows = [(1, "Tax Day", "05-Oct-2026", "London", "", "India"), (2, "tax day", "05-Oct-2026", "London", "text", "UAE"), (3, "Law Day", "05-Oct-2026", "Tokyo", "", "SG"), (4, "Bank Day on 6 October 2026", "05-Oct-2026", "", "", "SG"), (5, "Events", "", "", "", "SG")]
     got = {r["ord"]: (r["country"], r["bucket"]) for r in jobs.across_countries(spark.createDataFrame(rows, "ord int, event_name string, date string, location string, description string, source_country string")).collect()}

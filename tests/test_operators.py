@@ -1,4 +1,6 @@
 import datetime as dt
+import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,7 +121,7 @@ def test_headers(spark):
         organisations.read(spark.createDataFrame([("x",)], "name string"))
 
 
-def test_fetching_in_two_tiers(spark):
+def test_fetching_in_two_tiers(spark, tmp_path):
     urls = spark.createDataFrame([(f"http://h{i % 2}.example/{i}",) for i in range(8)] * 2, "url string")
 
     def cheap(url):
@@ -128,7 +130,20 @@ def test_fetching_in_two_tiers(spark):
             raise OSError("no route")
         return {"status": 404} if n == 1 else {"html": "short"} if n == 2 else {"html": "word " * 200, "status": 200}
 
-    got = {r["url"][-1]: r for r in fetch.two_tiers(urls, cheap, lambda u: {"html": "browser " * 100, "status": 200}, pause=0).collect()}
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def told(tier, fetcher):
+        def f(url):
+            (asked / f"{tier}-{uuid.uuid4().hex}").touch()
+            return fetcher(url)
+
+        return f
+
+    pages = fetch.two_tiers(urls, told("cheap", cheap), told("dear", lambda u: {"html": "browser " * 100, "status": 200}), pause=0)
+    assert pages.count() == 8
+    got = {r["url"][-1]: r for r in pages.collect()}
+    assert Counter(p.name.split("-")[0] for p in asked.iterdir()) == {"cheap": 8, "dear": 2}  # each page once, however often the result is read
     assert len(got) == 8 and got["1"]["error"] == "HTTP 404" and got["0"]["html"].startswith("browser") and got["2"]["html"].startswith("browser") and got["3"]["html"].startswith("word")
 
 

@@ -39,7 +39,8 @@ def test_same_rows(spark, duck, name):
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_runs(spark, name):
-    assert __spark_entry__.queries()[name](spark, DATA).count() >= 0
+    n = __spark_entry__.queries()[name](spark, DATA).count()
+    assert n == 0 if name == "page_cards" else n > 0  # the table's pages hold no cards; customer_list_pages does
 
 
 def test_entry(spark):
