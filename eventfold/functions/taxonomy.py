@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import cache
+from functools import cache, reduce
 from pathlib import Path
 
 from pyspark.sql import Column
@@ -50,33 +50,41 @@ def longest_word(phrase: str) -> str:
     return max(parts, key=len)
 
 
-def says(c: Column, phrase: str) -> Column:
-    """Whether a text has a phrase. A plain search for one of its words comes first, as most texts have none and a search costs little of what the pattern does."""
-    return F.contains(F.lower(c), F.lit(longest_word(phrase))) & c.rlike(f"(?i){pattern(phrase)}")
+def says(c: Column, phrase: str, lower: Column | None = None) -> Column:
+    """Whether a text has a phrase. A plain search for one of its words comes first, as most texts have none and a search costs little of what the pattern does. lower: the text in lower case, if it is at hand."""
+    return F.contains(F.lower(c) if lower is None else lower, F.lit(longest_word(phrase))) & c.rlike(f"(?i){pattern(phrase)}")
 
 
-def _hits(title: Column, description: Column, phrases: list[str]) -> tuple[Column, Column]:
+def _hits(title: Column, description: Column, phrases: list[str], lower: tuple[Column | None, Column | None]) -> tuple[Column, Column]:
     """How many of the phrases the title has, and how many only the description has."""
     zero = F.lit(0)
     if not phrases:
         return zero, zero
-    in_title = [says(title, p) for p in phrases]
-    add = lambda cs: F.aggregate(F.array(*[c.cast("int") for c in cs]), zero, lambda a, x: a + x)
-    return add(in_title), add([~t & says(description, p) for t, p in zip(in_title, phrases, strict=True)])
+    in_title = [says(title, p, lower[0]) for p in phrases]
+    add = lambda cs: reduce(Column.__add__, [c.cast("int") for c in cs])
+    return add(in_title), add([says(description, p, lower[1]) & ~t for t, p in zip(in_title, phrases, strict=True)])
 
 
-def scores(title: Column, description: Column, path: str = DEFAULT) -> dict[str, Column]:
+def scores(title: Column, description: Column, path: str = DEFAULT, lower: tuple[Column | None, Column | None] = (None, None)) -> dict[str, Column]:
     """By category its score; one without a real topic phrase stays below what is accepted."""
     title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
     out = {}
     for category, (rows, weak) in load(path).items():
-        a, b = _hits(title, description, [p for _, p in rows])
-        c, d = _hits(title, description, weak)
+        a, b = _hits(title, description, [p for _, p in rows], lower)
+        c, d = _hits(title, description, weak, lower)
         total = a * TITLE + b * TEXT + c * WEAK_TITLE + d * WEAK_TEXT
         out[category] = F.when(a + b > 0, total).otherwise(F.least(total, F.lit(ACCEPT - 0.5)))
     return out
 
 
+def phrase_counts(c: Column, path: str = DEFAULT) -> Column:
+    """array<struct<category, n>>: how many of each category's phrases a text has."""
+    text = F.coalesce(c, F.lit(""))
+    count = lambda x, rows: reduce(Column.__add__, [says(x["t"], p, x["l"]).cast("int") for _, p in rows])
+    tell = lambda x: F.array(*[F.struct(F.lit(k).alias("category"), count(x, rows).alias("n")) for k, (rows, _) in load(path).items()])
+    return F.flatten(F.transform(F.array(F.struct(text.alias("t"), F.lower(text).alias("l"))), tell))
+
+
 def topics(title: Column, description: Column, category: str, path: str = DEFAULT, most: int = 4) -> Column:
     """What a text says of a category: topic ('phrase as written') of the first few phrases that it has, those of the title and of the description in the taxonomy's order, generic words last."""
     title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
@@ -90,8 +98,13 @@ def topics(title: Column, description: Column, category: str, path: str = DEFAUL
 
 def category(title: Column, description: Column, path: str = DEFAULT) -> Column:
     """Tax, Legal, Finance (ties in this order), Reject or Unclear."""
-    # bound once in a lambda: as plain expressions the scores would be worked out anew for each comparison
-    told = F.struct(*[c.alias(k) for k, c in scores(title, description, path).items()], rejection(title, description).alias("rejection"))
+    # bound once in lambdas: as plain expressions the lower case would be made anew for each phrase, and the scores worked out anew for each comparison
+    title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
+    texts = F.struct(title.alias("t"), description.alias("d"), F.lower(title).alias("lt"), F.lower(description).alias("ld"))
+
+    def tell(x: Column) -> Column:
+        found = scores(x["t"], x["d"], path, (x["lt"], x["ld"]))
+        return F.struct(*[c.alias(k) for k, c in found.items()], rejection(x["t"], x["d"]).alias("rejection"))
 
     def choose(x: Column) -> Column:
         top = F.greatest(*[x[c] for c in fixed.CATEGORY_ORDER])
@@ -100,4 +113,4 @@ def category(title: Column, description: Column, path: str = DEFAULT) -> Column:
             out = out.when(x[c] == top, c)
         return out
 
-    return F.element_at(F.transform(F.array(told), choose), 1)
+    return F.element_at(F.transform(F.transform(F.array(texts), tell), choose), 1)

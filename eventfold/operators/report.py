@@ -95,7 +95,8 @@ def failures(today: dt.date, *, name: str = "name", day: str = "date", end: str
         (F.col(location).isNotNull() & titles.untracked(value(location)) & titles.country_of(value(location)).isNull(), "untracked"),
         (~F.coalesce(F.col(category).isin(*ACCEPTED), F.lit(False)), "category"),
     ]
-    return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(code)) for c, code in checks]))
+    said = F.concat_ws(",", *[F.when(F.coalesce(c, F.lit(False)), F.lit(code)) for c, code in checks])
+    return F.array_remove(F.split(said, ","), "")
 
 
 def status(rejected: Column, past: Column, conflicts: Column, failed: Column) -> Column:

@@ -72,12 +72,7 @@ def _topic_sql() -> str:
 def taxonomy_on_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases found in whole texts, by category."""
     docs = table(spark, sf_dir, "documents").withColumn("text", F.concat_ws(" ", F.coalesce("text", F.lit("")), pick(ADDED, "doc_id")))
-    none = F.lit("")
-    per = []
-    for c, (rows, _) in taxonomy.load().items():
-        n, _ = taxonomy._hits(F.col("text"), none, [p for _, p in rows])
-        per.append(F.struct(F.lit(c).alias("category"), n.alias("n")))
-    hits = docs.select("doc_id", F.explode(F.array(*per)).alias("h")).where("h.n > 0")
+    hits = docs.select("doc_id", F.explode(taxonomy.phrase_counts(F.col("text"))).alias("h")).where("h.n > 0")
     return hits.groupBy("h.category").agg(F.sum("h.n").cast("long").alias("hits"), F.countDistinct("doc_id").alias("docs"))
 
 
