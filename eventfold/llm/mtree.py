@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import vectors
 
-PAGE = 64
+PAGE = 256
 SCALE = 1024
 EXACT = 2.0**53
 
@@ -110,11 +110,14 @@ def find(tree: MTree, query_id: int, query: np.ndarray, k: int, so_far: float |
         if page.leaf:
             ids = tree.ids[page.rows[near]]
             keep = ids != query_id
-            best_ids, best = np.concatenate([best_ids, ids[keep]]), np.concatenate([best, scores[keep]])
-            order = np.lexsort((best_ids, -best))[:k]
-            best_ids, best = best_ids[order], best[order]
             if len(best) == k:
-                limit = min(limit, float(to(best[-1])))
+                keep &= scores >= best[-1]
+            if keep.any():
+                best_ids, best = np.concatenate([best_ids, ids[keep]]), np.concatenate([best, scores[keep]])
+                order = np.lexsort((best_ids, -best))[:k]
+                best_ids, best = best_ids[order], best[order]
+                if len(best) == k:
+                    limit = min(limit, float(to(best[-1])))
         else:
             d = to(scores)
             least = np.maximum(d - page.radii[near], 0)
