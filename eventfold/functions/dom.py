@@ -40,6 +40,16 @@ class Node:
             else:
                 todo += reversed(n.children)
 
+    def pieces(self) -> Iterator[tuple[Node, str]]:
+        """All texts below with the elements that they stand in, in order of the page."""
+        todo: list[tuple[Node, Node | str]] = [(self, c) for c in reversed(self.children)]
+        while todo:
+            at, n = todo.pop()
+            if isinstance(n, str):
+                yield at, n
+            else:
+                todo += [(n, c) for c in reversed(n.children)]
+
     def text(self) -> str:
         """What can be read, in one line."""
         return " ".join(" ".join(self.strings()).split())

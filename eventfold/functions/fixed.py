@@ -100,3 +100,34 @@ MODE_TAG = r"(hybrid|virtual|online|in[\s-]?person)( event)?|(live )?webinar"
 CARD_MODE_LABEL = r"(event\s+)?(mode|format|attendance)"
 NO_PAGE_LINKS = ("#", "javascript:", "mailto:", "tel:")
 BLOCKS = ("h1", "h2", "h3", "h4", "p", "li", "td", "th", "dt", "dd", "div", "section", "article")
+
+# What the log and the checks say.
+LEGACY = "Legacy (before v2)"
+NOT_FOUND_SINCE = "Not found on its website since "
+DATE_PASSED, NOT_ON_SITE, BY_RUN = "date passed", "not on website", "Scraper"
+ACTIONS = {
+    "added": "added",
+    "promoted": "promoted to Verified",
+    "legacy_replaced": "legacy row upgraded to verified",
+    "sent_to_review": "sent to Needs Review",
+    "rejected": "rejected",
+    "past": "moved to Past Events",
+    "missing": "sent to Needs Review",
+}
+MESSAGES = {
+    "no_title": "no event title",
+    "generic_title": "title '{value}' is a generic label, not an event name",
+    "weak_title": "title only came from a {source} ({confidence} confidence)",
+    "unproved": "{column} '{value}' could not be found on the event page",
+    "no_date": "no event date",
+    "bad_date": "date '{value}' is not a real date",
+    "past_date": "event date {value} has already passed",
+    "far_date": "event date {value} is implausibly far ahead",
+    "weak_date": "date only came from a {source} ({confidence} confidence)",
+    "title_date": "the date in the title disagrees with the event date",
+    "untracked": "location '{value}' is in a country we don't track",
+    "category": "the rules could not place it in Tax, Finance or Legal (goes to the AI review, not rejected)",
+}
+
+# How far the surroundings of a date may reach.
+CLIMB, MOST_LINKS, MOST_HEADINGS = 5, 3, 2

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import dates, text, titles
+from ..functions import dates, fixed, text, titles
 from ..sources import shared
 
 ACCEPTED = ("Tax", "Finance", "Legal")
@@ -99,6 +99,23 @@ def failures(today: dt.date, *, name: str = "name", day: str = "date", end: str
     return F.array_remove(F.split(said, ","), "")
 
 
+def messages(codes: Column, proofs: tuple[str, ...] = ("name", "date", "end_date", "location", "format")) -> Column:
+    """What failures' codes say in words, about the evidence columns of the row."""
+    about = {"no_title": "name", "generic_title": "name", "weak_title": "name", "untracked": "location"}
+
+    def told(template: str, column: str) -> Column:
+        filled = F.lit(template.replace("{column}", column))
+        for part in ("value", "source", "confidence"):
+            if "{" + part + "}" in template:
+                filled = F.replace(filled, F.lit("{" + part + "}"), F.coalesce(F.col(column)[part], F.lit("")))
+        return filled
+
+    texts = {code: told(t, about.get(code, "date")) for code, t in fixed.MESSAGES.items() if code != "unproved"}
+    texts |= {f"unproved_{c}": told(fixed.MESSAGES["unproved"], c) for c in proofs}
+    known = F.create_map(*[x for code, t in texts.items() for x in (F.lit(code), t)])
+    return F.transform(codes, lambda c: F.element_at(known, c))
+
+
 def status(rejected: Column, past: Column, conflicts: Column, failed: Column) -> Column:
     """rejected before past (if nothing conflicts) before needs_review before verified."""
     return F.when(rejected, "rejected").when(past & (F.size(conflicts) == 0), "past").when((F.size(failed) > 0) | (F.size(conflicts) > 0), "needs_review").otherwise("verified")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, extract, taxonomy, text, titles
 from ..operators import dedupe, merge, report
+from ..sources import fetch, shared, sheets
 
 
 def across_countries(rows: DataFrame) -> DataFrame:
@@ -96,3 +98,56 @@ def from_lists(lists: DataFrame, details: DataFrame, state: DataFrame, today: dt
     held = state.select("event_id", c("fingerprint").alias("_f"), c("status").alias("_s"))
     same = F.coalesce(c("fingerprint") == c("_f"), F.lit(False))
     return one.join(held, "event_id", "left").withColumns({"status": F.when(same, c("_s")).otherwise(c("status")), "changed": ~same}).drop("_f", "_s")
+
+
+#: Reasons of records that no page was read for.
+UNREACHABLE, SHARED, NO_LINK = "unreachable", "shared_page", "no_link"
+
+
+def _read(rows: DataFrame, pages: DataFrame, today: dt.date) -> DataFrame:
+    """Rows (_url, organizer, source_country) with what their pages (url, html, status, error) say, judged."""
+    c = F.col
+    got = rows.join(pages.select(c("url").alias("_url"), c("html").alias("_html"), c("status").alias("_http"), c("error").alias("_error")), "_url", "left")
+    d = got.withColumn("_d", extract.detail_page(c("_html"), c("_url"), c("organizer"), today))
+    has = c("_html").isNotNull()
+    flat = d.select(*got.columns, *[F.when(has, c(f"_d.fields.{x}")).alias(x) for x in extract.COLUMNS], c("_d.conflicts").alias("conflicts"), extract.page_text(c("_html")).alias("page"))
+    return judge(flat, today).withColumn("status", F.when(has, c("status")).otherwise(UNREACHABLE))
+
+
+def from_rows(raw: DataFrame, fetcher: Callable[[str], dict], state: DataFrame, country: str, today: dt.date, *, retries: int = 2, pause: float = 0.3) -> DataFrame:
+    """Records of a country's raw rows (ord and any of sheets.RAW), each by its own page: event_id, status, fields, country, category, failed, conflicts, attempts, fingerprint, changed.
+
+    A row whose link is the list or that shares its link is a shared page, one without a link needs review; neither is fetched. A page that couldn't be had, or whose row isn't verified, rejected or
+    past, is asked for again, at most retries times (not after HTTP 404 and 410). An unchanged fingerprint keeps the state's record (event_id, fingerprint, status), as does a page that
+    couldn't be had. Each round of fetching is written before it is used.
+    """
+    c = F.col
+    rows = sheets.upcoming(raw).withColumn("source_country", F.lit(country))
+    rows = report.own_page(rows, "link", "source_url").withColumn("event_id", text.event_id(c("organizer"), c("event_name"), F.when(c("own_page"), c("link")).otherwise(""), c("source_url"), F.lit("")))
+    rows = shared.once(rows.withColumnRenamed("link", "_url"), "rows")
+    own = dedupe.keep_first(rows.where("own_page"), ["event_id"], ["ord"])
+    todo, done = own, []
+    for attempt in range(retries + 1):
+        pages = shared.once(fetch.many(todo, fetcher, url_col="_url", pause=pause), "pages")
+        judged = shared.once(_read(todo, pages, today).withColumn("attempts", F.lit(attempt)), "judged")
+        gone = F.coalesce(c("_http").isin(*fetch.FINAL), F.lit(False)) & (c("status") == UNREACHABLE)
+        again = ~gone & c("status").isin(UNREACHABLE, "needs_review") if attempt < retries else F.lit(False)
+        done.append(judged.where(~again))
+        todo = judged.where(again).select(*own.columns)
+        if attempt < retries and todo.isEmpty():
+            break
+    read = done[0]
+    for d in done[1:]:
+        read = read.unionByName(d)
+    none = F.array().cast("array<string>")
+    fields = [c(x)["value"].alias(x) for x in extract.COLUMNS]
+    records = read.select("ord", "event_id", "status", "organizer", "source_url", c("_url").alias("page_url"), *fields, titles.resolved_country(c("location")["value"], c("source_country")).alias("country"), "category", F.when(c("status") == UNREACHABLE, F.array(F.lit(UNREACHABLE))).otherwise(c("failed")).alias("failed"), F.coalesce("conflicts", none).alias("conflicts"), "attempts", F.when(c("status") == UNREACHABLE, "").otherwise(text.fingerprint(c("page"))).alias("fingerprint"))
+    without = rows.where(~c("own_page"))
+    blank = c("_url") == ""
+    rest = without.select(
+        "ord", "event_id", F.when(blank, "needs_review").otherwise(SHARED).alias("status"), "organizer", "source_url", c("_url").alias("page_url"), *[F.lit(None).cast("string").alias(x) for x in extract.COLUMNS], c("source_country").alias("country"), F.lit("").alias("category"),
+        F.array(F.when(blank, NO_LINK).otherwise(SHARED)).alias("failed"), none.alias("conflicts"), F.lit(0).alias("attempts"), F.lit("").alias("fingerprint"),
+    )
+    all_ = records.unionByName(rest).join(state.select("event_id", c("fingerprint").alias("_f"), c("status").alias("_s")), "event_id", "left")
+    same = F.coalesce(c("_f").isNotNull() & (((c("fingerprint") == c("_f")) & (c("fingerprint") != "")) | (c("status") == UNREACHABLE)), F.lit(False))
+    return all_.withColumns({"status": F.when(same, c("_s")).otherwise(c("status")), "changed": ~same}).drop("_f", "_s")
