@@ -340,18 +340,12 @@ def missing_and_past(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.missing_and_past(verified, seen, sites, dt.date(2024, 2, 12)).select("event_id", "outcome")
 
 
-@query(
-    """SELECT o_orderkey, unnest(list_filter([CASE WHEN o_orderkey % 8 = 0 THEN 'no_title' END, CASE WHEN o_orderkey % 8 = 1 THEN 'generic_title' END, CASE WHEN o_orderkey % 8 <> 0 AND o_orderkey % 3 = 0 THEN 'weak_title' END,
-    CASE WHEN o_orderkey % 8 = 2 THEN 'unproved_name' END, CASE WHEN o_orderkey % 5 = 0 THEN 'no_date' END, CASE WHEN o_orderkey % 5 = 1 THEN 'bad_date' END, CASE WHEN o_orderkey % 5 > 1 AND d < DATE '1998-01-01' THEN 'past_date' END,
-    CASE WHEN o_orderkey % 7 = 0 THEN 'untracked' END, CASE WHEN o_orderkey % 4 = 0 THEN 'category' END], lambda x: x IS NOT NULL)) AS code FROM """
-    + _ORDERS
-)
-def verify_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, d = F.col("o_orderkey"), F.to_date("o_orderdate")
     cell = lambda v, there, c=None: F.when(there, F.struct(v.alias("value"), v.alias("match"), F.lit("r").alias("reason"), F.lit("s").alias("source"), (c if c is not None else F.lit("high")).alias("confidence")))
     name = F.when(k % 8 == 1, "Register").when(k % 8 == 2, "Nowhere on it").otherwise("Tax Day")
     day = F.when(k % 5 == 1, "someday").otherwise(dates.display(d))
-    rows = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         cell(name, k % 8 != 0, F.when(k % 3 == 0, "medium").otherwise("high")).alias("name"),
         cell(day, k % 5 != 0).alias("date"),
@@ -361,8 +355,17 @@ def verify_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 == 0, "Unclear").otherwise("Tax").alias("category"),
         F.concat(F.lit("REGISTER  tax day virtual London Tokyo someday "), dates.display(d)).alias("page"),
     )
+
+
+@query(
+    """SELECT o_orderkey, unnest(list_filter([CASE WHEN o_orderkey % 8 = 0 THEN 'no_title' END, CASE WHEN o_orderkey % 8 = 1 THEN 'generic_title' END, CASE WHEN o_orderkey % 8 <> 0 AND o_orderkey % 3 = 0 THEN 'weak_title' END,
+    CASE WHEN o_orderkey % 8 = 2 THEN 'unproved_name' END, CASE WHEN o_orderkey % 5 = 0 THEN 'no_date' END, CASE WHEN o_orderkey % 5 = 1 THEN 'bad_date' END, CASE WHEN o_orderkey % 5 > 1 AND d < DATE '1998-01-01' THEN 'past_date' END,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'untracked' END, CASE WHEN o_orderkey % 4 = 0 THEN 'category' END], lambda x: x IS NOT NULL)) AS code FROM """
+    + _ORDERS
+)
+def verify_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a projection of its own: exploding an expression over fields of structs reads wrong columns in this version of Spark
-    return rows.select("o_orderkey", report.failures(TODAY).alias("codes")).select("o_orderkey", F.explode("codes").alias("code"))
+    return _candidates(spark, sf_dir).select("o_orderkey", report.failures(TODAY).alias("codes")).select("o_orderkey", F.explode("codes").alias("code"))
 
 
 @query(
