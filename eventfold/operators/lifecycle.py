@@ -95,7 +95,8 @@ def save(rows: DataFrame, log: DataFrame, path: str, keep: int = 2) -> int:
     """A new version of the master below path, a folder for each bucket, rows in order of country and day; the version before stays as a backup. The run's log is kept under the same number."""
     n = max(snapshots.versions(rows.sparkSession, f"{path}/master"), default=-1) + 1
     log.write.mode("overwrite").parquet(f"{path}/log/v={n}")
-    ordered = rows.repartition("bucket", "country").withColumn("_day", dates.from_display(F.col("date"))).sortWithinPartitions("bucket", "country", F.col("_day").asc_nulls_last()).drop("_day")
+    by = ["bucket", "country", F.col("_day").asc_nulls_last(), "event_id"]  # ranges of all four, so a country that holds most rows still spreads
+    ordered = rows.withColumn("_day", dates.from_display(F.col("date"))).repartitionByRange(*by).sortWithinPartitions(*by).drop("_day")
     return snapshots.write(ordered, f"{path}/master", n, keep, ("bucket",))
 
 
