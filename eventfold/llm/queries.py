@@ -78,6 +78,12 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.digest_table(spark, _table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import filter_audit
+
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -90,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_edit_counts": op7_edit_counts,
         "op9_warc": op9_warc,
         "op10_token_file": op10_token_file,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -124,5 +131,28 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, b AS payload_digest, CASE WH
 """
 
 
+#: Each order's steps counted over the rows themselves, without any transform.
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+m AS (SELECT part, (CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 4 ELSE 0 END) + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN least < doc_id THEN 16 ELSE 0 END) AS mask,
+    CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) THEN 1 ELSE 0 END AS good,
+    CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) THEN 1 ELSE 0 END AS toxic FROM w),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY 1, 2),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bits FROM l p JOIN l q ON q.b <> p.b JOIN l r ON r.b NOT IN (p.b, q.b)
+  JOIN l s ON s.b NOT IN (p.b, q.b, r.b) JOIN l t ON t.b NOT IN (p.b, q.b, r.b, s.b)),
+st AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[:step - 1]), 0) AS pre FROM o, (SELECT unnest(range(1, 6)) AS step)),
+g AS (SELECT part, filter_order, step, own, sum(CASE WHEN mask & (CAST(pre AS INTEGER) | own) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & CAST(pre AS INTEGER) = 0 AND mask & own <> 0 THEN n ELSE 0 END) AS removed, sum(CASE WHEN mask & own <> 0 AND mask & CAST(pre AS INTEGER) <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN mask & CAST(pre AS INTEGER) = 0 AND mask & own <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & CAST(pre AS INTEGER) = 0 AND mask & own <> 0 THEN toxic ELSE 0 END) AS toxic_lost FROM c, st GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mtree": MTREE_SQL, "op5_jaccard": JACCARD_SQL, "op9_warc": WARC_SQL}
+    return {"op2_mtree": MTREE_SQL, "op5_jaccard": JACCARD_SQL, "op9_warc": WARC_SQL, "op13_filter_audit": AUDIT_SQL}
