@@ -78,6 +78,12 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.digest_table(spark, _table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lexical
+
+    return lexical.search(lexical.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import filter_audit
 
@@ -96,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_edit_counts": op7_edit_counts,
         "op9_warc": op9_warc,
         "op10_token_file": op10_token_file,
+        "op11_lexical": op11_lexical,
         "op13_filter_audit": op13_filter_audit,
     }
 
@@ -131,6 +138,21 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, b AS payload_digest, CASE WH
 """
 
 
+#: Scores of all documents that share a term with an item, and the ten best of each.
+LEXICAL_SQL = r"""
+WITH lower AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents WHERE text IS NOT NULL),
+d AS (SELECT row_number() OVER () AS row, doc_id, ts, CAST(len(ts) AS BIGINT) AS own FROM lower WHERE len(ts) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(own) AS BIGINT) AS every FROM d),
+p AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(ts) AS term FROM d) GROUP BY 1, 2),
+q AS (SELECT item, term, count(*) AS repeats FROM (SELECT row_number() OVER () AS item, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark) GROUP BY 1, 2),
+i AS (SELECT row_number() OVER () AS item, item_id FROM benchmark),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s WHERE term IN (SELECT term FROM q) GROUP BY 1),
+x AS (SELECT item, row, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * own * docs) // every)))) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (row), s GROUP BY 1, 2),
+r AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x JOIN d USING (row) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r JOIN i USING (item) WHERE rank <= 10
+"""
+
 #: Each order's steps counted over the rows themselves, without any transform.
 AUDIT_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
@@ -155,4 +177,4 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mtree": MTREE_SQL, "op5_jaccard": JACCARD_SQL, "op9_warc": WARC_SQL, "op13_filter_audit": AUDIT_SQL}
+    return {"op2_mtree": MTREE_SQL, "op5_jaccard": JACCARD_SQL, "op9_warc": WARC_SQL, "op11_lexical": LEXICAL_SQL, "op13_filter_audit": AUDIT_SQL}
