@@ -84,6 +84,12 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import ppm
+
+    return ppm.pretrained(_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import filter_audit
 
@@ -103,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_token_file": op10_token_file,
         "op11_lexical": op11_lexical,
+        "op12_ppm": op12_ppm,
         "op13_filter_audit": op13_filter_audit,
     }
 
