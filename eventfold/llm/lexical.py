@@ -194,7 +194,10 @@ FOUND = "item long, block long, doc_id long, low long, exact boolean, bound long
 def search_batch(index: Index, items: dict[int, Counter], k: int) -> list[DataFrame]:
     """Tables with the exact scores among which are each item's k best. items: terms by number of the item, ITEMS of them at most."""
     spark = index.rows.sparkSession
-    named = spark.createDataFrame([(t.decode(),) for t in sorted(set().union(*items.values()))], "term string")
+    every = sorted(set().union(*items.values()))
+    named = spark.createDataFrame([(t.decode(),) for t in every], "term string")
+    if len(every) <= ITEM_TERMS:  # more only where a single item has more
+        named = F.broadcast(named)
     posts = index.rows.where(F.col("tier") > HEADER)
     df = {r["term"]: r["df"] for r in posts.where("tier = 0").join(named, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df")).collect()}  # as many as the batch has terms
     own = {i: {t.decode(): n * weight(index.n_docs, df[t.decode()]) for t, n in c.items() if t.decode() in df} for i, c in items.items()}

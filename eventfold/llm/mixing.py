@@ -9,7 +9,7 @@ make good what rounding a last large one gains or loses. So a source's taken wor
 
 Chance comes from hashes of rows and a seed, so reruns agree whatever the partitions. Defined results: a null or empty text
 has size 0 and isn't taken; a null source is a source of its own, the last in order; rows with equal ids are documents of
-their own; an empty table gives no rows; further columns are ignored.
+their own; the copies of rows that are equal in all columns, maps included, differ by one at most; an empty table gives no rows; further columns only tell rows apart.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ MOST = 2.0
 BUCKET_ROWS = 2048
 FAN = 256
 OCTAVES = 8
+CHUNK = 1 << 12
 
 
 def size_of(text: str) -> F.Column:
@@ -138,15 +139,15 @@ def _round_groups(seed: int, last: bool):
 
 
 def row_key(docs: DataFrame, seed: int) -> F.Column:
-    """A hash of all columns (maps aside, which have none); equal rows are interchangeable."""
-    cols = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*cols, *[F.col(c).isNull() for c in cols], F.lit(seed))
+    """A number by all columns of a row, of which chance is made; equal rows are interchangeable."""
+    return F.xxhash64(F.unhex(store.row_digest(docs)), F.lit(seed))
 
 
 def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target, key (row_key) and the copies that the mix takes of each row."""
-    sizes = store.cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"), row_key(docs, seed).alias("key")), "mix-sizes")
-    aims = store.cut(targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), weights, share, most), "mix-aims")
+    """doc_id, source, size, source_size, target, digest (store.row_digest), n and copies: what the mix takes of n equal rows together. Large rows may have several entries."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"), F.unhex(store.row_digest(docs)).alias("digest"), row_key(docs, seed).alias("key"))
+    sizes = store.cut(rows.groupBy("doc_id", "source", "size", "digest", "key").agg(F.count("*").alias("n")), "mix-sizes")
+    aims = store.cut(targets(sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs")), weights, share, most), "mix-aims")
     mean = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     deep = (
         sizes.join(aims.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left")
@@ -154,15 +155,18 @@ def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
         .withColumn("p", F.when(F.col("size") > 0, mean - F.col("whole")).otherwise(0.0))
         .withColumn("bucket", F.pmod(F.shiftrightunsigned("key", 8), F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long")))
         .withColumn("row_id", F.monotonically_increasing_id())
-        .select("doc_id", "source", "size", "source_size", "target", "whole", "key", "p", "bucket", "rank", "row_id")
+        .select("doc_id", "source", "size", "source_size", "target", "digest", "n", "whole", "key", "p", "bucket", "rank", "row_id")
     )
     open_ = (F.col("p") > 0) & (F.col("p") < 1)
     large = open_ & (F.col("size") * 2**OCTAVES > F.col("source_size"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in deep.schema)
     deep = store.cut(deep, "mix-deep")
-    settled = store.cut(deep.where(large).groupBy("rank").applyInPandas(lambda rows: settle_large(rows, seed), f"{fields}, pool double"), "mix-large")
+    # rows of a large size are few in their source, equal ones too: each stands for itself
+    lone = deep.where(large).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).withColumns({"n": F.lit(1).cast("long"), "key": F.xxhash64("key", "nth")}).drop("nth")
+    settled = store.cut(lone.groupBy("rank").applyInPandas(lambda rows: settle_large(rows, seed), f"{fields}, pool double"), "mix-large")
     pools = settled.groupBy("rank").agg(F.min("pool").alias("pool"))
-    deep = deep.where(~large).join(pools, "rank", "left").withColumn("p", F.when(open_, F.coalesce("pool", "p")).otherwise(F.col("p"))).select(*deep.columns)
+    each = F.when(open_, F.coalesce("pool", "p")).otherwise(F.col("p")) * F.col("n")
+    deep = deep.where(~large).join(pools, "rank", "left").withColumn("all", each).withColumns({"whole": F.col("whole") * F.col("n") + F.floor("all"), "p": F.col("all") - F.floor("all")}).select(*deep.columns)
     most_buckets = aims.agg(F.max(F.ceil(F.col("n_docs") / BUCKET_ROWS))).first()[0] or 1
     state, done, level = deep, [settled.drop("pool")], 0
     while True:
@@ -180,12 +184,27 @@ def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     return out.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.col("p").cast("long")).otherwise(F.lit(0).cast("long")))
 
 
+def spread(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as column times says, numbered from 0 in column nth. What a row gives beyond CHUNK is dealt out before it is made."""
+    last = F.col(times) - 1
+    few = rows.where(F.col(times).between(1, CHUNK)).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    chunks = rows.where(F.col(times) > CHUNK).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(CHUNK).cast("long"))))
+    dealt = chunks.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return few.unionByName(dealt.withColumn("nth", F.explode(F.sequence("_from", F.least(last, F.col("_from") + CHUNK - 1)))).drop("_from"))
+
+
 def mix_table(docs: DataFrame) -> DataFrame:
-    return copies(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    """A row for each document; of n equal rows that have c copies, c mod n have one more than the others."""
+    taken = spread(copies(docs), "n")
+    own = F.floor(F.col("copies") / F.col("n")) + (F.col("nth") < F.col("copies") % F.col("n")).cast("long")
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * own).alias("taken"))
 
 
 def repeat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, **how) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it. Equal rows are found by their key and sent once, with the copies of all of them."""
-    took = copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **how).groupBy(F.col("key").alias("_key")).agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    rows = docs.withColumn("_key", row_key(docs, seed)).dropDuplicates(["_key"])
-    return rows.join(took, "_key").withColumn("_again", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    """The rows of docs, each as often as the mix takes it. Equal rows are sent once, with the copies of all of them."""
+    took = copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **how).groupBy(F.col("digest").alias("_digest")).agg(F.sum("copies").alias("_copies"))
+    took = store.cut(took.where("_copies > 0"), "mix-took")
+    rows = docs.withColumn("_digest", F.unhex(store.row_digest(docs))).dropDuplicates(["_digest"])
+    few = rows.join(took.where(F.col("_copies") <= CHUNK), "_digest").withColumn("_again", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    many = took.where(F.col("_copies") > CHUNK)
+    return few if many.isEmpty() else few.unionByName(spread(rows.join(many, "_digest"), "_copies").select(*docs.columns))

@@ -9,10 +9,10 @@ import tempfile
 import uuid
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOTS: dict[str, str] = {}
-_PATHS: dict[int, str] = {}
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
@@ -61,14 +61,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = fresh(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    _PATHS[id(out)] = path
+    out._written_at = path
     return out
 
 
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that cut wrote and nothing reads any more."""
     for df in tables:
-        if path := _PATHS.pop(id(df), None):
+        if path := vars(df).pop("_written_at", None):
             remove(df.sparkSession, path)
 
 
@@ -80,6 +80,11 @@ def release(*tables: DataFrame) -> None:
         session.sparkContext._jvm.System.gc()
 
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of all columns of a row, maps included: equal rows have equal digests."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 

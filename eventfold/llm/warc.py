@@ -1,11 +1,11 @@
 """WARC archives: a writer with identical-payload revisits and a sequential reader.
 
-Each record is a gzip member of its own. The reader inflates member by member, frames each record by its
-Content-Length and checks block and payload digests, so a damaged archive raises instead of giving wrong rows.
+Each record is a gzip member of its own. The reader inflates a member a piece at a time: the header first (HEAD_BYTES at most), then as many bytes as its Content-Length says and
+no more, so a member never fills more memory than the record it announces (MOST_BYTES at most) and whatever goes on beyond its record raises. Block and payload digests are checked,
+so a damaged archive raises instead of giving wrong rows.
 
-Defined results: a null payload is empty; a null url becomes "urn:none"; rows with the same id are records of their own,
-and among equal payloads those with the smallest id are responses (null ids last, so a row repeated with that id is a
-response each time); an empty table gives no archives and no rows; further columns are ignored.
+Defined results: a null payload is empty; a null url becomes "urn:none"; rows with the same id are records of their own. Of equal payloads one record is a response: of the smallest
+id (null ids last), then of the least url; rows that are equal in id, url and payload are one response and revisits of it. An empty table gives no archives and no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +31,9 @@ RECORDS = (
     "payload_digest string, payload binary, file string"
 )
 READ_BYTES = 1 << 16
+HEAD_BYTES = 1 << 20
+MOST_BYTES = 1 << 31
+CHUNK = 1 << 12
 
 
 def base32_sha1(data: bytes) -> str:
@@ -67,45 +70,74 @@ class WarcError(ValueError):
     pass
 
 
-def members(stream: BinaryIO, size: int = READ_BYTES) -> Iterator[bytes]:
-    """The gzip members of a stream, inflated one by one; memory holds one member and one read."""
-    inflate, parts, rest, begun = zlib.decompressobj(31), [], b"", False
-    while True:
-        data = rest or stream.read(size)
-        rest = b""
+class Member:
+    """One gzip member of a stream, inflated as far as it is asked for. rest: what was read of the stream and not yet inflated."""
+
+    def __init__(self, stream: BinaryIO, rest: bytes, size: int = READ_BYTES):
+        self.stream, self.rest, self.size, self.inflate, self.held = stream, rest, size, zlib.decompressobj(31), bytearray()
+
+    def more(self, most: int) -> bool:
+        """Inflates most bytes at most, one piece of input at a time; False at the member's end."""
+        if self.inflate.eof:
+            return False
+        data = self.rest or self.stream.read(self.size)
         if not data:
-            if begun:
-                raise WarcError("the archive ends within a gzip member")
-            return
+            raise WarcError("the archive ends within a gzip member")
         try:
-            parts.append(inflate.decompress(data))
+            self.held += self.inflate.decompress(data, most)
         except zlib.error as e:
             raise WarcError(f"damaged gzip member: {e}") from e
-        begun = True
-        if inflate.eof:
-            yield b"".join(parts)
-            rest, parts, begun, inflate = inflate.unused_data, [], False, zlib.decompressobj(31)
-
-
-def parse(member: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (names in lower case) and block of the one record in a member."""
-    end = member.find(b"\r\n\r\n")
-    if end < 0 or not member.startswith(b"WARC/"):
-        raise WarcError("no record header")
-    head = {}
-    for line in member[:end].decode().split("\r\n")[1:]:
-        name, _, value = line.partition(":")
-        head[name.strip().lower()] = value.strip()
-    n = int(head["content-length"])
-    block = member[end + 4 : end + 4 + n]
-    if len(block) != n or member[end + 4 + n :] != b"\r\n\r\n":
-        raise WarcError("the block is not as long as Content-Length says")
-    return head, block
+        self.rest = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
+        return True
+
+    def until(self, mark: bytes, most: int) -> bytes:
+        """What comes before the mark, which is dropped."""
+        seen = 0
+        while (at := self.held.find(mark, seen)) < 0:
+            seen = max(len(self.held) - len(mark) + 1, 0)
+            if len(self.held) >= most or not self.more(most - len(self.held)):
+                raise WarcError("no record header")
+        out = bytes(self.held[:at])
+        del self.held[: at + len(mark)]
+        return out
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n:
+            if not self.more(n - len(self.held)):
+                raise WarcError("the block is not as long as Content-Length says")
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
+
+    def close(self) -> bytes:
+        """The rest of the stream that was read, after a record's last line ends and the member's checksum."""
+        if self.take(4) != b"\r\n\r\n" or self.held:
+            raise WarcError("the block is not as long as Content-Length says")
+        while self.more(1):
+            if self.held:
+                raise WarcError("the member goes on after its record")
+        return self.rest
+
+
+def framed(stream: BinaryIO, size: int = READ_BYTES) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (names in lower case) and block of each record: a member at a time, in order."""
+    rest = b""
+    while rest := rest or stream.read(size):
+        member = Member(stream, rest, size)
+        first, *lines = member.until(b"\r\n\r\n", HEAD_BYTES).decode().split("\r\n")
+        if not first.startswith("WARC/"):
+            raise WarcError("no record header")
+        head = {name.strip().lower(): value.strip() for name, _, value in (x.partition(":") for x in lines)}
+        n = int(head["content-length"])
+        if not 0 <= n <= MOST_BYTES:
+            raise WarcError(f"a block of {n} bytes")
+        block = member.take(n)
+        rest = member.close()
+        yield head, block
 
 
 def records(stream: BinaryIO) -> Iterator[dict]:
-    for member in members(stream):
-        head, block = parse(member)
+    for head, block in framed(stream):
         if f"sha1:{base32_sha1(block)}" != head["warc-block-digest"]:
             raise WarcError("block digest differs")
         end = block.index(b"\r\n\r\n")
@@ -148,20 +180,26 @@ def write(
         F.coalesce(F.col(url_col), F.lit("urn:none")).alias("uri"),
         F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"),
     ).withColumns({"digest": F.sha1("payload"), "n_bytes": F.octet_length("payload")})
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("uri").alias("uri"))
+    equal = rows.where(F.col("n_bytes") >= min_revisit_bytes).groupBy("digest", "n_bytes", order.alias("f")).agg(F.count("*").alias("n"))
     first = store.cut(
-        rows.where(F.col("n_bytes") >= min_revisit_bytes)
-        .groupBy("digest")
-        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"))).alias("f"), F.count("*").alias("n"))
+        equal.groupBy("digest", "n_bytes").agg(F.min(F.struct("f", "n")).alias("least"), F.sum("n").alias("n"))
         .where("n > 1")
-        .select("digest", F.col("f.id").alias("first_id"), F.lit(True).alias("shared")),
+        .select("digest", F.col("n_bytes").alias("size"), F.col("least.f.id").alias("first_id"), F.col("least.f.uri").alias("first_uri"), F.col("least.n").alias("equal"), F.lit(True).alias("shared")),
         "warc-first",
-    )
-    is_first = F.col("shared").isNull() | F.col("id").eqNullSafe(F.col("first_id"))
-    marked = (
-        rows.join(first, "digest", "left")
-        .withColumn("revisits", ~is_first)
-        .select("id", "uri", "digest", "n_bytes", "revisits", "first_id", F.when(~F.col("revisits"), F.col("payload")).alias("payload"))
-    )
+    )
+    is_first = F.col("shared").isNull() | (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("uri") == F.col("first_uri")))
+    joined = rows.join(first, "digest", "left").withColumn("revisits", ~is_first)
+    columns = ["id", "uri", "digest", "n_bytes", "revisits", "first_id", F.when(~F.col("revisits"), F.col("payload")).alias("payload")]
+    several = F.coalesce(F.col("equal") > 1, F.lit(False)) & ~F.col("revisits")
+    marked = joined.where(~several).select(*columns)
+    again = first.where("equal > 1")
+    if not again.isEmpty():  # rows equal in all: one response, and as many revisits as there are others
+        marked = marked.unionByName(joined.where(several).dropDuplicates(["digest"]).select(*columns))
+        parts = F.sequence(F.lit(1).cast("long"), F.col("equal") - 1, F.lit(CHUNK).cast("long"))
+        others = again.withColumn("_from", F.explode(parts)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        others = others.withColumn("_nth", F.explode(F.sequence("_from", F.least(F.col("equal") - 1, F.col("_from") + CHUNK - 1))))
+        marked = marked.unionByName(others.select(F.col("first_id").alias("id"), F.col("first_uri").alias("uri"), "digest", F.col("size").alias("n_bytes"), F.lit(True).alias("revisits"), "first_id", F.lit(None).cast("binary").alias("payload")))
     folder = store.fresh(spark, "warc")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

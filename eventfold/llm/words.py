@@ -67,10 +67,8 @@ class Flat:
         self._put(0, flat, lengths)
         self.hits[: len(kept)] = hits
 
-    def _learn(self, spell: Callable[[list], list[bytes]] | None) -> None:
+    def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
-        if spell:
-            new = spell(new)
         self._put(len(self.numbers) - len(new), *self.encode(new))
 
     def _put(self, at: int, flat: np.ndarray, n: np.ndarray) -> None:
@@ -83,13 +81,13 @@ class Flat:
         self.lengths[at : at + len(n)] = n
         self.used += len(flat)
 
-    def look_up(self, words: list, spell: Callable[[list], list[bytes]] | None = None) -> np.ndarray:
-        """The number of each word; numbers hold until the next call. With spell, words are keys whose spelling it gives."""
+    def look_up(self, words: list) -> np.ndarray:
+        """The number of each word; numbers hold until the next call."""
         if len(self.numbers) > self.entries:
             self._shrink()
         out = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         if self.numbers.new:
-            self._learn(spell)
+            self._learn()
         n = len(self.numbers)
         self.hits[:n] += np.bincount(out, minlength=n).astype(np.int32)
         return out
@@ -121,15 +119,25 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return h ^ (h >> np.uint64(29))
 
 
+def distinct_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The different words data[start:end], and which of them each range is. Words are told apart by their bytes; hashes only bring equal ones together."""
+    _, first, at = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+    n = ends - starts
+    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    same = (n == n[first][at]).all() and np.array_equal(data[np.repeat(starts, n) + inner], data[np.repeat(starts[first][at], n) + inner])
+    raw = memoryview(np.ascontiguousarray(data))
+    if same:
+        return [bytes(raw[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], at
+    numbers = _Numbers()  # two words of equal hash
+    return numbers.new, np.fromiter((numbers[bytes(raw[a:b])] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.int64, len(starts))
+
+
 def look_up_ranges(cache: Flat, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The numbers of the words data[start:end]; equal words are looked up once."""
     if not len(starts):
         return np.zeros(0, np.int64)
-    keys, first, at = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
-    place = dict(zip(keys.tolist(), first.tolist(), strict=True))
-    raw = memoryview(np.ascontiguousarray(data))
-    spell = lambda new: [bytes(raw[starts[i] : ends[i]]) for i in map(place.__getitem__, new)]
-    return cache.look_up(keys.tolist(), spell)[at]
+    own, at = distinct_ranges(data, starts, ends)
+    return cache.look_up(own)[at]
 
 
 def flat_lists(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:

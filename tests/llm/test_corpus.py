@@ -189,6 +189,22 @@ def test_mix_of_rows_without_ids(spark):
     assert sorted(map(str, twice.collect())) == sorted(map(str, again.collect()))
 
 
+def test_mix_of_equal_rows_and_maps(spark):
+    row = (1, "one and the same text", "en", "a", 0, "x", "y", "z")
+    data = [row] * 20_000 + [(i, "w " * (i % 30), "en", "b", 0, "x", "y", "z") for i in range(2, 400)]
+    docs = odd.documents(spark, data)
+    entries = mixing.copies(docs).where("doc_id = 1").collect()
+    assert len(entries) == 1 and entries[0]["n"] == 20_000  # one entry of its bucket
+    got = mixing.mix_table(docs).collect()
+    assert len(got) == len(data)
+    own = [r for r in got if r["doc_id"] == 1]
+    assert len(own) == 20_000 and abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 5 and max(r["taken"] for r in own) <= 10
+    assert mixing.repeat(docs).where("doc_id = 1").count() == sum(r["taken"] for r in own) // 5
+    maps = docs.where("doc_id > 1").withColumn("m", mixing.F.expr("map('k', doc_id % 3)")).drop("doc_id").withColumn("doc_id", mixing.F.lit(5)).withColumn("text", mixing.F.lit("four words of text"))
+    had, out = ({r["k"]: r["n"] for r in t.groupBy(mixing.F.expr("m['k']").alias("k")).agg(mixing.F.count("*").alias("n")).collect()} for t in (maps, mixing.repeat(maps)))
+    assert set(out) == set(had) and all(had[k] <= out[k] <= 2 * had[k] for k in had)
+
+
 # --- quality
 
 

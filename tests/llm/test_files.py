@@ -28,6 +28,41 @@ def test_members_and_framing():
         list(warc.records(io.BytesIO(packer.compress(damaged) + packer.flush())))
 
 
+def _member(data):
+    packer = zlib.compressobj(3, zlib.DEFLATED, 31)
+    return packer.compress(data) + packer.flush()
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 16])
+def test_members_are_framed_whatever_the_reads(size):
+    parts = [warc.record("response", str(i), "http://x/", "d", bytes([i]) * i * 1000, i * 1000, warc.base32_sha1(bytes([i]) * i * 1000), None) for i in range(4)]
+    got = list(warc.framed(io.BytesIO(b"".join(parts)), size))
+    assert [b.split(b"\r\n\r\n", 1)[1] for _, b in got] == [bytes([i]) * i * 1000 for i in range(4)]
+
+
+def test_a_member_fills_no_more_than_it_announces():
+    good = zlib.decompress(warc.record("response", "1", "http://x/", "d", b"abc", 3, warc.base32_sha1(b"abc"), None), 31)
+    stream = io.BytesIO(_member(good + bytes(50 << 20)))
+    member = warc.Member(stream, b"")
+    head = member.until(b"\r\n\r\n", warc.HEAD_BYTES)
+    block = member.take(int(head.rpartition(b"Content-Length: ")[2]))
+    assert block.endswith(b"abc") and len(member.held) <= warc.HEAD_BYTES
+    stream.seek(0)
+    for bad in (good + bytes(50 << 20), good + b"x", good[:-2], good.replace(b"WARC/1.1", b"HTTP/1.1"), bytes(50 << 20), b"WARC/1.1\r\nContent-Length: 99999999999\r\n\r\n"):
+        with pytest.raises(warc.WarcError):
+            list(warc.records(io.BytesIO(_member(bad))))
+
+
+def test_rows_repeated_in_all_columns_are_one_response(spark):
+    data = [(1, "u", "same")] * 9000 + [(1, "t", "same"), (2, "u", "same"), (3, "u", "other"), (3, "u", "other"), (None, "u", "none"), (None, "u", "none")]
+    got = warc.digest_table(spark, spark.createDataFrame(data, "page_id long, url string, html string").repartition(6)).collect()
+    count = {}
+    for r in got:
+        key = (r["page_id"], r["record_type"], r["refers_to"])
+        count[key] = count.get(key, 0) + 1
+    assert count == {(1, "response", None): 1, (1, "revisit", 1): 9000, (2, "revisit", 1): 1, (3, "response", None): 1, (3, "revisit", 3): 1, (None, "response", None): 1, (None, "revisit", None): 1}
+
+
 def test_archives_hold_all_pages(spark):
     data = [(1, "u", "<p>x</p>"), (2, "u", "<p>x</p>"), (3, None, None), (4, "a\r\nb", ""), (5, "u", "é" * 200_000), (None, "u", "<p>x</p>"), (7, "u", "only")]
     pages = spark.createDataFrame(data, "page_id long, url string, html string").selectExpr("*", "1 AS digest", "2 AS payload")
@@ -106,6 +141,18 @@ def test_pages_of_equal_ids(spark):
     assert len(got) == 4 and [r[0] for r in got] == [1, 1, 1, 2] and got[3][2:] == ("revisit", 1)
 
 
+def test_words_of_equal_hash_are_told_apart(monkeypatch):
+    from eventfold.llm import words
+
+    monkeypatch.setattr(words, "hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(2))
+    text = b"one two three one four fifth two one"
+    data = np.frombuffer(text, np.uint8)
+    starts = np.array([i for i in range(len(text)) if text[i : i + 1] != b" " and (i == 0 or text[i - 1 : i] == b" ")])
+    ends = np.array([(text + b" ").index(b" ", i) for i in starts])
+    own, at = words.distinct_ranges(data, starts, ends)
+    assert [own[i] for i in at] == text.split() and len(own) == 5
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([*"ab .,'!Éσ\n\t ", "<|endoftext|>", "'ll", "5"]), max_size=30), min_size=1, max_size=6))
 def test_words_give_the_ids_of_texts(texts):
