@@ -34,13 +34,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one with the least id, then the least key; rows without an id come last. Each row stands for itself, so unrelated
     texts of equal id both stay, and rows without an id are joined as well. Rows that are equal in all columns are one."""
-    key = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])  # null columns don't move the hash
-    rows = docs.withColumn("row_key", key)
+    rows = docs.withColumn("row_digest", F.unhex(store.row_digest(docs))).withColumn("row_key", F.xxhash64("row_digest"))
     found = jaccard.classes(rows.select("row_key", "text"), words_each=5, top=80, base=100, id_col="row_key").select(F.col("doc_id").alias("row_key"), "component_id").distinct()
     ids = rows.select("row_key", F.col("doc_id").cast("long").alias("doc_id")).distinct()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))["row_key"]
     kept = found.join(ids, "row_key").groupBy("component_id").agg(first.alias("row_key")).select("row_key")
-    return rows.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
+    return rows.join(kept, "row_key", "left_semi").dropDuplicates(["row_digest"]).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
