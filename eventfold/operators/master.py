@@ -3,11 +3,19 @@
 Buckets are verified, review, rejected and past. Of a record with status verified, needs_review, rejected or past the table below says what happens; a locked verified row
 only counts as skipped (but for a past record, which refreshes last_seen first).
 
-    status        id in verified                      id in review                     neither
-    verified      update non-blank changed cells      promoted, non-blank cells win    duplicate by (name, date)? a legacy row is taken over, else skipped; else added
-    needs_review  kept, last_seen refreshed           new cells and reason             to review
-    rejected      to rejected, non-blank cells win    to rejected                      to rejected
-    past          last_seen refreshed                 nothing                          nothing
+    status        id in verified                          id in review                     neither
+    verified      update non-blank cells of UPDATABLE     promoted, non-blank cells win    duplicate by (name, date)? a legacy row is taken over, else skipped; else added
+    needs_review  kept, last_seen refreshed               new cells and reason             to review
+    rejected      to rejected, non-blank cells win        to rejected                      to rejected
+    past          last_seen refreshed                     nothing                          nothing
+
+Records of one id are resolved one after another, by ord: each finds the id where the one before left it. A rejection ends a stretch of records: what follows begins with no row. Where an id is
+within a stretch follows from running facts (has a record entered, has one gone to review), so it takes windows over an id's records and no loop; a cell is the last non-blank one that was written.
+
+Duplicates go by name (any case) and date, unless both are blank: of a verified row of another id as the master was before the run, or of a verified record of another id that came earlier in it.
+Of records that find the same legacy row the first takes it over, if no record of the run has the row's own id.
+
+Defined results: records without an id do nothing; ids are unique in a bucket (lifecycle.load makes them so); columns of the master that records lack stay with their row and are null for new ones.
 """
 
 from __future__ import annotations
@@ -21,73 +29,121 @@ from ..functions import fixed, text
 from . import merge
 
 CELLS = ("country", "date", "end_date", "event_name", "organizer", "category", "format", "location", "description", "register_link", "source_url")
+#: Actions that write a record's cells, and those of them that write cells outside UPDATABLE too.
+WRITES = ("updated", "legacy_replaced", "promoted", "added", "sent_to_review", "review_updated", "rejected")
+WHOLE = ("promoted", "added", "sent_to_review", "review_updated", "rejected")
+STATES = ("_v", "_r", "_l")
+
+
+def _leads(records: DataFrame) -> DataFrame:
+    """By name and date of verified records: _lead (ord, id) of the first, _second of the first of another id, _takes the ord of the first whose id has no row yet."""
+    by = ["_n", "_w"]
+    each = records.where("status = 'verified' and not _l and not _bare and event_id is not null and (_new or coalesce(changed, true))")
+    own = each.groupBy(*by, "event_id").agg(F.min("ord").alias("ord"), F.min(F.when(F.col("_new"), F.col("ord"))).alias("_takes"))
+    first = own.groupBy(*by).agg(F.min(F.struct("ord", "event_id")).alias("_lead"), F.min("_takes").alias("_takes"))
+    other = own.join(first.select(*by, F.col("_lead.event_id").alias("_of")), by).where("event_id <> _of").groupBy(*by).agg(F.min(F.struct("ord", "event_id")).alias("_second"))
+    return first.join(other, by, "left")
 
 
 def decide(records: DataFrame, master: DataFrame) -> DataFrame:
-    """records with action and target (the id of the row that is taken over or repeated).
+    """records with action, target (the id of the row that is taken over or repeated) and stretch (how many rejections of the id came before).
 
-    records: ord, event_id, status, event_name, date, changed. master: event_id, bucket, event_name, date, locked, verified_by. Records of one id are resolved in order:
-    the first decides where the id then is.
+    records: ord, event_id, status, event_name, date, changed. master: event_id, bucket, event_name, date, locked, verified_by.
     """
-    at = master.groupBy("event_id").agg(F.max((F.col("bucket") == "verified").cast("int")).alias("_v"), F.max((F.col("bucket") == "review").cast("int")).alias("_r"), F.max(((F.col("bucket") == "verified") & text.truthy(F.col("locked"))).cast("int")).alias("_l"))
-    rows = records.join(at, "event_id", "left").withColumns({c: F.coalesce(c, F.lit(0)) == 1 for c in ("_v", "_r", "_l")})
-    rows = rows.withColumn("_first", F.row_number().over(Window.partitionBy("event_id").orderBy("ord")) == 1)
-    rows = rows.withColumns({"_n": merge.key("event_name"), "_w": merge.key("date")})
-    # rows of the same name and date: those of the master first, then new ones of this run in their order
-    old = master.where("bucket = 'verified'").select(merge.key("event_name").alias("_n"), merge.key("date").alias("_w"), F.col("event_id").alias("_id"), (F.lower(F.coalesce("verified_by", F.lit(""))).startswith("legacy") & ~text.truthy(F.col("locked"))).alias("_legacy"))
-    old = old.groupBy("_n", "_w").agg(F.min_by(F.struct("_id", "_legacy"), "_id").alias("_old"))
-    rows = rows.join(old, ["_n", "_w"], "left")
-    enters = (F.col("status") == "verified") & ~F.col("_v") & ~F.col("_r") & F.col("_first")
-    nth = F.sum(enters.cast("int")).over(Window.partitionBy("_n", "_w").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1))
-    lead = F.first(F.when(enters, F.col("event_id")), ignorenulls=True).over(Window.partitionBy("_n", "_w").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rows = rows.withColumns({"_before": F.coalesce(nth, F.lit(0)), "_lead": lead})
-    legacy = F.coalesce(F.col("_old")["_legacy"], F.lit(False))
-    new = (
-        F.when(F.col("_old").isNotNull() & legacy & (F.col("_before") == 0), "legacy_replaced")
-        .when(F.col("_old").isNotNull() | (F.col("_before") > 0), "duplicates_skipped")
-        .otherwise("added")
-    )
-    s = F.col("status")
+    c, s = F.col, F.col("status")
+    at = master.groupBy("event_id").agg(*[F.max(x).alias(n) for n, x in zip(STATES, (c("bucket") == "verified", c("bucket") == "review", (c("bucket") == "verified") & text.truthy(c("locked"))), strict=True)])
+    rows = records.join(at, "event_id", "left").withColumns({x: F.coalesce(x, F.lit(False)) for x in STATES})
+    rows = rows.withColumns({"_n": merge.key("event_name"), "_w": merge.key("date"), "_new": ~c("_v") & ~c("_r")}).withColumn("_bare", (c("_n") == "") & (c("_w") == ""))
+    # the master's own rows of a name and date; leads of the run's records
+    own = records.select("event_id").distinct().withColumn("_told", F.lit(True))
+    old = master.where("bucket = 'verified'").join(own, "event_id", "left").select(
+        merge.key("event_name").alias("_n"), merge.key("date").alias("_w"), c("event_id").alias("_id"),
+        (F.lower(F.coalesce("verified_by", F.lit(""))).startswith("legacy") & ~text.truthy(c("locked")) & c("_told").isNull()).alias("_legacy"),
+    )
+    held = F.struct("_id", "_legacy")
+    first = old.groupBy("_n", "_w").agg(F.min(held).alias("_old"))
+    second = old.join(first.select("_n", "_w", c("_old._id").alias("_of")), ["_n", "_w"]).where("_id <> _of").groupBy("_n", "_w").agg(F.min(held).alias("_next"))
+    rows = rows.join(first.join(second, ["_n", "_w"], "left"), ["_n", "_w"], "left").join(_leads(rows), ["_n", "_w"], "left")
+    other = F.when(c("_old._id") == c("event_id"), c("_next")).otherwise(c("_old"))
+    before = F.when(c("_lead.event_id") == c("event_id"), c("_second")).otherwise(c("_lead"))
+    rows = rows.withColumns({"_other": F.when(~c("_bare"), other), "_earlier": F.when(~c("_bare") & (before["ord"] < c("ord")), before["event_id"])})
+    takes = F.coalesce(c("_other._legacy") & (c("_takes") == c("ord")) & c("_earlier").isNull(), F.lit(False))
+    rows = rows.withColumns({"_takes_over": takes, "_repeats": (c("_other").isNotNull() | c("_earlier").isNotNull()) & ~takes})
+    # where the id is when a record comes
+    past = Window.partitionBy("event_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("stretch", F.coalesce(F.sum(((s == "rejected") & ~c("_l")).cast("int")).over(past), F.lit(0)))
+    here = Window.partitionBy("event_id", "stretch").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda x: F.coalesce(F.max(x).over(here), F.lit(False))
+    begins_v = c("_v") & (c("stretch") == 0)
+    begins_r = c("_r") & F.when(c("_v"), c("stretch") == 1).otherwise(c("stretch") == 0)
+    rows = rows.withColumns({"_begins_v": begins_v, "_to_review": begins_r | so_far(s == "needs_review")})
+    rows = rows.withColumn("_entered", c("_begins_v") | so_far((s == "verified") & (c("_to_review") | ~c("_repeats"))))
     action = (
-        F.when((s == "past") & F.col("_v"), "seen")
-        .when(F.col("_l"), "locked_skipped")
-        .when((s == "verified") & (F.col("_v") | ~F.col("_first")), F.when(F.coalesce("changed", F.lit(True)), "updated").otherwise("unchanged"))
-        .when((s == "verified") & F.col("_r"), "promoted")
-        .when(s == "verified", new)
-        .when((s == "needs_review") & F.col("_v"), "kept_after_failed_rescrape")
-        .when((s == "needs_review") & F.col("_r"), "review_updated")
+        F.when(c("event_id").isNull(), "nothing")
+        .when((s == "past") & c("_entered"), "seen")
+        .when(c("_l") & s.isin("verified", "needs_review", "rejected"), "locked_skipped")
+        .when((s == "verified") & c("_entered"), F.when(F.coalesce("changed", F.lit(True)), "updated").otherwise("unchanged"))
+        .when((s == "verified") & c("_to_review"), "promoted")
+        .when((s == "verified") & c("_takes_over"), "legacy_replaced")
+        .when((s == "verified") & c("_repeats"), "duplicates_skipped")
+        .when(s == "verified", "added")
+        .when((s == "needs_review") & c("_entered"), "kept_after_failed_rescrape")
+        .when((s == "needs_review") & c("_to_review"), "review_updated")
         .when(s == "needs_review", "sent_to_review")
         .when(s == "rejected", "rejected")
         .otherwise("nothing")
     )
-    target = F.when(action == "legacy_replaced", F.col("_old")["_id"]).when(action == "duplicates_skipped", F.coalesce(F.col("_old")["_id"], F.col("_lead")))
-    return rows.withColumns({"action": action, "target": target}).select(*records.columns, "action", "target")
+    target = F.when(action == "legacy_replaced", c("_other._id")).when(action == "duplicates_skipped", F.coalesce("_other._id", "_earlier"))
+    return rows.withColumns({"action": action, "target": target}).select(*records.columns, "action", "target", "stretch")
 
 
 def apply(records: DataFrame, master: DataFrame, today: Column) -> DataFrame:
-    """The master after a run: rows of records overlaid, moved and added."""
-    told = decide(records, master)
-    last = told.withColumn("_i", F.row_number().over(Window.partitionBy("event_id").orderBy(F.desc("ord")))).where("_i = 1")
-    moved = F.when(F.col("action").isin("promoted", "added", "legacy_replaced", "updated", "unchanged"), "verified").when(F.col("action").isin("sent_to_review", "review_updated"), "review").when(F.col("action") == "rejected", "rejected")
-    take = last.select(F.coalesce(F.when(F.col("action") == "legacy_replaced", F.col("target")), F.col("event_id")).alias("_id"), F.col("event_id").alias("_new"), *[F.col(c).alias(f"_{c}") for c in CELLS], "action", moved.alias("_bucket"))
-    keeps = ("organizer", "source_url")
-    old = master.where(F.col("bucket").isin("verified", "review")).join(take, F.col("event_id") == F.col("_id"), "left")
-    writes = F.col("action").isin("updated", "promoted", "legacy_replaced", "review_updated", "rejected")
-    cell = lambda c: F.when(writes & (F.lit(c not in keeps) | (F.col("action") != "legacy_replaced")), merge.overlay(F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)).alias(c)
-    seen = F.col("action").isin("seen", "kept_after_failed_rescrape", "updated", "unchanged", "promoted", "legacy_replaced", "review_updated")
-    kept = old.select(
-        F.when(F.col("action") == "legacy_replaced", F.col("_new")).otherwise(F.col("event_id")).alias("event_id"),
-        F.when(F.col("action").isin("seen", "locked_skipped", "kept_after_failed_rescrape", "nothing"), F.col("bucket")).otherwise(F.coalesce("_bucket", "bucket")).alias("bucket"),
-        *[cell(c) for c in CELLS],
-        F.when(F.col("action") == "rejected", today).otherwise(F.col("added_on")).alias("added_on"),
-        F.when(seen, today).otherwise(F.col("last_seen")).alias("last_seen"),
-        F.when(F.col("action").isin("promoted", "legacy_replaced"), "Rules").otherwise(F.col("verified_by")).alias("verified_by"),
-        "locked",
-    )
-    fresh = last.where(F.col("action").isin("added", "sent_to_review") | ((F.col("action") == "rejected"))).join(master.where(F.col("bucket").isin("verified", "review")).select("event_id"), "event_id", "left_anti")
-    new = fresh.select("event_id", moved.alias("bucket"), *CELLS, today.alias("added_on"), today.alias("last_seen"), F.lit("Rules").alias("verified_by"), F.lit("").alias("locked"))
-    rest = master.where(~F.col("bucket").isin("verified", "review")).join(new.where("bucket = 'rejected'").select("event_id", "bucket"), ["event_id", "bucket"], "left_anti")
-    return kept.unionByName(new).unionByName(rest.select(*kept.columns))
+    """The master after a run, with all its columns: rows overlaid, moved, taken over and added, none lost."""
+    c, cells, kept = F.col, [x for x in CELLS if x in master.columns and x in records.columns], set(master.columns)
+    told = decide(records, master).where("action not in ('nothing', 'locked_skipped', 'duplicates_skipped')")
+    did = lambda *actions: c("action").isin(*actions)
+    last = lambda value, when: F.max_by(value, F.when(when, c("ord")))
+    wrote = lambda x: did(*(WRITES if x in fixed.UPDATABLE else WHOLE)) & (F.coalesce(c(x), F.lit("")) != "")
+    # each stretch's row as it began
+    begun = told.groupBy("event_id", "stretch").agg(F.max("target").alias("_target"))
+    begun = begun.select("event_id", "stretch", F.coalesce("_target", "event_id").alias("_base"), c("_target").isNotNull().alias("_taken"))
+    rows = master.where("bucket in ('verified', 'review')")
+    both = rows.groupBy("event_id").agg(F.max(c("bucket") == "verified").alias("_v"))
+    bases = rows.join(both, "event_id").select(F.when((c("bucket") == "review") & c("_v"), 1).otherwise(0).alias("_nth"), c("event_id").alias("_base"), F.struct(*master.columns).alias("_row"))
+    begun = begun.join(bases, (bases["_base"] == begun["_base"]) & F.when(c("_taken"), c("_nth") == 0).otherwise(c("_nth") == c("stretch")), "left").select("event_id", "stretch", "_row")
+    # what the stretch made of it
+    differs = lambda x: F.max(wrote(x) & (c(x) != F.coalesce(c(f"_row.{x}"), F.lit(""))))
+    reason = c("reason") if "reason" in records.columns else F.lit("")
+    known = told.join(begun, ["event_id", "stretch"])
+    folds = known.groupBy("event_id", "stretch").agg(
+        F.first("_row").alias("_row"),
+        *[last(c(x), wrote(x)).alias(x) for x in cells],
+        F.max(did("rejected")).alias("_out"), F.max(did("promoted", "added", "legacy_replaced")).alias("_in"),
+        F.max(did("updated")).alias("_up"), F.max(did(*WHOLE)).alias("_whole"), F.coalesce(F.array_max(F.array(*[differs(x) for x in cells if x in fixed.UPDATABLE])), F.lit(False)).alias("_differs"),
+        last(reason, did("sent_to_review", "review_updated")).alias("_review_reason"), last(reason, did("rejected")).alias("_reject_reason"),
+        F.min(~did("review_updated") | ~F.coalesce("changed", F.lit(True))).alias("_same"),
+    )
+    was = lambda x: c(f"_row.{x}") if x in kept else F.lit(None).cast("string")
+    out, in_ = c("_out"), c("_in") | ((was("bucket") == "verified") & ~c("_out"))
+    bucket = F.when(out, "rejected").when(in_, "verified").otherwise("review")
+    new = {
+        "event_id": c("event_id"),
+        "bucket": bucket,
+        **{x: F.coalesce(c(x), was(x), F.lit("")) for x in cells},
+        "added_on": F.when(out | c("_row").isNull(), today).otherwise(F.when(F.coalesce(was("added_on"), F.lit("")) == "", today).otherwise(was("added_on"))),
+        "last_seen": today,
+        "verified_by": F.when(bucket != "verified", "").when(c("_in") | (c("_up") & c("_differs")), "Rules").otherwise(was("verified_by")),
+        "locked": F.when(c("_whole"), "").otherwise(was("locked")),
+        "status": F.when(c("_whole"), "Upcoming").otherwise(was("status")),
+        "review_reason": F.when(bucket == "review", F.coalesce("_review_reason", F.lit(""))).when(c("_whole"), "").otherwise(was("review_reason")),
+        "ai_review": F.when((bucket == "review") & c("_row").isNotNull() & c("_same"), was("ai_review")).when(c("_whole"), "").otherwise(was("ai_review")),
+        "reject_reason": F.when(out, F.coalesce("_reject_reason", F.lit(""))).when(c("_whole"), "").otherwise(was("reject_reason")),
+    }
+    made = folds.withColumn("_last", F.max(F.when(out, c("stretch"))).over(Window.partitionBy("event_id"))).where(~out | (c("stretch") == c("_last")))
+    made = made.select(*[new.get(x, was(x)).alias(x) for x in master.columns])
+    # rows that no stretch began with; a rejection replaces an earlier one
+    used = begun.where("_row is not null").select(c("_row.event_id").alias("event_id"), c("_row.bucket").alias("bucket")).unionByName(made.where("bucket = 'rejected'").select("event_id", "bucket"))
+    return master.join(used.distinct(), ["event_id", "bucket"], "left_anti").select(*master.columns).unionByName(made)
 
 
 def changes(old: DataFrame, new: DataFrame, columns: Sequence[str] = fixed.UPDATABLE, id_col: str = "event_id") -> DataFrame:

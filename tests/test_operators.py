@@ -1,11 +1,12 @@
 import datetime as dt
+import random
 import uuid
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventfold.functions import dates, taxonomy, text, titles
+from eventfold.functions import dates, fixed, taxonomy, text, titles
 from eventfold.operators import dedupe, master, merge, report
 from eventfold.sources import fetch, organisations, snapshots
 from eventfold.streaming import grace
@@ -105,6 +106,91 @@ def test_master_rules(spark):
     assert got["u"]["location"] == "old" and got["r"]["location"] == "new" and got["g2"]["organizer"] == "first" and got["g2"]["verified_by"] == "Rules" and got["l"]["location"] == "kept"
 
 
+def _plain_run(told, held):
+    """Records one after another. held: dicts with id and bucket; told: dicts with ord, id, status, changed, reason and cells."""
+    rows = {(r["event_id"], r["bucket"]): dict(r) for r in held}
+    ids = {t["event_id"] for t in told}
+    key = lambda r: (r["event_name"].lower(), r["date"].lower())
+    verified = sorted((r["event_id"], r) for r in held if r["bucket"] == "verified")
+    had = {r["event_id"] for r in held if r["bucket"] in ("verified", "review")}
+    locked = {r["event_id"] for _, r in verified if r["locked"] == "Yes"}
+    came = [t for t in told if t["status"] == "verified" and t["event_id"] not in locked and key(t) != ("", "") and (t["changed"] or t["event_id"] not in had)]
+    for t in told:
+        e, s = t["event_id"], t["status"]
+        new = {c: t[c] for c in master.CELLS if t[c]}
+        v, r = rows.get((e, "verified")), rows.get((e, "review"))
+        if s == "past":
+            if v:
+                v["last_seen"] = "d1"
+            continue
+        if v and e in locked:
+            continue
+        whole = lambda base, by: {**dict.fromkeys(held[0], ""), **(base or {}), **new, "event_id": e, "status": "Upcoming", "added_on": "d1", "last_seen": "d1", "verified_by": by, "locked": "", "review_reason": "", "reject_reason": ""}
+        if s == "verified":
+            if v:
+                v["last_seen"] = "d1"
+                cells = {c: x for c, x in new.items() if c in fixed.UPDATABLE and x != v[c]}
+                if t["changed"] and cells:
+                    v.update(cells, verified_by="Rules")
+                continue
+            if r:
+                del rows[e, "review"]
+                rows[e, "verified"] = {**whole(r, "Rules"), "bucket": "verified", "added_on": r["added_on"], "ai_review": ""}
+                continue
+            other = next((o for i, o in verified if i != e and key(o) == key(t)), None) if key(t) != ("", "") else None
+            earlier = [x for x in came if key(x) == key(t) and x["ord"] < t["ord"] and x["event_id"] != e]
+            first = min((x["ord"] for x in came if key(x) == key(t) and x["event_id"] not in had), default=None)
+            if other and other["verified_by"].startswith("Legacy") and other["locked"] != "Yes" and other["event_id"] not in ids and not earlier and first == t["ord"]:
+                row = rows.pop((other["event_id"], "verified"))
+                rows[e, "verified"] = {**row, **{c: x for c, x in new.items() if c in fixed.UPDATABLE}, "event_id": e, "last_seen": "d1", "verified_by": "Rules"}
+            elif not other and not earlier:
+                rows[e, "verified"] = {**whole(None, "Rules"), "bucket": "verified"}
+        elif s == "needs_review":
+            if v:
+                v["last_seen"] = "d1"
+                continue
+            rows[e, "review"] = {**whole(r, ""), "bucket": "review", "review_reason": t["reason"], "added_on": r["added_on"] if r else "d1", "ai_review": r["ai_review"] if r and not t["changed"] else ""}
+        elif s == "rejected":
+            base = rows.pop((e, "verified"), None) or rows.pop((e, "review"), None)
+            rows[e, "rejected"] = {**whole(base, ""), "bucket": "rejected", "reject_reason": t["reason"], "ai_review": ""}
+    return sorted(tuple(sorted(r.items())) for r in rows.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_of_an_id_follow_one_another(spark, seed):
+    r = random.Random(seed)
+    ids = [f"e{i}" for i in range(70)]
+    cell = lambda c: r.choice({"event_name": ["Gala", "gala", "Summit", "Day", ""], "date": ["1", "2", ""]}.get(c, ["", f"{c}{r.randint(0, 3)}"]))
+    held = []
+    for e in ids:
+        buckets = r.choice([[], ["verified"], ["verified"], ["review"], ["past"], ["rejected"], ["verified", "review"], ["verified", "rejected", "past"]])
+        for b in buckets:
+            own = {c: cell(c) for c in master.CELLS} | {"event_name": f"{r.choice(['Gala', 'Summit', 'Own'])}", "date": str(r.randint(1, 9))}
+            kept = {"added_on": "d0", "last_seen": "d0", "verified_by": r.choice(["Rules", "Legacy (before v2)"]) if b == "verified" else "", "locked": r.choice(["", "", "", "Yes"]) if b == "verified" else "", "status": "Old"}
+            said = {"review_reason": "why" if b == "review" else "", "ai_review": "note" if b == "review" else "", "reject_reason": "because" if b == "rejected" else ""}
+            held.append({"event_id": e, "bucket": b} | own | kept | said)
+    told = []
+    for o in range(260):
+        told.append({"ord": o, "event_id": r.choice(ids[:50] if o % 3 else ids[:8]), "status": r.choice(["verified", "verified", "needs_review", "rejected", "past", "unreachable"]), "changed": r.random() < 0.7, "reason": f"r{o}"} | {c: cell(c) for c in master.CELLS})
+    records = spark.createDataFrame(told, "ord int, event_id string, status string, changed boolean, reason string, " + ", ".join(f"{c} string" for c in master.CELLS))
+    rows = spark.createDataFrame(held, ", ".join(f"{c} string" for c in held[0]))
+    got = sorted(tuple(sorted(x.asDict().items())) for x in master.apply(records, rows, F.lit("d1")).collect())
+    assert got == _plain_run(told, held)
+
+
+def test_no_row_is_lost_between_records(spark):
+    held = _master(spark, [("v", "verified", {"event_name": "V", "date": "1", "organizer": "o", "source_url": "s"})])
+    pairs = [("a", "verified", "verified"), ("b", "needs_review", "verified"), ("c", "verified", "needs_review"), ("d", "rejected", "verified"), ("f", "needs_review", "rejected"), ("v", "verified", "past")]
+    told = _records(spark, [(e, s, True, {"event_name": e, "date": "5", "location": f"{i}", "organizer": "new"}) for e, *both in pairs for i, s in enumerate(both)])
+    actions = {(r["event_id"], r["location"]): r["action"] for r in master.decide(told, held).collect()}
+    assert [actions["a", "0"], actions["a", "1"], actions["b", "0"], actions["b", "1"], actions["c", "0"], actions["c", "1"]] == ["added", "updated", "sent_to_review", "promoted", "added", "kept_after_failed_rescrape"]
+    got = {(r["event_id"], r["bucket"]): r for r in master.apply(told, held, F.lit("d1")).collect()}
+    assert set(got) == {("a", "verified"), ("b", "verified"), ("c", "verified"), ("d", "verified"), ("d", "rejected"), ("f", "rejected"), ("v", "verified")}
+    assert got["v", "verified"]["organizer"] == "o" and got["v", "verified"]["location"] == "0" and got["a", "verified"]["location"] == "1" and got["c", "verified"]["location"] == "0"
+    none = _records(spark, []), _master(spark, [])
+    assert master.apply(*none, F.lit("d1")).count() == 0 and master.apply(none[0], held, F.lit("d1")).count() == 1 and master.apply(told, none[1], F.lit("d1")).count() == 7
+
+
 def test_grace_and_health(spark):
     d = dt.date
     cols = "event_id string, link string, source_url string, start_date date, end_date date, last_seen date, locked string"
