@@ -213,9 +213,16 @@ def test_ppm_without_training(spark):
     assert ppm.pretrained(odd.documents(spark, [])).count() == 0
 
 
+def test_codes_of_lines_are_those_of_each():
+    lines = [b"", b"ab", b"", b"abc d", b"x"]
+    for order in (1, 2, 5):
+        assert ppm.codes(lines, order).tolist() == [c for x in lines for c in ppm.codes([x], order).tolist()]
+        assert len(ppm.codes(lines, order)) == sum(len(x) + 1 for x in lines)
+
+
 def test_probabilities_sum_to_one():
     line = b"the then them there the heat of the earth"
-    code, n = np.unique(ppm.codes(line, 4), return_counts=True)
+    code, n = np.unique(ppm.codes([line], 4), return_counts=True)
     found = ppm.levels(code.astype(np.int64), n, 4, 0)
     alphabet = [b for b in range(256) if b not in b"\t\v\f\r"]
     for context in (b"the ", b" the", b"zzzz", b"hthe", b"\n\n\n\n"):
