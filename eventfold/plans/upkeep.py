@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, extract, titles
-from ..operators import lifecycle, report
+from ..operators import lifecycle, master, report
 from ..sources import sheets
 from . import digest, tables
 from .registry import query, table
@@ -149,3 +149,64 @@ def customer_notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.select("page", F.explode(extract.shapes_of_page(_text("<html><body><main>", F.col("body"), "</main></body></html>"), F.lit("https://o.example/notices"))).alias("e"))
     text_ = F.col("e.card_text")
     return found.select("page", "e.name", "e.link", "e.date", titles.format_from_text(text_).alias("format"), titles.location_in_text(text_).alias("location"))
+
+
+#: Records made of events, in order: several for each user. What each finds is worked out record by record in the recursive part; duplicates are looked up among all rows and records.
+_FOLDED = """WITH RECURSIVE rec AS (SELECT event_id AS ord, 'ev_' || user_id AS id, CASE event_type WHEN 'error' THEN 'rejected' WHEN 'signup' THEN 'needs_review' WHEN 'purchase' THEN 'past' ELSE 'verified' END AS s,
+    event_id % 4 <> 0 AS changed, 'Event ' || (user_id % 40) AS name, 'day ' || (event_id % 400) AS day, CASE WHEN event_id % 3 = 0 THEN '' ELSE props END AS loc, 'seen ' || event_id AS why FROM events),
+  u AS (SELECT DISTINCT user_id AS k FROM events),
+  m AS (SELECT 'ev_' || k AS id, CASE WHEN k % 3 = 0 THEN 'review' ELSE 'verified' END AS bucket, k % 9 = 1 AS locked, 'Event ' || (k % 40) AS name, 'day ' || (k % 400) AS day, 'at ' || k AS loc, CASE WHEN k % 7 = 1 THEN 'Legacy' ELSE 'Rules' END AS by_ FROM u WHERE k % 3 < 2
+    UNION ALL SELECT 'ev_x' || k, 'verified', false, 'Event ' || (k % 40), 'day ' || (k * 7 % 400), 'at ' || k, 'Legacy' FROM u WHERE k % 2 = 0),
+  had AS (SELECT id, max(bucket) AS bucket, bool_or(locked AND bucket = 'verified') AS locked FROM m GROUP BY 1),
+  r0 AS (SELECT rec.*, had.bucket AS had, coalesce(had.locked, false) AS locked, row_number() OVER (PARTITION BY id ORDER BY ord) AS i FROM rec LEFT JOIN had USING (id)),
+  came AS (SELECT * FROM r0 WHERE s = 'verified' AND NOT locked AND (changed OR had IS NULL)),
+  lead AS (SELECT name, day, id, min(ord) AS ord, min(CASE WHEN had IS NULL THEN ord END) AS takes FROM came GROUP BY 1, 2, 3),
+  r1 AS (SELECT r0.*, (SELECT min(m.id) FROM m WHERE m.bucket = 'verified' AND m.name = r0.name AND m.day = r0.day AND m.id <> r0.id) AS other,
+    EXISTS (SELECT 1 FROM lead WHERE lead.name = r0.name AND lead.day = r0.day AND lead.id <> r0.id AND lead.ord < r0.ord) AS earlier, (SELECT min(takes) FROM lead WHERE lead.name = r0.name AND lead.day = r0.day) AS takes FROM r0),
+  r AS (SELECT r1.*, coalesce(NOT earlier AND takes = r1.ord AND m.by_ = 'Legacy' AND m.id NOT IN (SELECT id FROM rec), false) AS taking, m.name AS mname, m.day AS mday, m.loc AS mloc FROM r1 LEFT JOIN m ON m.id = other AND m.bucket = 'verified'),
+  f AS (SELECT id, CAST(0 AS BIGINT) AS i, coalesce(m.bucket, 'none') AS at_, m.name AS name, m.day AS day, m.loc AS loc, CASE WHEN m.bucket = 'verified' THEN m.by_ ELSE '' END AS by_, CASE WHEN m.bucket IS NULL THEN NULL ELSE 'before' END AS since, '' AS why,
+      CASE WHEN m.bucket = 'review' THEN 'note' ELSE '' END AS note, 'before' AS seen, false AS out, '' AS oname, '' AS oday, '' AS oloc, '' AS owhy, '' AS gone FROM (SELECT DISTINCT id FROM rec) LEFT JOIN m USING (id)
+    UNION ALL
+    SELECT id, i + 1, CASE act WHEN 'out' THEN 'none' WHEN 'in' THEN 'verified' WHEN 'take' THEN 'verified' WHEN 'hold' THEN 'review' ELSE at_ END,
+      CASE WHEN act = 'take' THEN rname WHEN act IN ('in', 'hold', 'up') THEN rname WHEN act = 'out' THEN '' ELSE name END, CASE WHEN act IN ('take', 'in', 'hold', 'up') THEN rday WHEN act = 'out' THEN '' ELSE day END,
+      CASE WHEN act = 'take' THEN coalesce(nullif(rloc, ''), mloc) WHEN act IN ('in', 'hold', 'up') THEN coalesce(nullif(rloc, ''), loc, '') WHEN act = 'out' THEN '' ELSE loc END,
+      CASE WHEN act IN ('take', 'in') OR act = 'up' AND (rname <> name OR rday <> day OR rloc <> '' AND rloc <> loc) THEN 'Rules' WHEN act IN ('hold', 'out') THEN '' ELSE by_ END,
+      CASE WHEN act = 'take' THEN 'before' WHEN act = 'out' THEN NULL WHEN act IN ('in', 'hold') THEN coalesce(since, 'now') ELSE since END, CASE WHEN act = 'hold' THEN rwhy WHEN act IN ('in', 'out', 'take') THEN '' ELSE why END,
+      CASE WHEN act = 'hold' AND at_ = 'review' AND NOT changed THEN note WHEN act IN ('hold', 'in', 'out', 'take') THEN '' ELSE note END, CASE WHEN act IN ('none') THEN seen ELSE 'now' END,
+      out OR act = 'out', CASE WHEN act = 'out' THEN rname ELSE oname END, CASE WHEN act = 'out' THEN rday ELSE oday END, CASE WHEN act = 'out' THEN coalesce(nullif(rloc, ''), loc, '') ELSE oloc END, CASE WHEN act = 'out' THEN rwhy ELSE owhy END,
+      CASE WHEN act = 'take' THEN other ELSE gone END
+    FROM (SELECT f.*, r.name AS rname, r.day AS rday, r.loc AS rloc, r.why AS rwhy, r.changed, r.mloc, r.other, CASE WHEN s = 'past' THEN CASE WHEN at_ = 'verified' THEN 'see' ELSE 'none' END WHEN r.locked THEN 'none'
+        WHEN s = 'verified' AND at_ = 'verified' THEN CASE WHEN r.changed THEN 'up' ELSE 'see' END WHEN s = 'verified' AND at_ = 'review' THEN 'in' WHEN s = 'verified' AND taking THEN 'take'
+        WHEN s = 'verified' AND (other IS NOT NULL OR earlier) THEN 'none' WHEN s = 'verified' THEN 'in' WHEN s = 'needs_review' AND at_ = 'verified' THEN 'see' WHEN s = 'needs_review' THEN 'hold' ELSE 'out' END AS act
+      FROM f JOIN r ON r.id = f.id AND r.i = f.i + 1)),
+  e AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY id ORDER BY i DESC) = 1),
+  g AS (SELECT DISTINCT gone FROM f WHERE gone <> '')"""
+
+
+@query(
+    _FOLDED
+    + """ SELECT id AS event_id, at_ AS bucket, name AS event_name, day AS date, loc AS location, by_ AS verified_by, since AS added_on, seen AS last_seen, why AS review_reason, note AS ai_review, '' AS reject_reason FROM e WHERE at_ <> 'none'
+    UNION ALL SELECT id, 'rejected', oname, oday, oloc, '', 'now', 'now', '', '', owhy FROM e WHERE out
+    UNION ALL SELECT id, bucket, name, day, loc, CASE WHEN bucket = 'verified' THEN by_ ELSE '' END, 'before', 'before', '', CASE WHEN bucket = 'review' THEN 'note' ELSE '' END, '' FROM m WHERE id NOT IN (SELECT id FROM rec) AND id NOT IN (SELECT gone FROM g)"""
+)
+def master_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master after a run whose records are all events, many for each user, told apart only by their order."""
+    c, k, i = F.col, F.col("user_id"), F.col("event_id")
+    e = table(spark, sf_dir, "events")
+    status = F.when(c("event_type") == "error", "rejected").when(c("event_type") == "signup", "needs_review").when(c("event_type") == "purchase", "past").otherwise("verified")
+    name = _text("Event ", k % 40).alias("event_name")
+    records = e.select(
+        i.alias("ord"), _text("ev_", k).alias("event_id"), status.alias("status"), (i % 4 != 0).alias("changed"), name, _text("day ", i % 400).alias("date"), F.when(i % 3 == 0, "").otherwise(c("props")).alias("location"), _text("seen ", i).alias("reason"),
+    )
+    users = e.select(k).distinct()
+    review = k % 3 == 0
+    rest = [F.lit("before").alias("added_on"), F.lit("before").alias("last_seen")]
+    said = lambda r: [F.lit("").alias("review_reason"), F.when(r, "note").otherwise("").alias("ai_review"), F.lit("").alias("reject_reason")]
+    own = users.where(k % 3 < 2).select(
+        _text("ev_", k).alias("event_id"), F.when(review, "review").otherwise("verified").alias("bucket"), name, _text("day ", k % 400).alias("date"), _text("at ", k).alias("location"),
+        F.when(review, "").when(k % 7 == 1, "Legacy").otherwise("Rules").alias("verified_by"), F.when((k % 9 == 1) & ~review, "Yes").otherwise("").alias("locked"), *rest, *said(review),
+    )
+    old = users.where(k % 2 == 0).select(
+        _text("ev_x", k).alias("event_id"), F.lit("verified").alias("bucket"), name, _text("day ", k * 7 % 400).alias("date"), _text("at ", k).alias("location"), F.lit("Legacy").alias("verified_by"), F.lit("").alias("locked"), *rest, *said(F.lit(False)),
+    )
+    return master.apply(records, own.unionByName(old), F.lit("now")).drop("locked")
