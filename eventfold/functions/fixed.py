@@ -77,6 +77,14 @@ REJECT_PATTERNS = {
     "college event": r"\b(alumni|campus recruit|college (event|fair)|actec)\b",
 }
 CATEGORY_ORDER = ("Tax", "Legal", "Finance")
+GENERIC_WORD = "generic word"
+NO_TOPIC = "no Tax, Finance or Legal topic found in the event's title or description"
+ONLY_GENERIC = "only a generic word or a single passing mention ("
+NOT_ENOUGH = ") -- not enough to accept on rules alone"
+IN_THE_TEXT = "' in the event text"
+IN_OWN_TEXT = " topic in the event's own text: "
+ALSO_MATCHES = " (also matches "
+BY_ORDER = " chosen by fixed order)"
 
 FINAL_COLUMNS = ("Date", "End Date", "Status", "Event Name", "Organizer", "Category", "Format", "Location", "Description", "Register Link", "Source URL")
 UPDATABLE = ("country", "date", "end_date", "event_name", "category", "format", "location", "description", "register_link")

@@ -1,116 +1,131 @@
-"""Topic scores: a taxonomy of categories, topics and phrases as one expression over title and description.
+"""What an event is about: a taxonomy of categories, topics and phrases over title and description.
 
-A taxonomy is a JSON file {category: {"topics": {topic: [phrase, ...]}, "weak": [word, ...]}}; its path is a parameter. A phrase matches whole words without case;
-a hyphen may be a space, "and" may be "&", a plural ending may follow, and * at its end stands for any ending.
+A taxonomy is a JSON file {category: {"topics": {topic: [phrase, ...]}, "weak": [word, ...]}}, whose path is a parameter, or rows of that. Its phrases, however many, are found in one pass over a
+text (phrases.found); scores, the choice of a category, its topic and the reason in words are expressions over what was found.
 """
 
 from __future__ import annotations
 
 import json
-import re
-from functools import cache, reduce
+from collections.abc import Sequence
+from functools import cache
 from pathlib import Path
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import fixed
+from . import fixed, phrases
+from .phrases import pattern  # noqa: F401
 
 DEFAULT = str(Path(__file__).with_name("taxonomy.json"))
-TITLE, TEXT, WEAK_TITLE, WEAK_TEXT, ACCEPT = 3.0, 1.0, 1.0, 0.5, 3.0
+TITLE, TEXT, WEAK_TITLE, WEAK_TEXT, ACCEPT, SHOWN = 3.0, 1.0, 1.0, 0.5, 3.0, 4
 
 
-def pattern(phrase: str) -> str:
-    """A phrase as a regular expression for Java."""
-    p = phrase.strip().lower()
-    words = ["(?:&|and)" if w in ("and", "&") else re.sub(r"\\?-", r"[\\s\\-]", re.escape(w)) for w in p.rstrip("*").split()]
-    return "(?<![A-Za-z0-9])" + r"[\s\-]+".join(words) + ("" if p.endswith("*") else "(?:s|es)?(?![A-Za-z0-9])")
+class Entry(NamedTuple):
+    category: str
+    topic: str
+    phrase: str
+    weak: bool
+
+
+def entries(raw: dict) -> tuple[Entry, ...]:
+    """By category its topics' phrases in order, a topic's name being one of them, then its weak words."""
+    out = []
+    for c in fixed.CATEGORY_ORDER:
+        own = raw.get(c, {})
+        out += [Entry(c, t, p, False) for t, ps in own.get("topics", {}).items() for p in dict.fromkeys([t, *ps])]
+        out += [Entry(c, fixed.GENERIC_WORD, w, True) for w in own.get("weak", [])]
+    return tuple(out)
 
 
 @cache
-def load(path: str = DEFAULT) -> dict[str, tuple[list[tuple[str, str]], list[str]]]:
-    """By category its (topic, phrase) rows, a topic's name being one of its phrases, and its weak words."""
-    raw = json.loads(Path(path).read_text(encoding="utf-8"))
-    return {c: ([(t, p) for t, ps in raw[c]["topics"].items() for p in dict.fromkeys([t, *ps])], raw[c].get("weak", [])) for c in fixed.CATEGORY_ORDER}
+def load(path: str = DEFAULT) -> tuple[Entry, ...]:
+    return entries(json.loads(Path(path).read_text(encoding="utf-8")))
+
+
+def topic_names(rows: Sequence[Entry]) -> dict[str, list[str]]:
+    """By category its topics, without the general one."""
+    return {c: list(dict.fromkeys(r.topic for r in rows if r.category == c and not r.weak and "(general)" not in r.topic)) for c in fixed.CATEGORY_ORDER}
+
+
+def topics_in_words(rows: Sequence[Entry]) -> str:
+    """A line for each category, for a reviewer's question."""
+    return "\n".join(f"  {c}: {'; '.join(names)}" for c, names in topic_names(rows).items())
 
 
 def rejection(title: Column, description: Column) -> Column:
-    """The kind of event that is rejected outright, else null."""
+    """struct<kind, said> of the first kind of event that is rejected outright, else null."""
     title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
     both = F.concat_ws(" ", title, description)
-    out = F.lit(None).cast("string")
+    out = F.lit(None)
     for kind, p in reversed(fixed.REJECT_PATTERNS.items()):
-        out = F.when((both if kind == "exam prep" else title).rlike(f"(?i){p}"), F.lit(kind)).otherwise(out)
+        where = both if kind == "exam prep" else title
+        out = F.when(where.rlike(f"(?i){p}"), F.struct(F.lit(kind).alias("kind"), F.trim(F.regexp_extract(where, f"(?i){p}", 0)).alias("said"))).otherwise(out)
     return out
 
 
-def longest_word(phrase: str) -> str:
-    """The longest part of a phrase that stands in every text that has it, in lower case."""
-    parts = [w for w in re.split(r"[\s\-]+", phrase.strip().lower().rstrip("*")) if w not in ("and", "&")]
-    return max(parts, key=len)
+def hits(title: Column, description: Column, rows: Sequence[Entry] | None = None) -> Column:
+    """array<struct<n, title, said, category, topic, weak>> in the taxonomy's order: the phrases that the title has, and those that only the description has."""
+    rows = load() if rows is None else tuple(rows)
+    told = phrases.found(title, description, tuple(r.phrase for r in rows))
+    part = lambda values: F.array(*map(F.lit, values)) if rows else F.array().cast("array<string>")
+    # a category's entries stand together, so where it begins tells it; topics and weak words likewise
+    edges = [i for i, r in enumerate(rows) if not i or (r.category, r.topic, r.weak) != (rows[i - 1].category, rows[i - 1].topic, rows[i - 1].weak)]
+    known = {k: part([getattr(rows[i], k) for i in edges]) for k in ("category", "topic", "weak")}
+    starts = F.array(*[F.lit(i) for i in edges]) if edges else F.array().cast("array<int>")
 
+    def complete(h: Column) -> Column:
+        at = F.size(F.filter(starts, lambda s: s <= h["n"])) - 1
+        return F.struct(h["n"].alias("n"), h["title"].alias("title"), h["said"].alias("said"), *[F.get(v, at).alias(k) for k, v in known.items()])
 
-def says(c: Column, phrase: str, lower: Column | None = None) -> Column:
-    """Whether a text has a phrase. A plain search for one of its words comes first, as most texts have none and a search costs little of what the pattern does. lower: the text in lower case, if it is at hand."""
-    return F.contains(F.lower(c) if lower is None else lower, F.lit(longest_word(phrase))) & c.rlike(f"(?i){pattern(phrase)}")
+    return F.transform(told, complete)
 
 
-def _hits(title: Column, description: Column, phrases: list[str], lower: tuple[Column | None, Column | None]) -> tuple[Column, Column]:
-    """How many of the phrases the title has, and how many only the description has."""
-    zero = F.lit(0)
-    if not phrases:
-        return zero, zero
-    in_title = [says(title, p, lower[0]) for p in phrases]
-    add = lambda cs: reduce(Column.__add__, [c.cast("int") for c in cs])
-    return add(in_title), add([says(description, p, lower[1]) & ~t for t, p in zip(in_title, phrases, strict=True)])
+def _of(found: Column, category: str) -> Column:
+    """struct<category, score, strong, shown, topic, any> of one category's hits. Without a topic's phrase the score stays below what is accepted."""
+    own = F.filter(found, lambda h: h["category"] == category)
+    weight = lambda h: F.when(h["weak"], F.when(h["title"], WEAK_TITLE).otherwise(WEAK_TEXT)).otherwise(F.when(h["title"], TITLE).otherwise(TEXT))
+    total = F.aggregate(own, F.lit(0.0), lambda a, h: a + weight(h))
+    strong = F.filter(own, lambda h: ~h["weak"])
+    shown = F.slice(F.array_distinct(F.transform(own, lambda h: F.concat(h["topic"], F.lit(" ('"), h["said"], F.lit("')")))), 1, SHOWN)
+    score = F.when(F.size(strong) > 0, total).otherwise(F.least(total, F.lit(ACCEPT - 0.5)))
+    return F.struct(F.lit(category).alias("category"), score.alias("score"), shown.alias("shown"), F.coalesce(F.get(strong, F.lit(0))["topic"], F.lit("")).alias("topic"))
 
 
-def scores(title: Column, description: Column, path: str = DEFAULT, lower: tuple[Column | None, Column | None] = (None, None)) -> dict[str, Column]:
-    """By category its score; one without a real topic phrase stays below what is accepted."""
-    title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
-    out = {}
-    for category, (rows, weak) in load(path).items():
-        a, b = _hits(title, description, [p for _, p in rows], lower)
-        c, d = _hits(title, description, weak, lower)
-        total = a * TITLE + b * TEXT + c * WEAK_TITLE + d * WEAK_TEXT
-        out[category] = F.when(a + b > 0, total).otherwise(F.least(total, F.lit(ACCEPT - 0.5)))
-    return out
+def judged(found: Column, rejected: Column | None = None) -> Column:
+    """struct<category, reason, topic, scores> from hits and rejection, if any: Tax, Legal or Finance (ties in this order), Reject or Unclear, and why."""
+    none = F.lit("")
+    rejected = F.lit(None).cast("struct<kind: string, said: string>") if rejected is None else rejected
+    scores = F.array(*[_of(found, c) for c in fixed.CATEGORY_ORDER])
 
+    def tell(all_: Column) -> Column:
+        top = F.array_max(F.transform(all_, lambda x: x["score"]))
+        tied = F.filter(all_, lambda x: x["score"] == top)
+        first, others = F.get(tied, F.lit(0)), F.transform(F.slice(tied, 2, len(fixed.CATEGORY_ORDER)), lambda x: x["category"])
+        shown = F.array_join(first["shown"], "; ")
+        tie = F.when(F.size(others) > 0, F.concat(F.lit(fixed.ALSO_MATCHES), F.array_join(others, " and "), F.lit("; "), first["category"], F.lit(fixed.BY_ORDER))).otherwise(none)
+        said = lambda category, reason, topic: F.struct(category.alias("category"), reason.alias("reason"), topic.alias("topic"), F.transform(all_, lambda x: x["score"]).alias("scores"))
+        return (
+            F.when(rejected.isNotNull(), said(F.lit("Reject"), F.concat(rejected["kind"], F.lit(": '"), rejected["said"], F.lit(fixed.IN_THE_TEXT)), none))
+            .when(top == 0, said(F.lit("Unclear"), F.lit(fixed.NO_TOPIC), none))
+            .when(top < ACCEPT, said(F.lit("Unclear"), F.concat(F.lit(fixed.ONLY_GENERIC), shown, F.lit(fixed.NOT_ENOUGH)), none))
+            .otherwise(said(first["category"], F.concat(first["category"], F.lit(fixed.IN_OWN_TEXT), shown, tie), first["topic"]))
+        )
 
-def phrase_counts(c: Column, path: str = DEFAULT) -> Column:
-    """array<struct<category, n>>: how many of each category's phrases a text has."""
-    text = F.coalesce(c, F.lit(""))
-    count = lambda x, rows: reduce(Column.__add__, [says(x["t"], p, x["l"]).cast("int") for _, p in rows])
-    tell = lambda x: F.array(*[F.struct(F.lit(k).alias("category"), count(x, rows).alias("n")) for k, (rows, _) in load(path).items()])
-    return F.flatten(F.transform(F.array(F.struct(text.alias("t"), F.lower(text).alias("l"))), tell))
+    return F.get(F.transform(F.array(scores), tell), F.lit(0))
 
 
-def topics(title: Column, description: Column, category: str, path: str = DEFAULT, most: int = 4) -> Column:
-    """What a text says of a category: topic ('phrase as written') of the first few phrases that it has, those of the title and of the description in the taxonomy's order, generic words last."""
-    title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
-    rows, weak = load(path)[category]
-    shown = []
-    for topic, phrase in [*rows, *[("generic word", w) for w in weak]]:
-        found = F.coalesce(*[F.when(says(c, phrase), F.lower(F.trim(F.regexp_extract(c, f"(?i){pattern(phrase)}", 0)))) for c in (title, description)])
-        shown.append(F.when(found.isNotNull(), F.concat(F.lit(f"{topic} ('"), found, F.lit("')"))))
-    return F.slice(F.array_distinct(F.array_compact(F.array(*shown))), 1, most)
+def classify(title: Column, description: Column, rows: Sequence[Entry] | None = None) -> Column:
+    """struct<category, reason, topic, scores>."""
+    return judged(hits(title, description, rows), rejection(title, description))
 
 
-def category(title: Column, description: Column, path: str = DEFAULT) -> Column:
+def category(title: Column, description: Column, rows: Sequence[Entry] | None = None) -> Column:
     """Tax, Legal, Finance (ties in this order), Reject or Unclear."""
-    # bound once in lambdas: as plain expressions the lower case would be made anew for each phrase, and the scores worked out anew for each comparison
-    title, description = F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))
-    texts = F.struct(title.alias("t"), description.alias("d"), F.lower(title).alias("lt"), F.lower(description).alias("ld"))
-
-    def tell(x: Column) -> Column:
-        found = scores(x["t"], x["d"], path, (x["lt"], x["ld"]))
-        return F.struct(*[c.alias(k) for k, c in found.items()], rejection(x["t"], x["d"]).alias("rejection"))
+    return classify(title, description, rows)["category"]
 
-    def choose(x: Column) -> Column:
-        top = F.greatest(*[x[c] for c in fixed.CATEGORY_ORDER])
-        out = F.when(x["rejection"].isNotNull(), "Reject").when(top < ACCEPT, "Unclear")
-        for c in fixed.CATEGORY_ORDER:
-            out = out.when(x[c] == top, c)
-        return out
 
-    return F.element_at(F.transform(F.transform(F.array(texts), tell), choose), 1)
+def topics(title: Column, description: Column, category: str, rows: Sequence[Entry] | None = None) -> Column:
+    """What a text says of a category: topic ('phrase as written') of the first few phrases that it has, in the taxonomy's order, generic words last."""
+    return _of(hits(title, description, rows), category)["shown"]

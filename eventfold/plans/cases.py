@@ -56,12 +56,13 @@ def taxonomy_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 ADDED = ["", "a tax treaty and transfer pricing", "arbitration or data-privacy", "capital markets and banks", "taxonomy"]
 
 
+def _bounded(body: str) -> str:
+    """A phrase's pattern for an engine without looking around: what stands beside it is part of the match."""
+    return body.replace("(?<![A-Za-z0-9])", "(?:^|[^A-Za-z0-9])").replace("(?![A-Za-z0-9])", "(?:$|[^A-Za-z0-9])").replace("'", "''")
+
+
 def _topic_sql() -> str:
-    parts = []
-    for c, (rows, _) in taxonomy.load().items():
-        for i, (_, p) in enumerate(rows):
-            body = taxonomy.pattern(p).replace("(?<![A-Za-z0-9])", "(?:^|[^A-Za-z0-9])").replace("(?![A-Za-z0-9])", "(?:$|[^A-Za-z0-9])").replace("'", "''")
-            parts.append(f"('{c}', {i}, '(?i){body}')")
+    parts = [f"('{r.category}', {i}, '(?i){_bounded(taxonomy.pattern(r.phrase))}')" for i, r in enumerate(taxonomy.load()) if not r.weak]
     return (
         f"WITH p(category, i, rx) AS (VALUES {', '.join(parts)}), h AS (SELECT doc_id, category FROM documents, p WHERE regexp_matches(coalesce(text, '') || ' ' || [{', '.join(f"'{a}'" for a in ADDED)}][1 + doc_id % {len(ADDED)}], rx)) "
         "SELECT category, count(*) AS hits, count(DISTINCT doc_id) AS docs FROM h GROUP BY category"
@@ -72,8 +73,62 @@ def _topic_sql() -> str:
 def taxonomy_on_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases found in whole texts, by category."""
     docs = table(spark, sf_dir, "documents").withColumn("text", F.concat_ws(" ", F.coalesce("text", F.lit("")), pick(ADDED, "doc_id")))
-    hits = docs.select("doc_id", F.explode(taxonomy.phrase_counts(F.col("text"))).alias("h")).where("h.n > 0")
-    return hits.groupBy("h.category").agg(F.sum("h.n").cast("long").alias("hits"), F.countDistinct("doc_id").alias("docs"))
+    hits = docs.select("doc_id", F.explode(taxonomy.hits(F.lit(""), F.col("text"))).alias("h")).where("not h.weak").select("doc_id", "h.category")
+    by_doc = hits.groupBy("category", "doc_id").agg(F.count("*").alias("n"))
+    return by_doc.groupBy("category").agg(F.sum("n").cast("long").alias("hits"), F.count("*").alias("docs"))
+
+
+N_PHRASES, LONGEST = 600, 4
+
+
+def benchmark_taxonomy(spark: SparkSession, sf_dir: str) -> tuple[taxonomy.Entry, ...]:
+    """Some 600 phrases of the benchmark's plain words: of item i the topic "Item i" of category i mod 3, phrases of 1 to LONGEST words that begin at its words in turn; every tenth is a weak word. The items are the stated part
+    of the query, few and short; the texts are all documents."""
+    items = table(spark, sf_dir, "benchmark").where("text is not null").orderBy("item_id").select("item_id", F.expr("filter(split(lower(text), '[^a-z]+'), x -> length(x) > 2)").alias("words"))
+    own = [(r["item_id"], r["words"]) for r in items.limit(N_PHRASES).collect()]
+    each = -(-N_PHRASES // max(len(own), 1))
+    raw: dict = {c: {"topics": {}, "weak": []} for c in ("Tax", "Legal", "Finance")}
+    k = 0
+    for i, words in own:
+        block = raw[("Tax", "Legal", "Finance")[i % 3]]
+        for n in range(min(each, max(len(words) - LONGEST, 0))):
+            if k % 10 == 9:
+                block["weak"].append(" ".join(words[n : n + 2]))
+            else:
+                block["topics"].setdefault(f"Item {i}", []).append(" ".join(words[n : n + 1 + k % LONGEST]))
+            k += 1
+    return taxonomy.entries(raw)
+
+
+#: The same phrases, each looked for in each document by its own pattern.
+REASONS_SQL = f"""WITH items AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: len(x) > 2) AS ws FROM benchmark WHERE text IS NOT NULL ORDER BY item_id LIMIT {N_PHRASES}),
+  e AS (SELECT item_id, ws, unnest(range(0, greatest(least(CAST(ceil({N_PHRASES} / (SELECT count(*) FROM items)) AS BIGINT), len(ws) - {LONGEST}), 0))) AS n FROM items),
+  k AS (SELECT *, row_number() OVER (ORDER BY item_id, n) - 1 AS k FROM e),
+  ph AS (SELECT k, item_id, k % 10 = 9 AS weak, array_to_string(ws[n + 1:n + CASE WHEN k % 10 = 9 THEN 2 ELSE 1 + k % {LONGEST} END], ' ') AS phrase FROM k),
+  own AS (SELECT item_id AS item, weak, 'Item ' || item_id AS topic, phrase, min(k) AS k FROM ph WHERE NOT weak GROUP BY item_id, weak, phrase UNION ALL SELECT item_id, true, 'generic word', phrase, k FROM ph WHERE weak
+    UNION ALL SELECT item_id, false, 'Item ' || item_id, 'item ' || item_id, -1 FROM ph WHERE NOT weak GROUP BY item_id),
+  p AS (SELECT *, item % 3 AS c, row_number() OVER (ORDER BY item % 3, weak, CASE WHEN weak THEN 0 ELSE item END, k) AS nth, '(?i)(?:^|[^A-Za-z0-9])(' || replace(regexp_replace(phrase, '\\band\\b', '(?:&|and)', 'g'), ' ', '[\\s\\-]+') || '(?:s|es)?)(?:$|[^A-Za-z0-9])' AS rx FROM own),
+  d AS (SELECT doc_id, split_part(coalesce(text, ''), '.', 1) AS title, coalesce(text, '') AS body FROM documents),
+  x AS (SELECT doc_id, c, weak, topic, nth, regexp_extract(title, rx, 1) AS t, regexp_extract(body, rx, 1) AS b FROM d, p
+    WHERE contains(lower(body), CASE WHEN phrase LIKE 'and %' THEN split_part(phrase, ' ', 2) WHEN phrase = 'and' THEN '' ELSE split_part(phrase, ' ', 1) END)),
+  h AS (SELECT doc_id, c, weak, topic, nth, t <> '' AS in_title, lower(trim(CASE WHEN t <> '' THEN t ELSE b END)) AS said FROM x WHERE t <> '' OR b <> ''),
+  s AS (SELECT doc_id, c, sum(CASE WHEN weak AND in_title THEN 1.0 WHEN weak THEN 0.5 WHEN in_title THEN 3.0 ELSE 1.0 END) AS total, bool_or(NOT weak) AS strong, arg_min(topic, nth) FILTER (NOT weak) AS topic FROM h GROUP BY 1, 2),
+  u AS (SELECT doc_id, c, topic || ' (''' || said || ''')' AS told, min(nth) AS nth FROM h GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY doc_id, c ORDER BY min(nth)) <= 4),
+  g AS (SELECT doc_id, c, string_agg(told, '; ' ORDER BY nth) AS shown FROM u GROUP BY 1, 2),
+  z AS (SELECT doc_id, c, CASE WHEN strong THEN total ELSE least(total, 2.5) END AS score, topic, shown, ['Tax', 'Legal', 'Finance'][c + 1] AS name FROM s JOIN g USING (doc_id, c)),
+  t AS (SELECT doc_id, max(score) AS top FROM z GROUP BY 1),
+  b AS (SELECT z.doc_id, top, arg_min(name, c) AS name, arg_min(topic, c) AS topic, arg_min(shown, c) AS shown, string_agg(name, ' and ' ORDER BY c) AS tied, count(*) AS n FROM z JOIN t ON z.doc_id = t.doc_id AND z.score = t.top GROUP BY 1, 2)
+SELECT d.doc_id, CASE WHEN coalesce(top, 0) < 3 THEN 'Unclear' ELSE name END AS category, CASE WHEN coalesce(top, 0) < 3 THEN '' ELSE topic END AS topic,
+  CASE WHEN coalesce(top, 0) = 0 THEN 'no Tax, Finance or Legal topic found in the event''s title or description' WHEN top < 3 THEN 'only a generic word or a single passing mention (' || shown || ') -- not enough to accept on rules alone'
+  ELSE name || ' topic in the event''s own text: ' || shown || CASE WHEN n > 1 THEN ' (also matches ' || substr(tied, len(name) + 6) || '; ' || name || ' chosen by fixed order)' ELSE '' END END AS reason FROM d LEFT JOIN b USING (doc_id)"""
+
+
+@query(REASONS_SQL)
+def taxonomy_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category, topic and reason of all documents by 600 phrases; their first sentence is the title."""
+    body = F.coalesce("text", F.lit(""))
+    told = taxonomy.judged(taxonomy.hits(F.substring_index(body, ".", 1), body, benchmark_taxonomy(spark, sf_dir)))
+    return table(spark, sf_dir, "documents").select("doc_id", told.alias("x")).select("doc_id", "x.category", "x.topic", "x.reason")
 
 
 PLACES = [
