@@ -9,7 +9,7 @@ have seen too, exclusion needs two numbers of a node: the bytes it has seen, and
 
 Counting: a run of texts is counted within a task, then by (word, code) over all tasks; words are counted in the same pass.
 Shards: a code is dealt by a hash of the three bytes before its last, which it shares with all its suffixes of four bytes and more. Codes of up to three bytes, 2**24 at most, are summed and broadcast.
-Scoring: documents go in blocks of bounded bytes. A block asks each shard for its distinct codes, and shards of words, dealt by checksum, for its distinct words; questions of a shard go in salted groups
+Scoring: documents go in blocks of bounded bytes. A block asks each shard for its distinct codes, and shards of words, dealt by checksum, for its distinct words, by whose places in the answers its texts are kept as well; questions of a shard go in salted groups
 of a bounded number, and the answers (32-bit floats, whole counts) meet the block's texts. One exchange holds texts and questions for both uses. The model is sent once for each salt.
 
 Defined results: a null or empty text, or one of white space, is an end alone; a null id isn't learned from and is held out; rows that repeat an id are scored one by one; further columns are ignored;
@@ -57,17 +57,36 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def codes(line: bytes, order: int = ORDER) -> np.ndarray:
-    """For each byte of a line and its end: that byte, and the order bytes before it above."""
-    a = np.frombuffer(END * order + line + END, np.uint8).astype(np.int64)
+def codes(lines: list[bytes], order: int = ORDER) -> np.ndarray:
+    """For each byte of each line and for its end: that byte, and the order bytes before it above. A line of n bytes gives n + 1 codes."""
+    a = np.frombuffer(END * order + (END * order).join(lines) + END, np.uint8).astype(np.int64)
     n = len(a) - order
     out = a[:n].copy()
     for i in range(1, order + 1):
         out <<= 8
         out |= a[i : i + n]
+    if len(lines) > 1 and order > 1:  # between two lines all but one of the ends only stand before the second
+        ends = np.cumsum([len(x) + order for x in lines[:-1]]) - order
+        keep = np.ones(n, bool)
+        keep[(ends[:, None] + np.arange(1, order)).ravel()] = False
+        out = out[keep]
     return out
 
 
+def distinct(code: np.ndarray) -> np.ndarray:
+    """Distinct codes in order."""
+    code = np.sort(code)
+    return code[np.diff(code, prepend=-1) != 0]
+
+
+def merged(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order and their sums of n."""
+    at, own = pd.factorize(code)
+    sums = np.bincount(at, n, len(own)).astype(np.int64)
+    order = np.argsort(own)
+    return own[order], sums[order]
+
+
 @dataclass
 class Level:
     """The contexts of one length: the codes below them and their counts; of each context the sum, the number of codes, and its suffix's sum over the same bytes."""
@@ -80,11 +99,17 @@ class Level:
     covered: np.ndarray
 
 
-def _pick(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where wanted keys stand among sorted ones, and whether they do."""
     if not len(keys):
-        return np.zeros(len(wanted), np.int64)
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0)
+    return at, keys[at] == wanted
+
+
+def _pick(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at, known = _find(keys, wanted)
+    return np.where(known, values[at], 0) if len(keys) else np.zeros(len(wanted), np.int64)
 
 
 def shorter(code: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,22 +133,18 @@ def levels(code: np.ndarray, n: np.ndarray, longest: int, least: int, base: tupl
 
 def log10_of(found: list[Level], wanted: np.ndarray) -> np.ndarray:
     """Log10 of the probability of each wanted code's last byte after the bytes before. found: contexts of all lengths, longest first; the last is the empty one."""
-    out, open_ = np.zeros(len(wanted)), np.ones(len(wanted), bool)
+    out, left = np.zeros(len(wanted)), np.arange(len(wanted))  # what hasn't been predicted yet
     less, fewer = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        for i, level in enumerate(found):
-            size = len(found) - i
-            own = wanted & ((1 << 8 * size) - 1)
-            context = own >> 8
-            total, kinds, n = _pick(level.context, level.total, context), _pick(level.context, level.kinds, context), _pick(level.code, level.n, own)
-            t, d = total - less, kinds - fewer
-            hit, escape = open_ & (n > 0), open_ & (n == 0) & (d > 0)
-            out[hit] += np.log10((2 * n[hit] - 1) / (2 * t[hit]))
-            out[escape] += np.log10(d[escape] / (2 * t[escape]))
-            open_ &= n == 0
-            less, fewer = _pick(level.context, level.covered, context), kinds
-        left = SYMBOLS - len(found[-1].code)
-    out[open_] -= math.log10(max(left, 1))
+    for i, level in enumerate(found):
+        own = wanted[left] & ((1 << 8 * (len(found) - i)) - 1)
+        n = _pick(level.code, level.n, own)
+        at, seen = _find(level.context, own >> 8)
+        total, kinds, covered = (np.where(seen, x[at], 0) if len(x) else np.zeros(len(own), np.int64) for x in (level.total, level.kinds, level.covered))
+        hit, escape = n > 0, (n == 0) & (kinds > fewer)
+        out[left[hit]] += np.log10((2 * n[hit] - 1) / (2 * (total - less)[hit]))
+        out[left[escape]] += np.log10((kinds - fewer)[escape] / (2 * (total - less)[escape]))
+        left, less, fewer = left[~hit], covered[~hit], kinds[~hit]
+    out[left] -= math.log10(max(SYMBOLS - len(found[-1].code), 1))
     return out
 
 
@@ -151,16 +172,16 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER) -> Mod
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.sole("counts", object)  # what other operators keep in this worker goes
-        held: list[np.ndarray] = []
+        held: list[bytes] = []
         code, n, size, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, Counter()
 
         def merge() -> None:
             nonlocal code, n, size
-            new, m = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+            if held:
+                new, m = np.unique(codes(held, order), return_counts=True)
+                code, n = merged(np.concatenate([code, new]), np.concatenate([n, m]))
             held.clear()
             size = 0
-            code, at = np.unique(np.concatenate([code, new]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([n, m]), len(code)).astype(np.int64)
 
         def give() -> Iterator[pa.RecordBatch]:
             nonlocal code, n
@@ -175,8 +196,8 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER) -> Mod
                 own = tokens(text)
                 seen.update(own)
                 seen[END] += 1  # no word
-                held.append(codes(b" ".join(own), order))
-                size += len(held[-1])
+                held.append(b" ".join(own))
+                size += len(held[-1]) + order
                 if size > RUN_CODES:
                     merge()
                     if len(code) + 4 * len(seen) > RUN_CODES:
@@ -223,16 +244,19 @@ TEXT = -1  #: the shard of rows that hold a block's documents
 BLOCKS = "shard int, block long, data binary"
 
 
-def _asked(lines: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    each = [codes(x, order) for x in lines]
-    return np.unique(np.concatenate(each)), each
-
-
-def _by_shard(own: list[bytes], n_shards: int) -> tuple[list[bytes], np.ndarray]:
-    """Distinct words by checksum's shard, then as they come, and where each shard ends."""
+def _by_shard(own: list[bytes], n_shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of distinct words by checksum's shard, then as they come, and where each shard ends."""
     shard = np.fromiter(map(zlib.crc32, own), np.int64, len(own)) % n_shards
     order = np.argsort(shard, kind="stable")
-    return [own[i] for i in order.tolist()], np.searchsorted(shard[order], np.arange(n_shards + 1))
+    return order, np.searchsorted(shard[order], np.arange(n_shards + 1))
+
+
+def _numbered(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
+    """The different words of texts as they come, and the number of each; -1 after each text."""
+    numbers = words._Numbers()
+    each = [np.fromiter(map(numbers.__getitem__, x), np.int32, len(x)) for x in texts]
+    end = np.array([-1], np.int32)
+    return numbers.new, np.concatenate([y for x in each for y in (x, end)])
 
 
 def blocks(docs: DataFrame, n_grams: int, n_words: int, order: int) -> DataFrame:
@@ -240,24 +264,31 @@ def blocks(docs: DataFrame, n_grams: int, n_words: int, order: int) -> DataFrame
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.sole("blocks", object)
-        made, rows, size = TaskContext.get().partitionId() << 32, [], 0
+        made, rows, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
 
         def close() -> pa.RecordBatch:
-            nonlocal made, rows, size
-            asked, _ = _asked([r[1] for r in rows], order)
+            nonlocal made, rows, texts, size
+            lines = [b" ".join(x) for x in texts]
+            own, number = _numbered(texts)
+            texts = []
+            at, ends = _by_shard(own, n_words)
+            place = np.empty(len(own) + 1, np.int32)
+            place[at], place[-1] = np.arange(len(own)), -1
+            held = pickle.dumps((rows, lines, place[number].tobytes()), 5)
+            out = [(n_grams + s, _squeeze(b"\n".join([own[i] for i in at[ends[s] : ends[s + 1]].tolist()]))) for s in range(n_words) if ends[s] < ends[s + 1]]
+            asked = distinct(codes(lines, order))
             shard = gram_shard(asked, n_grams)
             at = np.argsort(shard, kind="stable")
             ends = np.searchsorted(shard[at], np.arange(n_grams + 1))
-            out = [(TEXT, _squeeze(pickle.dumps(rows, 5)))] + [(s, pack(asked[at[ends[s] : ends[s + 1]]])) for s in range(n_grams) if ends[s] < ends[s + 1]]
-            own, ends = _by_shard(list(dict.fromkeys(w for r in rows for w in r[1].split())), n_words)
-            out += [(n_grams + s, _squeeze(b"\n".join(own[ends[s] : ends[s + 1]]))) for s in range(n_words) if ends[s] < ends[s + 1]]
+            out += [(TEXT, zstandard.compress(held, 1))] + [(s, pack(asked[at[ends[s] : ends[s + 1]]])) for s in range(n_grams) if ends[s] < ends[s + 1]]
             batch = pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([made] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["shard", "block", "data"])
             made, rows, size = made + 1, [], 0
             return batch
 
         for batch in batches:
             for key, held, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")], strict=True):
-                rows.append((key, b" ".join(tokens(text)), held))
+                rows.append((key, held))
+                texts.append(tokens(text))
                 size += len(text) + 100
                 if size >= BLOCK_BYTES or len(rows) == BLOCK_DOCS:
                     yield close()
@@ -300,22 +331,23 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         return pd.DataFrame(out, columns=["shard", "block", "data"])
 
     def total(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        rows = pickle.loads(zstandard.decompress(texts["data"].iloc[0]))
+        rows, lines, number = pickle.loads(zstandard.decompress(texts["data"].iloc[0]))
         answers = answers.sort_values("shard")
-        grams, counted = ([zstandard.decompress(x) for x in answers.loc[which, "data"]] for which in (answers["shard"] < n_grams, answers["shard"] >= n_grams))
-        asked, each = _asked([r[1] for r in rows], order)
+        grams, known = ([zstandard.decompress(x) for x in answers.loc[which, "data"]] for which in (answers["shard"] < n_grams, answers["shard"] >= n_grams))
+        starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+        at, asked = pd.factorize(codes(lines, order))
+        del lines
+        rank = np.argsort(asked)
         logs = np.empty(len(asked))
-        logs[np.argsort(gram_shard(asked, n_grams), kind="stable")] = np.frombuffer(b"".join(grams), "<f4")  # as many as were asked for, or this fails
-        scores = [float(logs[np.searchsorted(asked, x)].sum()) for x in each]
-        own, _ = _by_shard(list(dict.fromkeys(w for r in rows for w in r[1].split())), n_words)
-        seen = dict(zip(own, np.frombuffer(b"".join(counted), "<i8").tolist(), strict=True))
-        seen[END] = n_texts
-        log = {w: math.log10((c + SMOOTH) / floor) for w, c in seen.items()}
-        out = []
-        for (doc, line, held), s in zip(rows, scores, strict=True):
-            text = [*line.split(), END]
-            out.append((doc, held, len(text), sum(seen[w] > 0 for w in text), n_tokens, math.fsum(map(log.__getitem__, text)), s))
-        return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]).astype({"doc_id": "Int64"})
+        logs[rank[np.argsort(gram_shard(asked[rank], n_grams), kind="stable")]] = np.frombuffer(b"".join(grams), "<f4")  # as many as were asked for, or this fails
+        scores = np.add.reduceat(logs[at], starts)
+        number = np.frombuffer(number, np.int32)
+        seen = np.append(np.frombuffer(b"".join(known), "<i8"), n_texts)  # the end is the last
+        ends = np.flatnonzero(number < 0)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        log = np.array([math.log10(c + SMOOTH) for c in seen.tolist()]) - math.log10(floor)
+        columns = {"n_tokens": np.diff(ends, prepend=-1), "n_known": np.add.reduceat((seen > 0)[number].astype(np.int64), starts), "train_tokens": n_tokens, "base_score": np.add.reduceat(log[number], starts), "score": scores}
+        return pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"), "held_out": [r[1] for r in rows]} | columns)
 
     is_code = F.col("code").isNotNull()
     shard = F.when(is_code, gram_shard_column(n_grams)).otherwise((n_grams + F.crc32("word") % n_words).cast("int"))
