@@ -27,6 +27,8 @@ RELEVANCE_KEYWORDS = (
     "tax", "finance", "financial", "legal", "law", "accounting", "audit", "bank", "securities", "insurance", "compliance", "insolvency",
     "actuari", "corporate governance", "cpa", "estate planning", "wealth management",
 )
+BLOCKED = "blocked by the site"
+BLOCK_LENGTH = 3000
 BLOCK_MARKERS = ("403 forbidden", "access denied", "unexpected error", "are you a human", "attention required", "just a moment")
 MORE_PAGES = (
     r"rel=[\"']next[\"']|load\s+more|show\s+more|view\s+more|more\s+events|older\s+events|next\s+page|[?&]e?page=\d|/page/\d"

@@ -85,8 +85,8 @@ def visible_length(html: Column) -> Column:
 
 def js_shell(html: Column) -> Column:
     """A page that shows next to nothing until scripts have run."""
-    n = visible_length(html)
-    return (n < 400) | (html.rlike(r"(?i)(enable|requires) javascript") & (n < 1500))
+    shell = lambda n: (n < 400) | (html.rlike(r"(?i)(enable|requires) javascript") & (n < 1500))
+    return F.get(F.transform(F.array(visible_length(html)), shell), F.lit(0))  # bound, so that the length is worked out once
 
 
 def more_pages(html: Column) -> Column:
@@ -94,7 +94,7 @@ def more_pages(html: Column) -> Column:
 
 
 def blocked(html: Column) -> Column:
-    return (F.length(html) <= 3000) & F.lower(html).rlike("|".join(fixed.BLOCK_MARKERS))
+    return (F.length(html) <= fixed.BLOCK_LENGTH) & F.lower(html).rlike("|".join(fixed.BLOCK_MARKERS))
 
 
 def like_listing(html: Column) -> Column:

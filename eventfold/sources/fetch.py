@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from . import shared
+from . import pages, shared
 
 RESULT = "url string, html string, status int, error string"
 FINAL = (404, 410)
 
 
 def many(urls: DataFrame, fetch: Callable[[str], dict], *, url_col: str = "url", pause: float = 0.3, partitions: int | None = None) -> DataFrame:
-    """url, html, status, error of each distinct url. fetch gives a dict of html, status and error; what it raises becomes the error."""
+    """url, html, status, error of each distinct url. fetch gives a dict of html (or content and charset), status and error; what it raises becomes the error, and so does a page that turns robots away."""
     n = partitions or int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = urls.select(F.col(url_col).alias("url")).where(text.blank(F.col("url")) != "").dropDuplicates(["url"]).withColumn("host", text.host(F.col("url")))
 
@@ -29,13 +29,8 @@ def many(urls: DataFrame, fetch: Callable[[str], dict], *, url_col: str = "url",
                 if host == last and pause:
                     time.sleep(pause)
                 last = host
-                try:
-                    got = fetch(url)
-                except Exception as e:  # the page's own failure, kept as data
-                    got = {"error": f"{type(e).__name__}: {e}"[:120]}
-                status = got.get("status")
-                error = got.get("error") or (f"HTTP {status}" if status and status >= 400 else None)
-                out.append((url, None if error else got.get("html"), status, error))
+                got = pages.answer(fetch, url)
+                out.append((url, got["html"], got["status"], got["error"]))
             yield pd.DataFrame(out, columns=["url", "html", "status", "error"])
 
     return rows.repartition(n, "host").sortWithinPartitions("host", "url").mapInPandas(run, RESULT)
