@@ -54,6 +54,12 @@ class Node:
         """What can be read, in one line."""
         return " ".join(" ".join(self.strings()).split())
 
+    def ancestors(self) -> Iterator[Node]:
+        n = self.parent
+        while n is not None:
+            yield n
+            n = n.parent
+
     def above(self, *tags: str) -> Node | None:
         n = self.parent
         while n is not None and n.tag not in tags:
@@ -109,10 +115,30 @@ def parse(html: str | None) -> Node:
 CHROME = re.compile(r"cookiebot|cybot|onetrust|cookie-consent|cookie-banner|gdpr|userway|accessibility-widget", re.I)
 
 
+SILENT = ("script", "style", "nav", "footer", "iframe", "noscript")
+
+
+def without_tags(root: Node, *more: str) -> Node:
+    """The page without scripts and navigation."""
+    gone = {*SILENT, *more}
+    return root.without(lambda n: n.tag in gone)
+
+
 def bare(root: Node, *more: str) -> Node:
     """The page without scripts, navigation and consent boxes."""
-    gone = {"script", "style", "nav", "footer", "iframe", "noscript", *more}
-    return root.without(lambda n: n.tag in gone or bool(CHROME.search(n.attrs.get("id", "") + " " + n.attrs.get("class", ""))))
+    return without_tags(root, *more).without(lambda n: bool(CHROME.search(n.attrs.get("id", "") + " " + n.attrs.get("class", ""))))
+
+
+def holders(root: Node, tags: tuple[str, ...]) -> set[int]:
+    """The ids of elements that have one of the tags below them."""
+    out: set[int] = set()
+    for n in root.walk():
+        if n.tag in tags:
+            for up in n.ancestors():
+                if id(up) in out:
+                    break
+                out.add(id(up))
+    return out
 
 
 def main(root: Node) -> Node:

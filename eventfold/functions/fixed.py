@@ -40,9 +40,10 @@ EVENTS_LINK = (
 )
 
 US_STATES = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA"
-    " WA WV WI WY DC"
-).split()
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO",
+    "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+    "DC",
+)
 COUNTRY_WORDS = {
     "USA": ("usa", "united states"),
     "UK": ("united kingdom", "uk", "london"),
@@ -141,3 +142,26 @@ MESSAGES = {
 
 # How far the surroundings of a date may reach.
 CLIMB, MOST_LINKS, MOST_HEADINGS = 5, 3, 2
+
+#: The words of a format; the first that a text has decides.
+MODE_WORDS = {
+    "Hybrid": r"hybrid",
+    "Virtual": r"\b(online|virtual|webinar|zoom|teams|webex|livestream)\b",
+    "In Person": r"\b(in[\s-]?person|physical|on[\s-]?site|offline)\b",
+}
+#: The same for what a card or a page shows as running text.
+TEXT_MODE_WORDS = {"Virtual": r"\b(virtual|online|webinar|zoom|livestream|web conference)\b", "In Person": r"\b(in[\s-]?person|on[\s-]?site)\b"}
+#: The last part of schema.org's attendance modes.
+ATTENDANCE_MODES = {"mixed": "Hybrid", "online": "Virtual", "offline": "In Person"}
+PLACE_IN_TEXT = r"\b[A-Z][a-zA-Z.]+(?:\s[A-Z][a-zA-Z.]+)*,\s*[A-Z]{2}\b"
+
+_MONTH = "(?:" + "|".join(MONTH_NAMES) + ")"
+_DAY = r"\d{1,2}(?:st|nd|rd|th)?"
+FULL_DATE_IN_TEXT = rf"(?:{_DAY}\s*(?:[-–—]|to)\s*)?{_DAY}\s+{_MONTH}\.?,?\s+20\d\d|{_MONTH}\.?\s+{_DAY}(?:\s*[-–—]\s*{_DAY})?,?\s+20\d\d|20\d\d-\d\d-\d\d"
+CARD_DATES = (
+    rf"(?i)\b{_MONTH}\.?\s+\d{{1,2}}(?:\s*[-–—]\s*(?:{_MONTH}\.?\s+)?\d{{1,2}})?(?:,?\s*\d{{4}})?\b",
+    r"\b\d{1,2}/\d{1,2}/\d{2,4}\b",
+    rf"(?i)\b\d{{1,2}}\s+{_MONTH}\.?(?:,?\s*\d{{4}})?\b",
+)
+BEFORE_A_DATE = 24
+LEAST_CARD, MOST_CARD, MOST_SIBLINGS, LEAST_RATE, LONGEST_TAG = 15, 5000, 300, 0.3, 20

@@ -69,11 +69,11 @@ def hits(title: Column, description: Column, rows: Sequence[Entry] | None = None
     """array<struct<n, title, said, category, topic, weak>> in the taxonomy's order: the phrases that the title has, and those that only the description has."""
     rows = load() if rows is None else tuple(rows)
     told = phrases.found(title, description, tuple(r.phrase for r in rows))
-    part = lambda values: F.array(*map(F.lit, values)) if rows else F.array().cast("array<string>")
+    part = lambda values, kind: F.array(*map(F.lit, values)).cast(f"array<{kind}>")
     # a category's entries stand together, so where it begins tells it; topics and weak words likewise
     edges = [i for i, r in enumerate(rows) if not i or (r.category, r.topic, r.weak) != (rows[i - 1].category, rows[i - 1].topic, rows[i - 1].weak)]
-    known = {k: part([getattr(rows[i], k) for i in edges]) for k in ("category", "topic", "weak")}
-    starts = F.array(*[F.lit(i) for i in edges]) if edges else F.array().cast("array<int>")
+    known = {k: part([getattr(rows[i], k) for i in edges], kind) for k, kind in (("category", "string"), ("topic", "string"), ("weak", "boolean"))}
+    starts = part(edges, "int")
 
     def complete(h: Column) -> Column:
         at = F.size(F.filter(starts, lambda s: s <= h["n"])) - 1

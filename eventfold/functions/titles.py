@@ -46,28 +46,27 @@ def resolved_country(location: Column, source_country: Column) -> Column:
     return F.coalesce(country_of(location), source_country)
 
 
+def _by_words(t: Column, words: dict[str, str]) -> Column:
+    """The first form of which a text has a word, else nothing."""
+    return F.coalesce(*[F.when(t.rlike(p), F.lit(form)) for form, p in words.items()], F.lit(""))
+
+
 def mode_from_text(c: Column) -> Column:
-    t = F.lower(F.coalesce(c, F.lit("")))
-    return (
-        F.when(t.contains("hybrid"), "Hybrid")
-        .when(t.rlike(r"\b(online|virtual|webinar|zoom|teams|webex|livestream)\b"), "Virtual")
-        .when(t.rlike(r"\b(in[\s-]?person|physical|on[\s-]?site|offline)\b"), "In Person")
-        .otherwise("")
-    )
+    return _by_words(F.lower(F.coalesce(c, F.lit(""))), fixed.MODE_WORDS)
 
 
 def format_from_text(c: Column) -> Column:
-    t = F.lower(F.coalesce(c, F.lit("")))
-    return F.when(t.rlike(r"\b(virtual|online|webinar|zoom|livestream|web conference)\b"), "Virtual").when(t.rlike(r"\b(in[\s-]?person|on[\s-]?site)\b"), "In Person").otherwise("")
+    return _by_words(F.lower(F.coalesce(c, F.lit(""))), fixed.TEXT_MODE_WORDS)
 
 
 def format_from_mode(uri: Column, virtual_location: Column) -> Column:
     last = F.lower(F.element_at(F.split(F.coalesce(uri, F.lit("")), "/"), -1))
-    return F.when(last.contains("mixed"), "Hybrid").when(last.contains("online"), "Virtual").when(last.contains("offline"), "In Person").when(virtual_location, "Virtual").otherwise("")
+    told = F.coalesce(*[F.when(last.contains(part), F.lit(form)) for part, form in fixed.ATTENDANCE_MODES.items()])
+    return F.coalesce(told, F.when(virtual_location, F.lit("Virtual")), F.lit(""))
 
 
 def location_in_text(c: Column) -> Column:
-    return F.regexp_extract(c, r"\b[A-Z][a-zA-Z.]+(?:\s[A-Z][a-zA-Z.]+)*,\s*[A-Z]{2}\b", 0)
+    return F.regexp_extract(c, fixed.PLACE_IN_TEXT, 0)
 
 
 def missing_info(reason: Column) -> Column:
