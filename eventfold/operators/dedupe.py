@@ -33,7 +33,7 @@ def suffix_ids(df: DataFrame, id_col: str, order: Sequence[str], within: Sequenc
     """The second row of an id gets ~2 after it, the third ~3; a suffix that an id of its own has already is passed over."""
     w = Window.partitionBy(*within, id_col).orderBy(*order)
     nth = F.row_number().over(w)
-    taken = df.where(F.col(id_col).rlike(r"~\d+$")).groupBy(*within, F.regexp_replace(id_col, r"~\d+$", "").alias("_base")).agg(F.collect_set(F.regexp_extract(id_col, r"~(\d+)$", 1).cast("int")).alias("_taken"))
+    taken = df.where(F.col(id_col).rlike(r"~\d+$")).groupBy(*within, F.regexp_replace(id_col, r"~\d+$", "").alias("_base")).agg(F.collect_set(F.regexp_extract(id_col, r"~(\d+)$", 1).try_cast("int")).alias("_taken"))
     named = df.withColumn("_n", nth)
     on = [*within]
     joined = named.withColumn("_base", F.col(id_col)).join(taken, [*on, "_base"], "left")

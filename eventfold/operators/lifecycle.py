@@ -91,9 +91,9 @@ def counters(decided: DataFrame, aged: DataFrame) -> DataFrame:
     return decided.select("action").unionByName(moved).groupBy("action").agg(F.count("*").alias("n"))
 
 
-def save(rows: DataFrame, log: DataFrame, path: str, keep: int = 2) -> int:
-    """A new version of the master below path, a folder for each bucket, rows in order of country and day; the version before stays as a backup. The run's log is kept under the same number."""
-    n = max(snapshots.versions(rows.sparkSession, f"{path}/master"), default=-1) + 1
+def save(rows: DataFrame, log: DataFrame, path: str, keep: int = 2, version: int | None = None) -> int:
+    """A new version of the master below path (the next, or the one that is named), a folder for each bucket, rows in order of country and day; the version before stays as a backup. The run's log is kept under the same number."""
+    n = max(snapshots.versions(rows.sparkSession, f"{path}/master"), default=-1) + 1 if version is None else version
     log.write.mode("overwrite").parquet(f"{path}/log/v={n}")
     by = ["bucket", "country", F.col("_day").asc_nulls_last(), "event_id"]  # ranges of all four, so a country that holds most rows still spreads
     ordered = rows.withColumn("_day", dates.from_display(F.col("date"))).repartitionByRange(*by).sortWithinPartitions(*by).drop("_day")

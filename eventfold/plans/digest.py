@@ -16,7 +16,9 @@ def lines(countries: DataFrame, columns: dict[str, str], failed: DataFrame | Non
     out: list[str] = []
     bad: dict[str, list[str]] = {}
     if failed is not None:
-        for r in failed.select("country", "organizer").orderBy("country", "organizer").toLocalIterator():
+        nth = F.row_number().over(Window.partitionBy("country").orderBy("organizer"))
+        many = {r["country"]: r["n"] for r in failed.groupBy("country").agg(F.count("*").alias("n")).collect()}  # a number for each country
+        for r in failed.select("country", "organizer", nth.alias("nth")).where(F.col("nth") <= top).orderBy("country", "nth").toLocalIterator():
             bad.setdefault(r["country"], []).append(r["organizer"])
     for r in countries.orderBy("country").toLocalIterator():
         out += ["", f"--- {r['country']} ---"]
@@ -26,8 +28,8 @@ def lines(countries: DataFrame, columns: dict[str, str], failed: DataFrame | Non
         out += [f"  {label}: {r[c]}" for c, label in columns.items()]
         sites = bad.get(r["country"], [])
         if sites:
-            out.append(f"  Sites that did not load ({len(sites)}):")
-            out += [f"    - {s}" for s in sites[:top]]
+            out.append(f"  Sites that did not load ({many[r['country']]}):")
+            out += [f"    - {s}" for s in sites]
     return out
 
 

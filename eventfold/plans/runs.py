@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import extract
-from ..operators import report
-from . import jobs, tables
+from ..functions import dates, extract
+from ..operators import lifecycle, report
+from ..sources import shared
+from . import jobs, tables, weekly
 from .registry import query, table
 
 TODAY, LATER = dt.date(1998, 1, 1), dt.date(1998, 6, 1)
@@ -116,3 +118,50 @@ def master_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def healthy_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = lambda name, key, nation, every: table(spark, sf_dir, name).select(_text("n", F.col(nation)).alias("source_url"), F.when(F.col(key) % every == 0, "ok").otherwise("empty").alias("status"))
     return report.healthy(run("customer", "c_custkey", "c_nationkey", 50), run("supplier", "s_suppkey", "s_nationkey", 7))
+
+
+#: Customers as events of five countries, in two weekly runs: what each is after the second, by its own two records alone. The gathering of country 3 fails in the second run, the site of country 4 is empty then.
+_WEEKS = """WITH c AS (SELECT c_custkey AS k, c_nationkey % 5 AS n, DATE '2026-09-01' + CAST(c_custkey % 40 AS INTEGER) AS day FROM customer),
+  a AS (SELECT *, CASE WHEN k % 5 = 1 THEN 'review' WHEN k % 23 = 2 THEN 'rejected' WHEN day < DATE '2026-09-05' THEN 'past' ELSE 'verified' END AS first FROM c),
+  b AS (SELECT *, n <> 3 AND n <> 4 AND k % 3 <> 0 AS seen, k % 7 = 0 AS moved FROM a),
+  r AS (SELECT *, CASE WHEN first = 'past' AND NOT seen THEN 'past' WHEN first = 'rejected' AND NOT seen THEN 'rejected'
+      WHEN first = 'review' THEN CASE WHEN NOT seen THEN 'review' WHEN k % 11 = 4 THEN 'rejected' WHEN day < DATE '2026-09-22' THEN 'past' ELSE 'verified' END
+      WHEN seen AND k % 11 = 4 THEN 'rejected' WHEN first IN ('past', 'rejected') THEN CASE WHEN day < DATE '2026-09-22' THEN 'past' ELSE 'verified' END
+      WHEN day < DATE '2026-09-22' THEN 'past' WHEN seen OR n = 3 OR n = 4 THEN 'verified' ELSE 'review' END AS second FROM b)
+"""
+
+
+@query(
+    _WEEKS
+    + """SELECT 'ev_' || k AS event_id, second AS bucket, CASE WHEN seen AND moved THEN 'moved' ELSE 'hall ' || k END AS location, CASE WHEN seen THEN '22-Sep-2026' ELSE '05-Sep-2026' END AS last_seen,
+    CASE WHEN second <> 'review' THEN '' WHEN first = 'review' THEN 'no proof' ELSE 'Not found on its website since 05-Sep-2026' END AS review_reason FROM r
+    UNION ALL SELECT 'ev_' || k, 'rejected', 'hall ' || k, '05-Sep-2026', '' FROM r WHERE first = 'rejected' AND second <> 'rejected'
+    UNION ALL SELECT 'ev_' || k, 'past', 'hall ' || k, '05-Sep-2026', '' FROM r WHERE first = 'past' AND second <> 'past'"""
+)
+def weekly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master after two weekly runs, the second of which lacks a country, with rows that change, go missing, pass and are rejected."""
+    c, k = F.col, F.col("c_custkey")
+    people = table(spark, sf_dir, "customer").withColumn("day", F.date_add(F.lit("2026-09-01").cast("date"), (k % 40).cast("int")))
+    n = c("c_nationkey") % 5
+    site = _text("https://n", n, ".example/list")
+    base = [
+        k.alias("ord"), _text("ev_", k).alias("event_id"), _text("Meeting ", k).alias("event_name"), dates.display(c("day")).alias("date"), _text("Organisation ", n).alias("organizer"), _text("Country ", n).alias("country"),
+        site.alias("source_url"), _text("https://n", n, ".example/e/", k).alias("register_link"), F.lit("no proof").alias("reason"),
+    ]
+
+    def gathered(country: int, second: bool) -> weekly.Gathered:
+        own = people.where(n == country)
+        if second and country == 3:
+            raise OSError("no network")
+        here = own.where((k % 3 != 0) & F.lit(country != 4)) if second else own
+        status = F.when(k % 11 == 4, "rejected").otherwise("verified") if second else F.when(k % 5 == 1, "needs_review").when(k % 23 == 2, "rejected").otherwise("verified")
+        place = F.when((k % 7 == 0) & F.lit(second), "moved").otherwise(_text("hall ", k)).alias("location")
+        records = here.select(*base, status.alias("status"), place, F.lit(True).alias("changed"))
+        sites = own.groupBy(site.alias("source_url")).agg(F.lit("x").alias("organizer"), F.lit(0 if second and country == 4 else 9).alias("events"), F.lit(None).cast("string").alias("error"))
+        return records, sites
+
+    path = shared.folder(spark, "weekly")
+    for name, second, today in (("first", False, dt.date(2026, 9, 5)), ("second", True, dt.date(2026, 9, 22))):
+        weekly.run(spark, path, name, {f"Country {i}": partial(gathered, i, second) for i in range(5)}, today)
+    rows, _ = lifecycle.read(spark, path)
+    return rows.select("event_id", "bucket", "location", "last_seen", "review_reason")

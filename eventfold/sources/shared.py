@@ -1,21 +1,45 @@
-"""Tables written once below the shared folder (spark.checkpoint.dir) and read again, for what must not be computed twice."""
+"""Tables written once below the shared folder (spark.checkpoint.dir) and read again, for what must not be computed twice. They go when the session ends."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_ROOTS: dict[str, str] = {}
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def root(spark: SparkSession) -> str:
+    """This session's own folder below the shared one; a shared one is set only where the session names none, as in tests."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            held = spark.sparkContext._jsc.sc().getCheckpointDir()
+            if not held.isDefined() and not spark.sparkContext.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            base = held.get() if held.isDefined() else tempfile.mkdtemp(prefix="eventfold-")
+        _ROOTS[app] = f"{base.rstrip('/')}/eventfold-tables-{app}"
+        atexit.register(_remove, spark, _ROOTS[app])
+    return _ROOTS[app]
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new name for a folder there."""
+    return f"{root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def once(df: DataFrame, name: str) -> DataFrame:
     """df as a table on disk: every later use reads what this one run gave."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="eventfold-")
-    path = f"{base.rstrip('/')}/eventfold-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
