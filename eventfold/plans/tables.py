@@ -401,8 +401,8 @@ def cross_country_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pages").select("page_id", "url", F.lit("").alias("source"), text.squeeze(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)).alias("title"), text.js_shell(F.col("html")).alias("shell"), text.host(F.col("url")).alias("host"))
     rows = report.own_page(rows, "url", "source")
-    rows = rows.withColumns({"category": taxonomy.category(F.col("title"), F.lit("")), "generic": titles.generic_title(F.col("title"))})
     kept = dedupe.keep_fullest(rows, [F.lower("title")], ["page_id"], ["title", "url"])
+    kept = kept.withColumns({"category": taxonomy.category(F.col("title"), F.lit("")), "generic": titles.generic_title(F.col("title"))})
     n = lambda c: F.count_if(F.col(c))
     return report.with_total(kept, "host", pages=F.count("*"), own_pages=n("own_page"), shells=n("shell"), generic=n("generic"), topical=F.count_if(F.col("category").isin(*report.ACCEPTED)))
 
