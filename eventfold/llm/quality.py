@@ -13,8 +13,8 @@ texts move once. No task holds more than a shard and SALT_BLOCKS blocks' questio
 
 Threshold: one trusted document in HOLD_OUT, by checksum of its id, isn't counted (where that leaves a language none of two or more, the one of least checksum). Per
 language, excess is log-perplexity over the held-out median, times sqrt(n / (n + EVEN)) for n symbols, as short texts vary more. Its QUANTILE over held-out documents of the
-language, or of all languages where it has fewer than FEW, gives each length its limit; SPREAD times the median absolute excess at least, as the QUANTILE of a few
-like texts is their maximum, beyond which others of their kind lie. Documents above their limit are rejected.
+language, or of all languages where it has fewer than FEW, gives each length its limit. Documents above their limit are rejected. With spread, a limit lets at least so many median absolute excesses through; it is
+off unless a caller asks for it.
 
 Defined results: null and empty texts have no perplexity and are rejected; a null lang is a language of its own; a document in a language without trusted text has
 no perplexity and is kept, as nothing speaks against it; so is one in a language with a single trusted document, which has no threshold; rows with equal or null ids are scored one by one (rows of equal id get a row each); conflicting labels count as trusted if any does.
@@ -45,9 +45,9 @@ BLOCK_DOCS = 2048
 BLOCK_BYTES = 2 << 20
 HELD_BYTES = 24 << 20
 SALT_BLOCKS = 64
-QUANTILE = 0.98
+QUANTILE = 0.985
 EVEN = 1000
-SPREAD = 6
+SPREAD = 0.0
 FEW = 30
 HOLD_OUT = 5
 
@@ -338,17 +338,19 @@ def trusted_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return store.cut(known.select("doc_id").distinct().join(lone, "doc_id", "left").select("doc_id", (held_out() | F.coalesce("more", F.lit(False))).alias("held")), "kn-held")
 
 
-def limits(tested: DataFrame, quantile: float) -> DataFrame:
+def limits(tested: DataFrame, quantile: float, spread: float = SPREAD) -> DataFrame:
     """of, middle, reach by language: a text of n symbols may have a log-perplexity of middle + reach * sqrt((n + EVEN) / n)."""
     tested = tested.select(F.coalesce("lang", F.lit("\x00")).alias("of"), "n_symbols", F.log("perplexity").alias("loss"))
     middle = store.cut(tested.groupBy("of").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle"), F.count("*").alias("tests")), "kn-middle")
     over = store.cut(tested.join(middle, "of").select("of", "middle", "tests", ((F.col("loss") - F.col("middle")) * F.sqrt(F.col("n_symbols") / (F.col("n_symbols") + EVEN))).alias("over")), "kn-over")
-    reach = F.greatest(F.percentile_approx("over", quantile, 10_000), SPREAD * F.percentile_approx(F.abs("over"), 0.5, 10_000))
+    reach = F.percentile_approx("over", quantile, 10_000)
+    if spread:
+        reach = F.greatest(reach, spread * F.percentile_approx(F.abs("over"), 0.5, 10_000))
     pooled = F.lit(over.agg(reach).first()[0]).cast("double")
     return store.cut(over.groupBy("of", "middle", "tests").agg(reach.alias("own")).select("of", "middle", F.when(F.col("tests") < FEW, pooled).otherwise(F.col("own")).alias("reach")), "kn-limits")
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, keyed: bool = False) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, spread: float = SPREAD, keyed: bool = False) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold, keep for every row of docs; with keyed, row_key as well."""
     store.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
@@ -362,7 +364,7 @@ def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, key
     scored = store.cut(perplexities(rows, dealt, n_shards, base), "kn-scores")
     # of equal ids the trusted flag is the same, so a semi join serves
     tested = scored.join(trusted.where("held"), "doc_id", "left_semi").where("perplexity is not null")
-    out = scored.join(limits(tested, quantile), F.coalesce(scored["lang"], F.lit("\x00")) == F.col("of"), "left")
+    out = scored.join(limits(tested, quantile, spread), F.coalesce(scored["lang"], F.lit("\x00")) == F.col("of"), "left")
     n = F.col("n_symbols")
     out = out.withColumn("threshold", F.when(n > 0, F.exp(F.col("middle") + F.col("reach") * F.sqrt((n + EVEN) / n)))).drop("of", "middle", "reach", *[] if keyed else ["row_key"])
     return out.withColumn("keep", F.when(n == 0, False).otherwise(F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))))
