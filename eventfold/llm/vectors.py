@@ -3,7 +3,7 @@
 Some rows are pivots (a bounded number, by a hash of their ids). Every row goes to its nearest pivot; a pivot's rows are dealt to as many shards as
 their bytes ask for, so one crowded place doesn't make a large shard. A shard's index is built by one task and kept as one row beside the shard's covering radius.
 First each query searches one shard of its nearest pivot, which gives a limit for its k-th score; then it meets only those other shards that,
-by the triangle inequality, may hold something within the limit. Queries travel in blocks, those of one pivot together; groups of a shard and
+by the triangle inequality, may hold something within the limit (where there is one shard, that is all). Queries travel in blocks, those of one pivot together, each only to shards that its own limit lets it enter; groups of a shard and
 some blocks (salted) are joined, and the best of all shards are merged by a rank that is limited before it is shuffled. No task holds more than a shard and
 BLOCKS_A_GROUP blocks, whatever the number of rows.
 
@@ -157,12 +157,15 @@ def search(
             raw, limits = matrix(part["v"]), part["limit"].to_numpy(np.float64)
             points = raw.astype(np.float64)
             far = distance(limits, (points**2).sum(1), known[dim].longest2)
-            data = pickle.dumps((part["vec_id"].to_numpy(), raw, limits), 5)
+            ids = part["vec_id"].to_numpy()
+            some = lambda own: pickle.dumps((ids[own], raw[own], limits[own]), 5)
             if first:
-                return pd.DataFrame({"dim": [dim], "pivot": [pivot], "chunk": [0], "salt": [at % n_salts], "data": [data]}) if (dim, pivot) in reach else pd.DataFrame(columns=BLOCK)
-            open_ = np.flatnonzero(may_pass(dim, points, far, range(len(known[dim].pivots))).any(0)).tolist()
-            to = [(p, c) for p in open_ for c in range(reach[dim, p][1]) if (p, c) != (pivot, 0)]
-            return pd.DataFrame({"dim": dim, "pivot": [x[0] for x in to], "chunk": [x[1] for x in to], "salt": (at + pivot) % n_salts, "data": [data] * len(to)})
+                return pd.DataFrame({"dim": [dim], "pivot": [pivot], "chunk": [0], "salt": [at % n_salts], "data": [some(slice(None))]}) if (dim, pivot) in reach else pd.DataFrame(columns=BLOCK)
+            passes, to = may_pass(dim, points, far, range(len(known[dim].pivots))), []
+            for p in np.flatnonzero(passes.any(0)).tolist():
+                data = some(passes[:, p])  # a query goes only where its own bound lets it
+                to += [(p, c, data) for c in range(reach[dim, p][1]) if (p, c) != (pivot, 0)]
+            return pd.DataFrame({"dim": dim, "pivot": [x[0] for x in to], "chunk": [x[1] for x in to], "salt": (at + pivot) % n_salts, "data": [x[2] for x in to]})
 
         return block
 
@@ -193,7 +196,10 @@ def search(
     order = Window.partitionBy("query_id").orderBy(F.col("score") if ascending else F.desc("score"), "vec_id")
     ranked = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     none = F.lit(None).cast("double")
-    one = store.cut(step(asked.withColumn("limit", none), True), "vector-first")
+    everywhere = step(asked.withColumn("limit", none), True)
+    if all(sum(chunks for (d, _), (_, chunks) in reach.items() if d == dim) == 1 for dim in known):  # the first shard is the only one
+        return ranked(everywhere).select("query_id", "rank", "vec_id", "score")
+    one = store.cut(everywhere, "vector-first")
     last = one.groupBy("query_id").agg((F.max("score") if ascending else F.min("score")).alias("worst"), F.count("*").alias("found")).where(F.col("found") == k)
     limited = asked.join(last, asked["vec_id"] == last["query_id"], "left").select("vec_id", "v", "dim", "pivot", F.col("worst").cast("double").alias("limit"))
     return ranked(one.unionByName(step(limited, False))).select("query_id", "rank", "vec_id", "score")
