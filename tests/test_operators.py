@@ -251,3 +251,22 @@ def test_stream_of_sightings(spark, tmp_path):
     q = stream("in").writeStream.foreachBatch(grace.upsert_into(str(tmp_path / "out"), "event_id", "ts")).option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r["event_id"]: r["ts"].month for r in snapshots.latest(spark, str(tmp_path / "out")).collect()} == {"a": 1, "b": 1, "c": 2, "d": 2}
+
+
+def test_strict_dates_are_those_of_the_parser(spark):
+    r, today = random.Random(11), dt.date(2026, 9, 24)
+    months = [*fixed.MONTH_NAMES, "october", "MAY", "Octember"]
+    day, year = lambda: f"{r.randint(0, 33)}{r.choice(['', '', 'th', 'st'])}", lambda: str(r.choice([2026, 2027, 2015, 2033, 1999, 2016, 2032]))
+    shapes = [
+        lambda: f"{day()} {r.choice(months)} {year()}", lambda: f"{r.choice(months)} {day()}, {year()}", lambda: f"{r.choice(months)}. {day()} {year()}", lambda: f" {year()}-{r.randint(1, 13):02d}-{r.randint(0, 32):02d} ",
+        lambda: f"{r.randint(1, 28)}-{r.randint(1, 28)} {r.choice(months)} {year()}", lambda: f"on {day()} {r.choice(months)}, {year()} at 5 pm", lambda: f"{r.randint(1, 31)}/{r.randint(1, 12)}/{year()}", lambda: f"{r.choice(months)} {year()}",
+        lambda: f"{r.randint(1, 28)} {r.choice(months)}", lambda: "no date at all", lambda: "", lambda: f"{r.randint(1, 28)} {r.choice(months)} to {r.randint(1, 28)} {r.choice(months)} {year()}",
+    ]
+    texts = [r.choice(shapes)() for _ in range(1500)] + [None, "5 October, 2026", "29 February 2027", "29 February 2028", "05-Oct-2026"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(4)
+    got = {x["i"]: (x["d"]["start"], x["d"]["end"], x["rest"]) for x in rows.select("i", dates.strict(F.col("t"), today).alias("d"), dates.unread(F.col("t")).alias("rest")).collect()}
+    at = dt.datetime(today.year, today.month, today.day)
+    for i, t in enumerate(texts):
+        assert got[i][:2] == dates.strict_range(t, at), t
+    plain = [x for x in got.values() if x[0] and not x[2]]
+    assert len(plain) > 250 and sum(x[2] is not None for x in got.values()) < 0.6 * len(texts)  # the share that Python sees
