@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, extract
+from ..functions import dates, extract, table_functions
 from ..operators import lifecycle, report
 from ..sources import shared
 from . import jobs, tables, weekly
@@ -56,12 +56,12 @@ def mode_first(mode: Column, venue: Column) -> Column:
     return F.concat(row, venue)
 
 
-@query(
-    f"""SELECT (c_custkey - 1) // 20 AS page, 'Day of ' || c_mktsegment || ' ' || c_custkey AS name, 'https://o.example/e/' || c_custkey AS link, CASE WHEN c_custkey % 9 <> 0 THEN strftime({_DAY} + INTERVAL 28 YEAR, '%d-%b-%Y') END AS date,
+_LISTED = f"""SELECT (c_custkey - 1) // 20 AS page, 'Day of ' || c_mktsegment || ' ' || c_custkey AS name, 'https://o.example/e/' || c_custkey AS link, CASE WHEN c_custkey % 9 <> 0 THEN strftime({_DAY} + INTERVAL 28 YEAR, '%d-%b-%Y') END AS date,
     CASE WHEN c_custkey % 3 <> 0 THEN 'Hall ' || c_nationkey END AS location, c_custkey % 9 = 0 AS conflict FROM customer"""
-)
-def customer_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of twenty cards, one for each customer; the events that they list."""
+
+
+def _listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page, html of twenty cards each, one for each customer."""
     k = F.col("k")
     day = F.date_format(F.add_months("day", 336), "d MMMM yyyy")  # dates without a label are read from 2000 on
     said = F.when(k % 2 == 0, _text("Date: ", day)).otherwise(_text("We meet on ", day))
@@ -70,11 +70,25 @@ def customer_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     card = _text('<div class="card"><h3><a href="/e/', k, '">Day of ', F.col("segment"), " ", k, "</a></h3><p>", said, venue, "</p>", other, "</div>")
     cards = _customers(spark, sf_dir).select(((k - 1) / 20).cast("long").alias("page"), F.struct("k", card.alias("html")).alias("c"))
     pages = cards.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list("c")), lambda x: x["html"]), "").alias("body"))
-    rows = pages.select("page", F.explode(extract.list_page(_text("<html><body><main>", F.col("body"), "</main></body></html>"), F.lit("https://o.example/list"), dt.date(2026, 1, 1))).alias("e"))
+    return pages.select("page", _text("<html><body><main>", F.col("body"), "</main></body></html>").alias("html"))
+
+
+@query(_LISTED)
+def customer_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of twenty cards, one for each customer; the events that they list."""
+    rows = _listing_pages(spark, sf_dir).select("page", F.explode(extract.list_page(F.col("html"), F.lit("https://o.example/list"), dt.date(2026, 1, 1))).alias("e"))
     value = lambda f: F.col(f"e.fields.{f}.value").alias(f)
     return rows.select("page", value("name"), "e.link", value("date"), value("location"), (F.col("e.conflict") != "").alias("conflict"))
 
 
+@query(_LISTED)
+def events_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages, read by table functions in plain SQL."""
+    table_functions.register(spark)
+    _listing_pages(spark, sf_dir).createOrReplaceTempView("listing_pages")
+    return spark.sql("SELECT p.page, e.name, e.link, e.date, e.location, e.conflict <> '' AS conflict FROM listing_pages p, LATERAL list_events(p.html, 'https://o.example/list', DATE '2026-01-01') e")
+
+
 @query(
     f"""SELECT 'event e' || c_custkey AS name, CASE WHEN c_custkey % 5 IN (0, 3) THEN c_custkey ELSE 1000000 + c_custkey END AS ord,
     CASE c_custkey % 5 WHEN 0 THEN 'untouched' WHEN 1 THEN 'changed' WHEN 2 THEN 'completed' WHEN 3 THEN 'unchanged' ELSE 'new' END AS fate,
