@@ -42,10 +42,11 @@ END = b"\n"  #: ends a text and stands before it; white space within texts is a
 SYMBOLS = 256 - 4  #: bytes that may occur: all but the other white space
 SMOOTH = 0.1
 RUN_CODES = 1 << 22
+HELD_BYTES = 1 << 21
 SHARD_CODES = 1 << 18
 SHARD_WORDS = 1 << 17
 MIN_SHARDS = 8
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 BLOCK_DOCS = 1 << 14
 GROUP_CODES = 1 << 26
 ASK_CODES = 1 << 21
@@ -198,7 +199,7 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER) -> Mod
                 seen[END] += 1  # no word
                 held.append(b" ".join(own))
                 size += len(held[-1]) + order
-                if size > RUN_CODES:
+                if size > HELD_BYTES:
                     merge()
                     if len(code) + 4 * len(seen) > RUN_CODES:
                         yield from give()
