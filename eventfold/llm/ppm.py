@@ -9,7 +9,7 @@ have seen too, exclusion needs two numbers of a node: the bytes it has seen, and
 
 Counting: a run of texts is counted within a task, then by (word, code) over all tasks; words are counted in the same pass.
 Shards: a code is dealt by a hash of the three bytes before its last, which it shares with all its suffixes of four bytes and more. Codes of up to three bytes, 2**24 at most, are summed and broadcast.
-Scoring: documents go in blocks of bounded bytes. A block asks each shard for its distinct codes, and shards of words, dealt by checksum, for its distinct words, by whose places in the answers its texts are kept as well; questions of a shard go in salted groups
+Scoring: documents go in blocks of bounded bytes. A block asks each shard for its distinct codes, and shards of words, dealt by checksum, for its distinct words, and keeps its texts as places among those words; questions of a shard go in salted groups
 of a bounded number, and the answers (32-bit floats, whole counts) meet the block's texts. One exchange holds texts and questions for both uses. The model is sent once for each salt.
 
 Defined results: a null or empty text, or one of white space, is an end alone; a null id isn't learned from and is held out; rows that repeat an id are scored one by one; further columns are ignored;
@@ -275,8 +275,9 @@ def blocks(docs: DataFrame, n_grams: int, n_words: int, order: int) -> DataFrame
             at, ends = _by_shard(own, n_words)
             place = np.empty(len(own) + 1, np.int32)
             place[at], place[-1] = np.arange(len(own)), -1
-            held = pickle.dumps((rows, lines, place[number].tobytes()), 5)
-            out = [(n_grams + s, _squeeze(b"\n".join([own[i] for i in at[ends[s] : ends[s + 1]].tolist()]))) for s in range(n_words) if ends[s] < ends[s + 1]]
+            own = [own[i] for i in at.tolist()]
+            held = pickle.dumps((rows, b"\n".join(own), place[number].tobytes()), 5)
+            out = [(n_grams + s, _squeeze(b"\n".join(own[ends[s] : ends[s + 1]]))) for s in range(n_words) if ends[s] < ends[s + 1]]
             asked = distinct(codes(lines, order))
             shard = gram_shard(asked, n_grams)
             at = np.argsort(shard, kind="stable")
@@ -332,7 +333,11 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         return pd.DataFrame(out, columns=["shard", "block", "data"])
 
     def total(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        rows, lines, number = pickle.loads(zstandard.decompress(texts["data"].iloc[0]))
+        rows, own, number = pickle.loads(zstandard.decompress(texts["data"].iloc[0]))
+        own, number = own.split(b"\n"), np.frombuffer(number, np.int32)
+        ends = np.flatnonzero(number < 0)
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        lines = [b" ".join([own[i] for i in number[a:b].tolist()]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
         answers = answers.sort_values("shard")
         grams, known = ([zstandard.decompress(x) for x in answers.loc[which, "data"]] for which in (answers["shard"] < n_grams, answers["shard"] >= n_grams))
         starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
@@ -342,12 +347,9 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         logs = np.empty(len(asked))
         logs[rank[np.argsort(gram_shard(asked[rank], n_grams), kind="stable")]] = np.frombuffer(b"".join(grams), "<f4")  # as many as were asked for, or this fails
         scores = np.add.reduceat(logs[at], starts)
-        number = np.frombuffer(number, np.int32)
         seen = np.append(np.frombuffer(b"".join(known), "<i8"), n_texts)  # the end is the last
-        ends = np.flatnonzero(number < 0)
-        starts = np.concatenate([[0], ends[:-1] + 1])
         log = np.array([math.log10(c + SMOOTH) for c in seen.tolist()]) - math.log10(floor)
-        columns = {"n_tokens": np.diff(ends, prepend=-1), "n_known": np.add.reduceat((seen > 0)[number].astype(np.int64), starts), "train_tokens": n_tokens, "base_score": np.add.reduceat(log[number], starts), "score": scores}
+        columns = {"n_tokens": np.diff(ends, prepend=-1), "n_known": np.add.reduceat((seen > 0)[number].astype(np.int64), begins), "train_tokens": n_tokens, "base_score": np.add.reduceat(log[number], begins), "score": scores}
         return pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"), "held_out": [r[1] for r in rows]} | columns)
 
     is_code = F.col("code").isNotNull()
