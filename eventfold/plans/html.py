@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from ..functions import extract, text
+from ..sources import shared
 from .registry import cases_sql, pick, query, table
 
 TODAY = dt.date(2026, 9, 24)
@@ -74,7 +75,7 @@ LISTS = [
 
 @query(cases_sql("part", "p_partkey", ["n", "said"], [x[1:] for x in LISTS]))
 def list_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), pick([x[0] for x in LISTS], "p_partkey").alias("html"))
+    rows = shared.spread(table(spark, sf_dir, "part").select("p_partkey")).select(F.col("p_partkey").alias("id"), pick([x[0] for x in LISTS], "p_partkey").alias("html"))
     rows = rows.withColumn("e", extract.list_page(F.col("html"), F.lit("https://a.example/"), TODAY))
     say = lambda x: F.concat_ws("|", x["fields"]["name"]["value"], F.coalesce(x["fields"]["date"]["value"], F.lit("")), F.coalesce(x["fields"]["format"]["value"], F.lit("")))
     return rows.select("id", F.size("e").alias("n"), F.array_join(F.transform("e", say), ";").alias("said"))

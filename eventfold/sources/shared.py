@@ -43,3 +43,8 @@ def once(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, each: int = 2000) -> DataFrame:
+    """df, a scan of few and short columns, dealt evenly to tasks of some each rows. A scan makes its tasks by bytes, and a few megabytes of keys may stand for hours of work on what is made of them."""
+    return df.repartition(max(-(-df.count() // each), 1))
