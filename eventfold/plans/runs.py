@@ -35,7 +35,7 @@ def _text(*parts: str | Column) -> Column:
 )
 def customer_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page for each customer with labels in a list, a table or lines; what the labels say."""
-    c = _customers(spark, sf_dir)
+    c = shared.spread(_customers(spark, sf_dir))
     k, day = F.col("k"), F.date_format("day", "d MMMM yyyy")
     pair = lambda label, value: F.when(k % 2 == 0, _text(f"<dl><dt>{label}:</dt><dd>", value, "</dd></dl>")).otherwise(_text(f"<table><tr><th>{label}</th><td>", value, "</td></tr></table>"))
     date = F.when(k % 7 != 0, pair("Date", day)).otherwise(F.lit("<p>to be told</p>"))
