@@ -55,7 +55,7 @@ DETAILS = [
 
 @query(cases_sql("part", "p_partkey", ["name", "date", "end_date", "location", "format", "reasons"], [d[1:] for d in DETAILS]))
 def detail_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), pick([d[0] for d in DETAILS], "p_partkey").alias("html"))
+    rows = shared.spread(table(spark, sf_dir, "part").select("p_partkey")).select(F.col("p_partkey").alias("id"), pick([d[0] for d in DETAILS], "p_partkey").alias("html"))
     rows = rows.withColumn("d", extract.detail_page(F.col("html"), F.lit("https://a.example/e"), F.lit(""), TODAY))
     value = lambda c: F.col(f"d.fields.{c}.value").alias(c)
     return rows.select("id", *[value(c) for c in ("name", "date", "end_date", "location")], F.coalesce("d.fields.format.value", F.lit("")).alias("format"), F.array_join("d.reasons", ",").alias("reasons"))

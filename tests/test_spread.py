@@ -20,7 +20,7 @@ def tables(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["list_extract", "customer_detail_pages"])
+@pytest.mark.parametrize("name", ["list_extract", "customer_detail_pages", "detail_extract"])
 def test_pages_of_short_keys_are_read_by_many_tasks(spark, tables, name):
     got = __spark_entry__.queries()[name](spark, tables).select(F.spark_partition_id().alias("at")).groupBy("at").count().collect()
     assert sum(r["count"] for r in got) == N and len(got) >= 4 and max(r["count"] for r in got) <= 2 * N / len(got)
