@@ -45,6 +45,13 @@ def once(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_texts(most: int = 2 << 20) -> None:
+    """Pages and texts go to Python in batches of bounded bytes, so a worker holds no more of them at a time however many rows there are and however long they are. A session that names a limit of its own keeps it."""
+    name, spark = "spark.sql.execution.arrow.maxBytesPerBatch", SparkSession.getActiveSession()
+    if spark is not None and name not in spark.conf.getAll:
+        spark.conf.set(name, str(most))
+
+
 def spread(df: DataFrame, each: int = 2000) -> DataFrame:
     """df, a scan of few and short columns, dealt evenly to tasks of some each rows. A scan makes its tasks by bytes, and a few megabytes of keys may stand for hours of work on what is made of them."""
     return df.repartition(max(-(-df.count() // each), 1))
