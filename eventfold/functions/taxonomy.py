@@ -7,7 +7,8 @@ text (phrases.found); scores, the choice of a category, its topic and the reason
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Sequence
 from functools import cache
 from pathlib import Path
 from typing import NamedTuple
@@ -73,35 +74,43 @@ def hits(title: Column, description: Column, rows: Sequence[Entry] | None = None
     # a category's entries stand together, so where it begins tells it; topics and weak words likewise
     edges = [i for i, r in enumerate(rows) if not i or (r.category, r.topic, r.weak) != (rows[i - 1].category, rows[i - 1].topic, rows[i - 1].weak)]
     known = {k: part([getattr(rows[i], k) for i in edges], kind) for k, kind in (("category", "string"), ("topic", "string"), ("weak", "boolean"))}
-    starts = part(edges, "int")
+    place = F.split(F.lit(",".join(str(bisect_right(edges, n) - 1) for n in range(len(rows)))), ",").try_cast("array<int>")  # by entry its place among edges, folded to a constant
 
     def complete(h: Column) -> Column:
-        at = F.size(F.filter(starts, lambda s: s <= h["n"])) - 1
+        at = F.get(place, h["n"])
         return F.struct(h["n"].alias("n"), h["title"].alias("title"), h["said"].alias("said"), *[F.get(v, at).alias(k) for k, v in known.items()])
 
     return F.transform(told, complete)
 
 
+def _bound(value: Column, tell: Callable[[Column], Column]) -> Column:
+    """tell of a value that is worked out once, however often tell names it."""
+    return F.get(F.transform(F.array(value), tell), F.lit(0))
+
+
 def _of(found: Column, category: str) -> Column:
     """struct<category, score, strong, shown, topic, any> of one category's hits. Without a topic's phrase the score stays below what is accepted."""
-    own = F.filter(found, lambda h: h["category"] == category)
     weight = lambda h: F.when(h["weak"], F.when(h["title"], WEAK_TITLE).otherwise(WEAK_TEXT)).otherwise(F.when(h["title"], TITLE).otherwise(TEXT))
-    total = F.aggregate(own, F.lit(0.0), lambda a, h: a + weight(h))
-    strong = F.filter(own, lambda h: ~h["weak"])
-    shown = F.slice(F.array_distinct(F.transform(own, lambda h: F.concat(h["topic"], F.lit(" ('"), h["said"], F.lit("')")))), 1, SHOWN)
-    score = F.when(F.size(strong) > 0, total).otherwise(F.least(total, F.lit(ACCEPT - 0.5)))
-    return F.struct(F.lit(category).alias("category"), score.alias("score"), shown.alias("shown"), F.coalesce(F.get(strong, F.lit(0))["topic"], F.lit("")).alias("topic"))
+
+    def tell(own: Column, strong: Column) -> Column:
+        total = F.aggregate(own, F.lit(0.0), lambda a, h: a + weight(h))
+        shown = F.slice(F.array_distinct(F.transform(own, lambda h: F.concat(h["topic"], F.lit(" ('"), h["said"], F.lit("')")))), 1, SHOWN)
+        score = F.when(F.size(strong) > 0, total).otherwise(F.least(total, F.lit(ACCEPT - 0.5)))
+        return F.struct(F.lit(category).alias("category"), score.alias("score"), shown.alias("shown"), F.coalesce(F.get(strong, F.lit(0))["topic"], F.lit("")).alias("topic"))
+
+    return _bound(F.filter(found, lambda h: h["category"] == category), lambda own: _bound(F.filter(own, lambda h: ~h["weak"]), lambda strong: tell(own, strong)))
 
 
 def judged(found: Column, rejected: Column | None = None) -> Column:
     """struct<category, reason, topic, scores> from hits and rejection, if any: Tax, Legal or Finance (ties in this order), Reject or Unclear, and why."""
     none = F.lit("")
     rejected = F.lit(None).cast("struct<kind: string, said: string>") if rejected is None else rejected
-    scores = F.array(*[_of(found, c) for c in fixed.CATEGORY_ORDER])
+    scores = _bound(found, lambda f: F.array(*[_of(f, c) for c in fixed.CATEGORY_ORDER]))
 
     def tell(all_: Column) -> Column:
-        top = F.array_max(F.transform(all_, lambda x: x["score"]))
-        tied = F.filter(all_, lambda x: x["score"] == top)
+        return _bound(F.array_max(F.transform(all_, lambda x: x["score"])), lambda top: _bound(F.filter(all_, lambda x: x["score"] == top), lambda tied: said_of(all_, top, tied)))
+
+    def said_of(all_: Column, top: Column, tied: Column) -> Column:
         first, others = F.get(tied, F.lit(0)), F.transform(F.slice(tied, 2, len(fixed.CATEGORY_ORDER)), lambda x: x["category"])
         shown = F.array_join(first["shown"], "; ")
         tie = F.when(F.size(others) > 0, F.concat(F.lit(fixed.ALSO_MATCHES), F.array_join(others, " and "), F.lit("; "), first["category"], F.lit(fixed.BY_ORDER))).otherwise(none)
@@ -113,7 +122,7 @@ def judged(found: Column, rejected: Column | None = None) -> Column:
             .otherwise(said(first["category"], F.concat(first["category"], F.lit(fixed.IN_OWN_TEXT), shown, tie), first["topic"]))
         )
 
-    return F.get(F.transform(F.array(scores), tell), F.lit(0))
+    return _bound(scores, tell)
 
 
 def classify(title: Column, description: Column, rows: Sequence[Entry] | None = None) -> Column:

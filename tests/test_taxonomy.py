@@ -67,3 +67,14 @@ def test_six_hundred_phrases_cost_what_their_hits_do(spark):
     began = time.process_time()
     assert own(text) == {5: "word5 of5"}
     assert time.process_time() - began < 1
+
+
+def test_hits_are_worked_out_once(spark):
+    """What was found is named once in the plan, however often scores and reasons use it, and a hit's topic is looked up and not searched for."""
+    rows = taxonomy.entries({"Tax": {"topics": {f"T{i}": [f"alpha{i}", f"beta{i}"] for i in range(40)}}})
+    text = spark.createDataFrame([("alpha3 beta3 beta39", "alpha0")], "title string, body string")
+    hits = text.select(taxonomy.hits(F.col("title"), F.col("body"), rows).alias("found"))
+    assert [(h["n"], h["topic"]) for h in hits.first()["found"]] == [(1, "T0"), (10, "T3"), (11, "T3"), (119, "T39")] and "filter(" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    held = spark.createDataFrame(hits.rdd, hits.schema)
+    plan = held.select(taxonomy.judged(F.col("found")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert len(re.findall(r"found#\d+", plan.split("\n")[0])) == 1
