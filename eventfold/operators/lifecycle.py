@@ -46,9 +46,12 @@ def age(rows: DataFrame, seen: DataFrame, sites: DataFrame, today: dt.date) -> D
     c = F.col
     day = lambda x: dates.from_display(c(x))
     verified = rows.where("bucket = 'verified'").select("event_id", c("register_link").alias("link"), "source_url", day("date").alias("start_date"), day("end_date").alias("end_date"), day("last_seen").alias("last_seen"), "locked")
-    told = report.missing_and_past(verified, seen, sites, today).where("outcome <> 'kept'").select("event_id", F.lit("verified").alias("bucket"), "outcome")
-    to = told.select("event_id", F.when(c("outcome") == "past", "past").otherwise("review").alias("bucket"))
-    all_ = rows.join(to, ["event_id", "bucket"], "left_anti").join(told, ["event_id", "bucket"], "left").withColumn("outcome", F.coalesce("outcome", F.lit("kept")))
+    told = report.missing_and_past(verified, seen, sites, today).where("outcome <> 'kept'")
+    # one table of what moves, from where, and of the places that it takes, so that what moves is worked out once and rows meet it in one join
+    to = F.when(c("outcome") == "past", "past").otherwise("review")
+    places = F.array(F.struct(F.lit("verified").alias("bucket"), c("outcome").alias("outcome")), F.struct(to.alias("bucket"), F.lit("replaced").alias("outcome")))
+    told = told.select("event_id", F.explode(places).alias("_p")).select("event_id", "_p.bucket", "_p.outcome")
+    all_ = rows.join(told, ["event_id", "bucket"], "left").withColumn("outcome", F.coalesce("outcome", F.lit("kept"))).where("outcome <> 'replaced'")
     past, gone = c("outcome") == "past", c("outcome") == "missing"
     changed = {
         "bucket": F.when(past, "past").when(gone, "review").otherwise(c("bucket")),

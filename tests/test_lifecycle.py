@@ -171,3 +171,13 @@ def test_streams_of_fingerprints_and_late_cells(spark, tmp_path):
     run()
     assert {(r["event_id"], r["fingerprint"], r["fate"]) for r in spark.read.parquet(sink).collect()} == {("a", "2", "new"), ("b", "1", "new"), ("b", "2", "changed")}
     assert {(r["event_id"], r["date"], r["ts"].hour) for r in snapshots.latest(spark, table).collect()} == {("a", "05-Oct-2026", 3), ("b", "d", 3)}
+
+
+def test_what_moves_is_worked_out_once(spark):
+    """Ageing joins links, records and sites once each, and meets the rows in one more join."""
+    rows = spark.createDataFrame([(1, "verified", "a", "A")], "ord long, bucket string, event_id string, event_name string")
+    seen, sites = spark.createDataFrame([("b",)], "event_id string"), spark.createDataFrame([("s", "ok")], "source_url string, status string")
+    today = dt.date(2026, 9, 24)
+    loaded = spark.createDataFrame(lifecycle.load(rows, today).rdd, lifecycle.load(rows, today).schema)
+    aged = lifecycle.age(loaded, seen, sites, today)
+    assert aged._jdf.queryExecution().analyzed().toString().count("Join ") == 4 and aged.count() == 1
