@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, fixed, text
-from ..sources import sheets, snapshots
+from ..sources import shared, sheets, snapshots
 from . import dedupe, master, report
 
 KEPT_WITH_A_ROW = ("event_id", "added_on", "last_seen", "verified_by", "locked", "status", "review_reason", "ai_review", "reject_reason")
@@ -24,6 +24,7 @@ def load(kept: DataFrame, today: dt.date) -> DataFrame:
     Rows without a name go. A row without an id gets the one that its organizer, name and page give, and counts as verified by an old version unless someone else is named. A row that doesn't say since
     when it is there or when it was seen last says today, so its grace period begins now. The second row of an id in a bucket becomes <id>~2.
     """
+    shared.short_methods()
     shown = today.strftime("%d-%b-%Y")
     c = F.col
     rows = sheets.tolerant(kept, (*master.CELLS, *KEPT_WITH_A_ROW), keep=("ord", "bucket")).where(c("event_name") != "")
@@ -83,9 +84,10 @@ def log_of_records(decided: DataFrame, rows: DataFrame, stamp: str) -> DataFrame
     whole = whole.join(had.withColumn("_had", F.lit(True)), "event_id", "left").where("action <> 'rejected' or _had is null")
     out = _entries(whole, stamp, names[F.col("action")], new_value=reason, source=F.col("link"))
     new = decided.where("action = 'updated'").select("event_id", F.col("event_name").alias("_name"), "link", *[F.col(x).alias(f"_{x}") for x in fixed.UPDATABLE])
-    cells = F.array(*[F.struct(F.lit(x).alias("field"), text.blank(F.col(x)).alias("old_value"), text.blank(F.col(f"_{x}")).alias("new_value")) for x in fixed.UPDATABLE])
-    each = rows.where("bucket = 'verified'").join(new, "event_id").select("event_id", "event_name", "link", F.explode(cells).alias("_c")).where("_c.new_value <> '' and _c.new_value <> _c.old_value")
-    return out.unionByName(_entries(each, stamp, F.lit("updated"), field=F.col("_c.field"), old_value=F.col("_c.old_value"), new_value=F.col("_c.new_value"), source=F.col("link")))
+    cells = F.array(*[F.struct(F.lit(x).alias("field"), F.col(x).alias("old"), F.col(f"_{x}").alias("new")) for x in fixed.UPDATABLE])
+    each = rows.where("bucket = 'verified'").join(new, "event_id").select("event_id", "event_name", "link", F.explode(cells).alias("_c")).where("_c.new <> '' and not _c.new <=> _c.old")  # most cells are as they were, so only the rest is read as text
+    each = each.select("event_id", "event_name", "link", "_c.field", text.blank(F.col("_c.old")).alias("old_value"), text.blank(F.col("_c.new")).alias("new_value")).where("new_value <> '' and new_value <> old_value")
+    return out.unionByName(_entries(each, stamp, F.lit("updated"), field=F.col("field"), old_value=F.col("old_value"), new_value=F.col("new_value"), source=F.col("link")))
 
 
 def counters(decided: DataFrame, aged: DataFrame) -> DataFrame:

@@ -48,20 +48,20 @@ def health(current: DataFrame, previous: DataFrame) -> DataFrame:
 def missing_and_past(verified: DataFrame, seen: DataFrame, sites: DataFrame, today: dt.date) -> DataFrame:
     """verified with outcome kept, past or missing. Past is by the last day. Missing is what a healthy site no longer shows, has a page of its own that no other row shares, and was
     last seen more than GRACE_DAYS ago. Locked rows are kept."""
-    rows = times(verified.withColumn("_link", text.normalize_url(F.col("link"))), "_link", "_n")
-    rows = rows.join(seen.select("event_id", F.lit(True).alias("_seen")).distinct(), "event_id", "left")
+    rows = verified.join(seen.select("event_id", F.lit(True).alias("_seen")).distinct(), "event_id", "left")
     rows = rows.join(sites.where("status = 'ok'").select("source_url", F.lit(True).alias("_ok")).distinct(), "source_url", "left")
     over = dates.is_past(F.coalesce("end_date", "start_date"), today)
-    gone = (
-        F.col("_seen").isNull() & F.coalesce(F.col("_ok"), F.lit(False)) & (F.col("_n") == 1) & (F.col("_link") != text.normalize_url(F.col("source_url")))
-        & F.coalesce(F.datediff(F.lit(today), "last_seen") > GRACE_DAYS, F.lit(False))
-    )
+    unseen = F.col("_seen").isNull() & F.coalesce(F.col("_ok"), F.lit(False)) & F.coalesce(F.datediff(F.lit(today), "last_seen") > GRACE_DAYS, F.lit(False))
+    # all links are counted, but only those of rows that may be missing are looked up
+    page = text.normalize_url(F.col("link"))
+    rows = times(rows.withColumn("_link", F.when(unseen & ~over & ~text.truthy(F.col("locked")), page).otherwise("")), "_link", "_n", verified.select(page.alias("_link")))
+    gone = unseen & (F.col("_n") == 1) & (F.col("_link") != text.normalize_url(F.col("source_url")))
     return rows.withColumn("outcome", F.when(text.truthy(F.col("locked")), "kept").when(over, "past").when(gone, "missing").otherwise("kept")).select(*verified.columns, "outcome")
 
 
-def times(df: DataFrame, key: str, out: str) -> DataFrame:
-    """df with the number of rows that share its key, 0 for a blank one. Counted by an aggregate of keys alone; rows with a blank key meet nothing, so they spread over all tasks."""
-    counts = df.where(F.col(key) != "").groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_times"))
+def times(df: DataFrame, key: str, out: str, of: DataFrame | None = None) -> DataFrame:
+    """df with the number of rows (of df or of a table that has the key too) that share its key, 0 for a blank one. Counted by an aggregate of keys alone; rows with a blank key meet nothing, so they spread over all tasks."""
+    counts = (df if of is None else of).where(F.col(key) != "").groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_times"))
     spread = F.when(F.col(key) != "", F.col(key)).otherwise(F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string")))
     return df.withColumn("_spread", spread).join(counts, F.col("_spread") == F.col("_key"), "left").withColumn(out, F.coalesce("_times", F.lit(0))).drop("_spread", "_key", "_times")
 

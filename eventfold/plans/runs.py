@@ -157,6 +157,7 @@ def weekly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, k = F.col, F.col("c_custkey")
     people = table(spark, sf_dir, "customer").withColumn("day", F.date_add(F.lit("2026-09-01").cast("date"), (k % 40).cast("int")))
     n = c("c_nationkey") % 5
+    people = shared.once(shared.spread(people.select("c_custkey", "c_nationkey", "day"), 50_000), "people")  # every country reads it anew
     site = _text("https://n", n, ".example/list")
     base = [
         k.alias("ord"), _text("ev_", k).alias("event_id"), _text("Meeting ", k).alias("event_name"), dates.display(c("day")).alias("date"), _text("Organisation ", n).alias("organizer"), _text("Country ", n).alias("country"),

@@ -80,7 +80,7 @@ def run(spark: SparkSession, path: str, name: str, countries: Mapping[str, Calla
         kept = kept.withColumn("ord", F.monotonically_increasing_id())
     loaded = steps.table("loaded", lambda: lifecycle.load(kept, today))
     decided = steps.table("decided", lambda: master.decide(told, loaded))
-    applied = steps.table("applied", lambda: master.apply(told, loaded, F.lit(today.strftime("%d-%b-%Y"))))
+    applied = steps.table("applied", lambda: master.apply(told, loaded, F.lit(today.strftime("%d-%b-%Y")), decided))
     aged = steps.table("aged", lambda: lifecycle.age(applied, told.select("event_id"), health, today))
     rows = aged.drop("outcome")
     if review is not None:

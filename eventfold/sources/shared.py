@@ -52,6 +52,13 @@ def whole_texts(most: int = 2 << 20) -> None:
         spark.conf.set(name, str(most))
 
 
+def short_methods(most: int = 8000) -> None:
+    """Generated methods stay below the size that the JVM compiles at all: the many cells of a master's row make longer ones, which would be interpreted. A session that names a limit of its own keeps it."""
+    name, spark = "spark.sql.codegen.hugeMethodLimit", SparkSession.getActiveSession()
+    if spark is not None and name not in spark.conf.getAll:
+        spark.conf.set(name, str(most))
+
+
 def spread(df: DataFrame, each: int = 2000) -> DataFrame:
     """df, a scan of few and short columns, dealt evenly to tasks of some each rows. A scan makes its tasks by bytes, and a few megabytes of keys may stand for hours of work on what is made of them."""
     return df.repartition(max(-(-df.count() // each), 1))
